@@ -1,0 +1,67 @@
+"""Compares every query with its SQL: ``python -m tests.oracle_check [sf] [query prefix ...]``."""
+
+from __future__ import annotations
+
+import sys
+import time
+
+import duckdb
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings "
+    "pages benchmark labels conversations"
+).split()
+
+
+def _rows(columns: list[str], rows) -> list[str]:
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return sorted(repr([row[i] for i in order]) for row in rows)
+
+
+def compare(spark, name: str, query, sql: str, sf_dir: str) -> list[str]:
+    """Differences between the query's rows and the SQL's; empty if they agree."""
+    db = duckdb.connect()
+    db.execute("SET TimeZone = 'UTC'")
+    for table in TABLES:
+        db.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")
+    want = db.sql(sql)
+    got = query(spark, sf_dir)
+    if sorted(got.columns) != sorted(want.columns):
+        return [f"columns {sorted(got.columns)} / {sorted(want.columns)}"]
+    ours, theirs = _rows(got.columns, got.collect()), _rows(want.columns, want.fetchall())
+    if ours == theirs:
+        return []
+    only_ours, only_theirs = sorted(set(ours) - set(theirs)), sorted(set(theirs) - set(ours))
+    return [f"rows {len(ours)} / {len(theirs)}", *only_ours[:2], "--", *only_theirs[:2]]
+
+
+def main() -> None:
+    from pyspark.sql import SparkSession
+
+    import __spark_entry__ as entry
+
+    sf = sys.argv[1] if len(sys.argv) > 1 else "sf0.001"
+    spark = (
+        SparkSession.builder.master("local[8]")
+        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.ui.enabled", "false")
+        .config("spark.driver.memory", "8g")
+        .getOrCreate()
+    )
+    spark.sparkContext.setLogLevel("ERROR")
+    sqls = entry.oracle_sql()
+    for name, query in entry.queries().items():
+        if sys.argv[2:] and not name.startswith(tuple(sys.argv[2:])):
+            continue
+        begin = time.time()
+        try:
+            found = compare(spark, name, query, sqls[name], f"/root/testdata/{sf}")
+        except Exception as failure:
+            found = [f"{type(failure).__name__}: {str(failure)[:1500]}"]
+        print(name, "ok" if not found else "DIFFERS", round(time.time() - begin, 2), flush=True)
+        for line in found:
+            print("   ", line[:1200])
+
+
+if __name__ == "__main__":
+    main()
