@@ -20,26 +20,34 @@ def attach_images(
     bytes travel once per article image, not once per attribute, and only with
     ``with_content``.
     """
+    # image_list makes at most one URL per image key.
     columns = ["url", "n_uses", "ok"] + (["content"] if with_content else [])
     refs = explode_images(articles, "article_key")
-    joined = join_counted(refs, images.select(*columns), "url", "n_uses", F.col("article_key"))
-    fields = [F.col("pos"), F.col("url"), F.coalesce("ok", F.lit(False)).alias("ok")]
+    found = join_counted(refs, images.select(*columns), "url", "n_uses", F.col("article_key"))
     if with_content:
-        fields.append(F.col("content"))
-    image = F.struct(*fields)
-    # An article names at most one image per key, so a fixed number of slots holds them
-    # all; they combine before the shuffle and nothing is collected.
-    slots = [
-        F.max(F.when(F.col("pos") == i, image)).alias(f"_image{i}")
-        for i in range(len(IMAGE_KEYS))
-    ]
-    names = [f"_image{i}" for i in range(len(IMAGE_KEYS))]
-    per_article = joined.groupBy("article_key").agg(*slots)
-    found = F.filter(F.array(*names), lambda i: i.isNotNull())
+        # One row per image: there is nothing to combine before the shuffle, and sorting
+        # the bytes on both sides of it would be for nothing.
+        found = found.repartition("article_key")
+    # An article has one image per key, so a fixed number of slots holds them all and
+    # nothing is collected. Flags alone are combined by hash; bytes are sorted once.
+    slots = [f"_image{i}" for i in range(len(IMAGE_KEYS))]
+    picked = F.struct("ok", "content") if with_content else F.col("ok")
+    per_article = found.groupBy("article_key").agg(
+        *(F.max(F.when(F.col("pos") == i, picked)).alias(slot) for i, slot in enumerate(slots))
+    )
+
+    def image(url: Column, i: Column) -> Column:
+        slot = F.get(F.array(*slots), i)
+        fields = [i.cast("int").alias("pos"), url.alias("url")]
+        if not with_content:
+            return F.struct(*fields, F.coalesce(slot, F.lit(False)).alias("ok"))
+        ok = F.coalesce(slot["ok"], F.lit(False))
+        return F.struct(*fields, ok.alias("ok"), slot["content"].alias("content"))
+
     return (
         articles.join(per_article, "article_key", "left")
-        .withColumn("images", found)
-        .drop(*names)
+        .withColumn("images", F.transform("image_urls", image))
+        .drop(*slots)
     )
 
 

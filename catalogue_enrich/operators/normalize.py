@@ -3,25 +3,39 @@
 An article row is ``article_key, source_path, source_file, doc_pos, document, product_id,
 colour_id, target_group, product_category, image_urls, attributes, reject_reason``, where
 ``attributes`` keeps the document's order and holds, per attribute, ``pos, attribute_id,
-label, orientation, options, has_result, result``.
+label, orientation, options, result``.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schema as S
 from ..functions.json_text import (
     OBJECT,
     OBJECTS,
     TYPED_OBJECTS,
-    dict_of,
+    bind,
     members,
     object_text,
     starts_with,
 )
 
+# What is read of a document: categories as maps, as it matters whether their label is there.
+_END = "end of frame"
+_READ = T.StructType(
+    [f for f in S.ARTICLE if f.name not in (S.SUPPLIER_ARTICLE, S.CATEGORIES, S.ATTRIBUTES)]
+    + [
+        T.StructField(S.CATEGORIES, T.ArrayType(T.MapType(T.StringType(), T.StringType()))),
+        T.StructField(S.ATTRIBUTES, T.ArrayType(S.READ_ATTRIBUTE)),
+        T.StructField(_END, T.StringType()),
+    ]
+)
+
 # Stands for a missing id while options are keyed; no JSON document needs a NUL in an id.
 _NO_ID = "\0"
 
@@ -53,94 +67,92 @@ def option_list(pairs: Column) -> Column:
     )
 
 
-def _attribute(pos, attribute_id, label, orientation, pairs, has_result, result) -> Column:
-    options = F.when(~attribute_id.eqNullSafe(S.HEX_ATTRIBUTE), option_list(pairs))
-    return F.struct(
-        pos.cast("int").alias("pos"),
-        attribute_id.alias("attribute_id"),
-        label.alias("label"),
-        orientation.alias("orientation"),
-        options.alias("options"),
-        has_result.alias("has_result"),
-        result.alias("result"),
-    )
+def _article(root: Callable[[str], Column]) -> list[Column]:
+    """The fields of an article row from a document's fields."""
 
+    def attribute(a: Column, i: Column) -> Column:
+        pairs = F.transform(
+            F.coalesce(a[S.OPTIONS], F.array()),
+            lambda o: F.struct(o[S.IDENTIFIER].alias("id"), o[S.LABEL].alias("label")),
+        )
+        has_options = ~a[S.IDENTIFIER].eqNullSafe(S.HEX_ATTRIBUTE)
+        return F.struct(
+            i.cast("int").alias("pos"),
+            a[S.IDENTIFIER].alias("attribute_id"),
+            a[S.LABEL].alias("label"),
+            a[S.ORIENTATION].alias("orientation"),
+            F.when(has_options, option_list(pairs)).alias("options"),
+            a[S.RESULT].alias("result"),
+        )
 
-def _pair(option_id: Column, label: Column) -> Column:
-    return F.struct(option_id.alias("id"), label.alias("label"))
+    return [
+        root(S.PRODUCT_ID).alias("product_id"),
+        root(S.COLOUR_ID).alias("colour_id"),
+        root(S.TARGET_GROUP).alias("target_group"),
+        F.get(root(S.CATEGORIES), F.lit(0))[S.CATEGORY_LABEL].alias("product_category"),
+        image_list(*(root(k) for k in S.IMAGE_KEYS)).alias("image_urls"),
+        F.transform(F.coalesce(root(S.ATTRIBUTES), F.array()), attribute).alias("attributes"),
+    ]
 
 
 def from_struct(articles: DataFrame, key: str = S.PRODUCT_ID) -> DataFrame:
     """Article rows from documents held as structs (``schema.ARTICLE``)."""
 
-    def attribute(a: Column, i: Column) -> Column:
-        pairs = F.transform(a[S.OPTIONS], lambda o: _pair(o[S.IDENTIFIER], o[S.LABEL]))
-        return _attribute(
-            i, a[S.IDENTIFIER], a[S.LABEL], a[S.ORIENTATION], pairs, F.lit(True), a[S.RESULT]
-        )
-
     def root(name: str) -> Column:
         return F.col(f"`{name}`")
 
-    return articles.select(
-        root(key).alias("article_key"),
-        root(S.PRODUCT_ID).alias("product_id"),
-        root(S.COLOUR_ID).alias("colour_id"),
-        root(S.TARGET_GROUP).alias("target_group"),
-        F.get(root(S.CATEGORIES), F.lit(0))[S.CATEGORY_LABEL].alias("product_category"),
-        image_list(*(root(k) for k in S.IMAGE_KEYS)).alias("image_urls"),
-        F.transform(root(S.ATTRIBUTES), attribute).alias("attributes"),
-    )
+    return articles.select(root(key).alias("article_key"), *_article(root))
 
 
-def _exactly_one(document: Column) -> Column:
+def _objects(document: Column) -> Column:
     """The objects of a document (one, or those of an array root); null if it is not JSON.
 
-    The JSON reader stops after the first value, so the text is framed: a document with
-    anything after its value no longer yields the two items of the frame.
+    The JSON reader stops after the first value, so the text is put into a frame whose end
+    is only found if nothing but white space follows the value.
     """
-    is_list = starts_with(document, "[")
-    framed = F.when(is_list, F.concat(F.lit("["), document, F.lit(',[{"end":"1"}]]'))).otherwise(
-        F.concat(F.lit("[["), document, F.lit('],[{"end":"1"}]]'))
-    )
-    items = F.from_json(framed, f"array<{OBJECTS}>")
-    complete = (F.size(items) == 2) & (is_list | (F.size(F.get(items, F.lit(0))) == 1))
-    return F.when(complete, F.get(items, F.lit(0)))
+    end = f',[{{"{_END}":"1"}}]]'
+    framed = F.when(
+        starts_with(document, "["), F.concat(F.lit("["), document, F.lit(end))
+    ).otherwise(F.concat(F.lit("[["), document, F.lit("]" + end)))
+
+    def unframe(items: Column) -> Column:
+        found = F.get(items, F.lit(0))
+        complete = (
+            (F.size(items) == 2)
+            & F.get(F.get(items, F.lit(1)), F.lit(0))[_END].isNotNull()
+            & (starts_with(document, "[") | (F.size(found) == 1))
+        )
+        return F.when(complete, found)
+
+    return bind(F.from_json(framed, T.ArrayType(T.ArrayType(_READ))), unframe)
 
 
 def split_documents(raw: DataFrame) -> DataFrame:
-    """One row per article: ``article_key, source_path, source_file, doc_pos, document, root``.
+    """One row per article: ``article_key, source_path, source_file, doc_pos, document, article``.
 
     A file holds one article or an array of articles. ``document`` is the article's own
-    text and ``root`` its fields as text; ``root`` is null if the file is not valid JSON
-    or holds anything but objects.
+    text and ``article`` the fields enrichment reads; ``article`` is null if the file is not
+    valid JSON or holds anything but objects. ``source_path`` must tell the files apart.
     """
-    document = F.col("document")
-    listed = raw.withColumn("_objects", _exactly_one(document)).withColumn(
-        "_typed",
-        F.when(
-            F.col("_objects").isNotNull() & starts_with(document, "["),
-            F.from_json(document, TYPED_OBJECTS),
-        ),
-    )
+    document, in_list = F.col("document"), F.col("_strings").isNotNull()
+    listed = raw.withColumn("_objects", _objects(document))
+    is_list = F.col("_objects").isNotNull() & starts_with(document, "[")
     rows = listed.select(
         "source_path",
         "source_file",
         "document",
-        "_typed",
-        F.posexplode(F.coalesce("_objects", F.array(F.lit(None).cast(OBJECT)))).alias(
-            "_pos", "_root"
-        ),
+        F.when(is_list, F.from_json(document, OBJECTS)).alias("_strings"),
+        F.when(is_list, F.from_json(document, TYPED_OBJECTS)).alias("_typed"),
+        F.posexplode_outer("_objects").alias("_pos", "article"),
     )
-    in_list = F.col("_typed").isNotNull()
-    own_text = object_text(members(F.col("_root"), F.get(F.col("_typed"), F.col("_pos"))))
+    own = members(*(F.get(F.col(c), F.col("_pos")) for c in ("_strings", "_typed")))
     return rows.select(
         F.concat_ws("#", "source_path", "_pos").alias("article_key"),
         "source_path",
         "source_file",
         F.when(in_list, F.col("_pos")).alias("doc_pos"),
-        F.when(in_list, own_text).otherwise(document).alias("document"),
-        dict_of(F.col("_root")).alias("root"),
+        F.when(in_list & F.col("_pos").isNotNull(), object_text(own)).otherwise(document).alias("document"),
+        "article",
     )
 
 
@@ -151,83 +163,47 @@ def from_documents(raw: DataFrame, strict: bool = True) -> DataFrame:
     that lacks what enrichment needs. If not ``strict``, a missing category or result reads
     as null and missing attributes or options as empty.
     """
-    docs = split_documents(raw)
-    root = F.col("root")
-
-    def listed(text: Column, element: str = OBJECTS) -> Column:
-        return F.from_json(text, element)
-
-    docs = docs.withColumn("_category", F.get(listed(root[S.CATEGORIES]), F.lit(0))).withColumn(
-        "_attributes",
-        F.transform(
-            listed(root[S.ATTRIBUTES]),
-            lambda a: F.struct(
-                dict_of(a).alias("fields"), listed(a[S.OPTIONS]).alias("values")
-            ),
-        ),
-    )
-    urls = image_list(*(root[k] for k in S.IMAGE_KEYS))
-    has_attributes = F.map_contains_key(root, S.ATTRIBUTES)
+    article = F.col("article")
+    attributes = article[S.ATTRIBUTES]
+    category = F.get(article[S.CATEGORIES], F.lit(0))
+    urls = image_list(*(article[k] for k in S.IMAGE_KEYS))
 
     def lacks_options(a: Column) -> Column:
-        no_values = a["values"].isNull() | F.exists(a["values"], lambda v: v.isNull())
-        return ~a["fields"][S.IDENTIFIER].eqNullSafe(S.HEX_ATTRIBUTE) & no_values
-
-    def lacks_result(a: Column) -> Column:
-        return ~F.map_contains_key(a["fields"], S.RESULT)
-
-    attributes = F.col("_attributes")
-    reason = F.when(root.isNull(), F.lit("invalid_json"))
+        values = a[S.OPTIONS]
+        no_values = values.isNull() | F.exists(values, lambda v: v.isNull())
+        return ~a[S.IDENTIFIER].eqNullSafe(S.HEX_ATTRIBUTE) & no_values
+
+    # Whether a key is missing or null shows only in the text; it is read again for the few
+    # documents where that matters.
+    fields = F.from_json("document", OBJECT)
+    no_result = (F.size(urls) == 0) & F.exists(attributes, lambda a: a[S.RESULT].isNull())
+    lacks_result = F.exists(
+        F.from_json(fields[S.ATTRIBUTES], OBJECTS), lambda a: ~F.map_contains_key(a, S.RESULT)
+    )
+    reason = F.when(article.isNull(), F.lit("invalid_json"))
     if strict:
-        category = F.col("_category")
         reason = (
             reason.when(
                 category.isNull() | ~F.map_contains_key(category, S.CATEGORY_LABEL),
                 F.lit("category_missing"),
             )
             .when(
-                has_attributes
-                & (attributes.isNull() | F.exists(attributes, lambda a: a["fields"].isNull())),
+                attributes.isNull() & F.map_contains_key(fields, S.ATTRIBUTES),
                 F.lit("attributes_invalid"),
             )
+            .when(F.exists(attributes, lambda a: a.isNull()), F.lit("attributes_invalid"))
             .when(F.exists(attributes, lacks_options), F.lit("options_missing"))
-            .when(
-                (F.size(urls) == 0) & F.exists(attributes, lacks_result), F.lit("result_missing")
-            )
+            .when(no_result & lacks_result, F.lit("result_missing"))
         )
-
-    def attribute(a: Column, i: Column) -> Column:
-        fields = a["fields"]
-        pairs = F.transform(
-            F.coalesce(a["values"], F.array().cast(OBJECTS)),
-            lambda v: _pair(v[S.IDENTIFIER], v[S.LABEL]),
-        )
-        return _attribute(
-            i,
-            fields[S.IDENTIFIER],
-            fields[S.LABEL],
-            fields[S.ORIENTATION],
-            pairs,
-            F.map_contains_key(fields, S.RESULT),
-            fields[S.RESULT],
-        )
-
-    rows = docs.select(
+    return split_documents(raw).select(
         "article_key",
         "source_path",
         "source_file",
         "doc_pos",
         "document",
-        root[S.PRODUCT_ID].alias("product_id"),
-        root[S.COLOUR_ID].alias("colour_id"),
-        root[S.TARGET_GROUP].alias("target_group"),
-        F.col("_category")[S.CATEGORY_LABEL].alias("product_category"),
-        urls.alias("image_urls"),
-        F.transform(attributes, attribute).alias("attributes"),
+        *_article(lambda name: article[name]),
         reason.alias("reject_reason"),
     )
-    empty = F.array().cast(rows.schema["attributes"].dataType)
-    return rows.withColumn("attributes", F.coalesce("attributes", empty))
 
 
 def explode_attributes(articles: DataFrame, *keep: str) -> DataFrame:

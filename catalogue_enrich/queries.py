@@ -20,7 +20,7 @@ from .operators.report import flat_results, run_metrics, unresolved, without_ima
 from .operators.skew import join_counted
 from .operators.writeback import join_results, write_back
 from .plans.enrichment import enrich, prepare
-from .session import configure, shared_folder
+from .session import configure, shared_folder, stage
 from .sinks import last_writes
 from .sources.batches import assign_batches, batch_report
 from .sources.images import fetch_images, url_registry
@@ -73,14 +73,19 @@ def distinct_fetch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fetched.select("url", "n_uses", "ok", F.octet_length("content").alias("n_bytes"))
 
 
+def _images(rows: DataFrame) -> DataFrame:
+    """Images are staged once they are fetched, as their join reads them more than once."""
+    return stage(V.images(rows), "images")
+
+
 def _enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = V.article_rows(spark, sf_dir)
-    return enrich(rows, V.images(rows))
+    return enrich(rows, _images(rows))
 
 
 def image_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = V.article_rows(spark, sf_dir)
-    joined = prepare(rows, V.images(rows))
+    joined = prepare(rows, _images(rows))
     n_images = F.coalesce(F.size("images"), F.lit(0))
     n_ok = F.size(ok_images())
     return joined.select(
@@ -98,7 +103,7 @@ def data_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def message_assembly(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = V.article_rows(spark, sf_dir)
-    joined = prepare(rows, V.images(rows))
+    joined = prepare(rows, _images(rows))
     urls = F.transform(ok_images(), lambda i: data_url(F.encode(i["url"], "UTF-8")))
     requests = joined.select("product_id", urls.alias("urls"), F.explode("requests").alias("r"))
     return requests.select(
@@ -163,7 +168,7 @@ def write_back_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Results come as a table of their own and are joined to the raw documents."""
     articles = from_documents(V.documents(spark, sf_dir))
     rows = V.article_rows(spark, sf_dir)
-    results = flat_results(enrich(rows, V.images(rows))).select(
+    results = flat_results(enrich(rows, _images(rows))).select(
         F.concat(F.lit("/out/"), "article_key", F.lit(".json#0")).alias("article_key"),
         "pos",
         "result_json",
@@ -178,7 +183,7 @@ def branches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _failed(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = V.article_rows(spark, sf_dir)
-    return failed_lines(prepare(rows, V.images(rows)))
+    return failed_lines(prepare(rows, _images(rows)))
 
 
 def failed_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -326,8 +331,8 @@ def corrupt_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def enriched_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw documents to enriched documents: the whole text of each."""
-    rows = from_documents(V.documents(spark, sf_dir))
-    return write_back(enrich(rows, V.images(rows))).select("product_id", "enriched")
+    rows = stage(from_documents(V.documents(spark, sf_dir)), "articles")
+    return write_back(enrich(rows, _images(rows))).select("product_id", "enriched")
 
 
 QUERIES: dict[str, Query] = {

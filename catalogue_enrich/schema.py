@@ -37,6 +37,12 @@ ATTRIBUTE = T.StructType(
     + [T.StructField(OPTIONS, T.ArrayType(OPTION_VALUE))]
 )
 
+# What enrichment reads of an attribute.
+READ_ATTRIBUTE = T.StructType(
+    _strings(IDENTIFIER, LABEL, RESULT, ORIENTATION)
+    + [T.StructField(OPTIONS, T.ArrayType(T.StructType(_strings(IDENTIFIER, LABEL))))]
+)
+
 # The document as a struct: for tables and for JSON whose fields are all known.
 # It drops unknown keys, so documents that are written back use the text carrier.
 ARTICLE = T.StructType(

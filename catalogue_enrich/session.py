@@ -16,8 +16,8 @@ REQUIRED_CONF = {
     # Data URLs must be one line.
     "spark.sql.chunkBase64String.enabled": "false",
     "spark.sql.session.timeZone": "UTC",
-    # A batch partition is replaced as a whole, never the table.
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # A join whose smaller side proves small per partition need not sort the documents.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
 }
 
 
