@@ -86,8 +86,12 @@ def run(
         done = enrich_documents(raw, make_fetch, answerer, stage=staged, **options)
         documents = write_batch(done.documents, f"{target}/published", batch_id)
         if outbound:
-            report = publish_files(documents, outbound)
-            write_batch(report, f"{target}/published_files", batch_id)
+            report = write_batch(
+                publish_files(documents, outbound), f"{target}/published_files", batch_id
+            )
+            unwritten = report.where(~F.col("done")).head(1)
+            if unwritten:
+                raise OSError(f"batch {batch_id} is not fully published: {unwritten[0]}")
         publish_dataset(done.quarantine, f"{target}/quarantine", batch_id)
         append_to_ledger(done.ledger, f"{target}/failed_images", batch_id)
         publish_dataset(done.metrics, f"{target}/metrics", batch_id)

@@ -1,0 +1,55 @@
+"""Small article documents with the odd cases of real catalogues."""
+
+from __future__ import annotations
+
+import json
+
+RESULT = "Ausgewaehlter Attributwert (Result)"
+
+
+def value(identifier, label="Wert"):
+    return {"Identifier": identifier, "Bezeichner": label, "Beschreibung": "egal"}
+
+
+def attribute(identifier, values=(), **more):
+    return {
+        "Identifier": identifier,
+        "Bezeichner": identifier.title(),
+        "Typ": "Wertemenge, mehrfach",
+        RESULT: "alt",
+        "Beschreibung": "beschreibt",
+        "Orientierung": "oben",
+        "Attributwerte": None if values is None else list(values),
+        **more,
+    }
+
+
+def article(number, **more):
+    document = {
+        "ProduktID": str(number),
+        "FarbID": f"F{number}",
+        "LiefArtNrBer": "L",
+        "Geschlecht": "Damen",
+        "Hauptbild": f"http://img/{number}/main.jpg",
+        "Freisteller Back": "http://img/shared/back.jpg",
+        "Modellbild": f"http://img/{number}/model.jpg",
+        "Klassifikation": [{"Identifier": "11-02", "Bezeichnung": "D-Hosen / D-Jeans"}],
+        "Klassifikations-Attribute": [
+            attribute("taschenart", [value("handtasche", "Handtasche"), value("bauchtasche")]),
+            attribute("farbe"),
+        ],
+        **more,
+    }
+    return {k: v for k, v in document.items() if v is not MISSING}
+
+
+MISSING = object()
+
+
+def raw(spark, documents):
+    """Raw rows of ``(name, document or text)`` pairs."""
+    rows = [
+        (f"/out/{name}", name, text if isinstance(text, str) else json.dumps(text, ensure_ascii=False))
+        for name, text in documents
+    ]
+    return spark.createDataFrame(rows, "source_path string, source_file string, document string")

@@ -1,0 +1,184 @@
+"""Reading, rejecting and writing back nested documents."""
+
+import json
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from catalogue_enrich.operators.normalize import from_documents
+from catalogue_enrich.operators.writeback import group_results, join_results, write_back
+from catalogue_enrich.sources.landing import read_landing
+from tests.articles import MISSING, RESULT, article, attribute, raw, value
+
+
+def rows(spark, *documents, strict=True):
+    pairs = [(f"{i}.json", d) for i, d in enumerate(documents)]
+    return from_documents(raw(spark, pairs), strict).orderBy("source_file", "doc_pos").collect()
+
+
+def test_fields(spark):
+    row = rows(spark, article(7))[0]
+    assert row["product_id"] == "7" and row["colour_id"] == "F7" and row["target_group"] == "Damen"
+    assert row["product_category"] == "D-Hosen / D-Jeans" and row["reject_reason"] is None
+    assert row["article_key"] == "/out/0.json#0" and row["doc_pos"] is None
+    names = [url.rsplit("/", 1)[1] for url in row["image_urls"]]
+    assert names == ["main.jpg", "back.jpg", "model.jpg"]
+    assert [(a["pos"], a["attribute_id"]) for a in row["attributes"]] == [(0, "taschenart"), (1, "farbe")]
+    assert [tuple(o) for o in row["attributes"][0]["options"]] == [("handtasche", "Handtasche"), ("bauchtasche", "Wert")]
+
+
+@pytest.mark.parametrize(
+    "more, count",
+    [
+        ({"Hauptbild": "", "Modellbild": MISSING}, 1),
+        ({"Hauptbild": None, "Freisteller Back": MISSING, "Modellbild": ""}, 0),
+        ({"Hauptbild": "http://img/shared/back.jpg"}, 3),
+    ],
+)
+def test_image_list(spark, more, count):
+    assert len(rows(spark, article(1, **more))[0]["image_urls"]) == count
+
+
+def test_options(spark):
+    doubled = [value("a", "1"), value("b", "2"), value("a", "3"), {"Bezeichner": "no id"}, value(None, "null id")]
+    attributes = [attribute("x", doubled), attribute("farbHex", None), attribute("y", [])]
+    attributes.append({k: v for k, v in attribute("farbHex").items() if k != "Attributwerte"})
+    row = rows(spark, article(1, **{"Klassifikations-Attribute": attributes}))[0]
+    assert row["reject_reason"] is None
+    options = [a["options"] for a in row["attributes"]]
+    assert [tuple(o) for o in options[0]] == [("a", "3"), ("b", "2"), (None, "null id")]
+    assert options[1] is None and options[2] == [] and options[3] is None
+
+
+NO_IMAGES = {"Hauptbild": "", "Freisteller Back": "", "Modellbild": ""}
+NO_RESULT = {k: v for k, v in attribute("x").items() if k != RESULT}
+
+
+@pytest.mark.parametrize(
+    "more, reason",
+    [
+        ({"Klassifikation": MISSING}, "category_missing"),
+        ({"Klassifikation": []}, "category_missing"),
+        ({"Klassifikation": None}, "category_missing"),
+        ({"Klassifikation": [{}]}, "category_missing"),
+        ({"Klassifikation": [None]}, "category_missing"),
+        ({"Klassifikation": "text"}, "category_missing"),
+        ({"Klassifikation": [{"Bezeichnung": None}]}, None),
+        ({"Klassifikations-Attribute": MISSING}, None),
+        ({"Klassifikations-Attribute": []}, None),
+        ({"Klassifikations-Attribute": None}, "attributes_invalid"),
+        ({"Klassifikations-Attribute": ["text"]}, "attributes_invalid"),
+        ({"Klassifikations-Attribute": [None]}, "attributes_invalid"),
+        ({"Klassifikations-Attribute": [attribute("x", None)]}, "options_missing"),
+        ({"Klassifikations-Attribute": [attribute("x", [None])]}, "options_missing"),
+        ({"Klassifikations-Attribute": [attribute("farbHex", None)]}, None),
+        ({"Klassifikations-Attribute": [NO_RESULT]}, None),
+        ({"Klassifikations-Attribute": [NO_RESULT], **NO_IMAGES}, "result_missing"),
+        ({"Klassifikations-Attribute": [attribute("x", **{RESULT: None})], **NO_IMAGES}, None),
+    ],
+)
+def test_strict_and_lenient(spark, more, reason):
+    assert rows(spark, article(1, **more))[0]["reject_reason"] == reason
+    lenient = rows(spark, article(1, **more), strict=False)[0]
+    assert lenient["reject_reason"] is None and lenient["attributes"] is not None
+
+
+BROKEN = [
+    "", " ", "{", '{"a": 1', "[1]", "5", '"x"', "null", "not json", '{"ProduktID": "1"} x', "[]", '[{"a": 1}, 2]',
+    '{"ProduktID": "1"}, {"ProduktID": "2"}', '{"ProduktID": "1"}], [{}]', '[{"a": 1}] x', "[null]",
+]
+
+
+@pytest.mark.parametrize("text", BROKEN)
+def test_broken_documents_are_rejected(spark, text):
+    assert [r["reject_reason"] for r in rows(spark, text, strict=False)] == ["invalid_json"]
+
+
+def test_array_of_articles(spark):
+    got = rows(spark, [article(1, extra={"b": "5", "a": 5}), article(2)])
+    assert [r["doc_pos"] for r in got] == [0, 1]
+    assert [r["product_id"] for r in got] == ["1", "2"]
+    assert [json.loads(r["document"]) for r in got] == [article(1, extra={"b": "5", "a": 5}), article(2)]
+
+
+def enriched(spark, document, results):
+    row = from_documents(raw(spark, [("a.json", document)]), strict=False)
+    items = [(i, None if r is None else json.dumps(r, ensure_ascii=False)) for i, r in enumerate(results)]
+    table = spark.createDataFrame([(items,)], "results array<struct<pos:int,result_json:string>>")
+    return write_back(row.crossJoin(table)).first()["enriched"]
+
+
+ODD = {
+    "zzz": {"b": [1, {"y": None, "x": "ü"}], "a": "5"},
+    "number text": "5", "list text": "[1]", "null text": "null", "true text": "true",
+    "number": 5, "float": 1.5, "true": True, "null": None, "empty": "", "list": [], "object": {},
+    "quote\"d\n": "a\"b\\c\n\t", "umlaut ä": " ",
+}
+
+
+def test_write_back_keeps_everything_else(spark):
+    attributes = [
+        attribute("a", [value("x")], **ODD),
+        attribute("a", None, Attributwerte="text"),
+        NO_RESULT,
+        {},
+    ]
+    document = {**ODD, **article(1, **{"Klassifikations-Attribute": attributes}), "last": 1}
+    results = ["it's \"x\"", ["#1", "ü"], {"k": None}, None]
+    want = json.loads(json.dumps(document))
+    for a, r in zip(want["Klassifikations-Attribute"], results):
+        if r is not None:
+            a[RESULT] = r
+    got = enriched(spark, document, results)
+    # Text equality: keys, their order, nulls and types at every level.
+    assert json.dumps(json.loads(got)) == json.dumps(want)
+
+
+def test_write_back_of_null(spark):
+    got = json.loads(enriched(spark, article(1), []))
+    assert got == article(1)
+    document = from_documents(raw(spark, [("a.json", article(1))]))
+    nulls = F.transform("attributes", lambda a: F.struct(a["pos"], F.lit("null").alias("result_json")))
+    got = json.loads(write_back(document.withColumn("results", nulls)).first()["enriched"])
+    assert [a[RESULT] for a in got["Klassifikations-Attribute"]] == [None, None]
+
+
+def test_write_back_without_attributes(spark):
+    document = article(1, **{"Klassifikations-Attribute": MISSING})
+    assert json.loads(enriched(spark, document, [])) == document
+
+
+def test_duplicate_keys_keep_the_last(spark):
+    text = json.dumps(article(1))[:-1] + ', "FarbID": "last"}'
+    assert json.loads(enriched(spark, text, ["x"]))["FarbID"] == "last"
+
+
+def test_join_results(spark):
+    documents = from_documents(raw(spark, [("a.json", article(1)), ("b.json", article(2))]))
+    results = spark.createDataFrame(
+        [("/out/a.json#0", 1, '["#1"]', 1), ("/out/a.json#0", 1, '["#2"]', 2), ("/out/a.json#0", 9, '"gone"', 1)],
+        "article_key string, pos int, result_json string, n int",
+    )
+    joined = write_back(join_results(documents, results, last_by="n")).orderBy("source_file").collect()
+    first, second = (json.loads(r["enriched"]) for r in joined)
+    assert [a[RESULT] for a in first["Klassifikations-Attribute"]] == ["alt", ["#2"]]
+    assert second == article(2)
+    assert group_results(results, "article_key", "n").count() == 1
+
+
+def test_landing_folder(spark, folder):
+    texts = {"b.json": article(1), "a ü+%.json": article(2)}
+    for name, document in texts.items():
+        with open(f"{folder}/{name}", "w", encoding="utf-8") as out:
+            json.dump(document, out, ensure_ascii=False, indent=2)
+    with open(f"{folder}/x.txt", "w") as out:
+        out.write("no article")
+    os.mkdir(f"{folder}/done")
+    with open(f"{folder}/done/c.json", "w") as out:
+        out.write("{}")
+    found = read_landing(spark, folder)
+    assert {r["source_file"]: json.loads(r["document"]) for r in found.collect()} == texts
+    assert read_landing(spark, folder, glob=None).count() == 3
+    assert read_landing(spark, f"{folder}/absent").count() == 0
+    assert os.path.isdir(f"{folder}/absent")
