@@ -214,9 +214,3 @@ def explode_attributes(articles: DataFrame, *keep: str) -> DataFrame:
 def explode_images(articles: DataFrame, *keep: str) -> DataFrame:
     """One row per image: ``keep`` columns, ``pos`` and ``url``."""
     return articles.select(*keep, F.posexplode("image_urls").alias("pos", "url"))
-
-
-def split_rejected(articles: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``(accepted, rejected)`` by ``reject_reason``."""
-    reason = F.col("reject_reason")
-    return articles.where(reason.isNull()), articles.where(reason.isNotNull())

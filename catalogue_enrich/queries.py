@@ -17,7 +17,6 @@ from .operators.ledger import failed_lines, new_lines
 from .operators.normalize import explode_attributes, explode_images, from_documents
 from .operators.prompt import Prompts, messages_json, with_requests
 from .operators.report import flat_results, run_metrics, unresolved, without_images
-from .operators.skew import join_counted
 from .operators.writeback import join_results, write_back
 from .plans.enrichment import enrich, prepare
 from .session import configure, shared_folder, stage
@@ -228,7 +227,8 @@ _CHUNK = 64
 
 
 def nested_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as documents, their lines as attributes, prices as results written back.
+    """Orders as documents, their lines as attributes, the highest price of a
+    position as the result written back.
 
     An order may have any number of lines, so it is nested in chunks of positions; both
     sides are reduced to one row per position before they are shuffled by chunk.
@@ -236,30 +236,29 @@ def nested_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = V.table(spark, sf_dir, "lineitem").select(
         F.struct("l_orderkey", F.expr(f"l_linenumber div {_CHUNK}").alias("chunk")).alias("key"),
         F.col("l_linenumber").alias("pos"),
-        F.struct("l_extendedprice", "l_partkey", "l_suppkey").alias("written"),
-        F.col("l_extendedprice").cast("string").alias("result_json"),
+        "l_extendedprice",
     )
+    positions = lines.groupBy("key", "pos")
     documents = (
-        lines.groupBy("key", "pos")
-        .agg(F.count("*").alias("n_writes"))
+        positions.agg(F.count("*").alias("n_writes"))
         .groupBy("key")
         .agg(F.array_sort(F.collect_list(F.struct("pos", "n_writes"))).alias("attributes"))
     )
-    rebuilt = join_results(documents, lines, "key", last_by="written")
+    prices = positions.agg(F.max("l_extendedprice").cast("string").alias("result_json"))
+    rebuilt = join_results(documents, prices, "key")
     orders = V.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
-    flat = rebuilt.select(
-        F.col("key.l_orderkey").alias("o_orderkey"),
-        F.inline(
-            F.zip_with(
-                "attributes",
-                "results",
-                lambda a, r: F.struct(
-                    a["pos"].alias("pos"), a["n_writes"].alias("n_writes"), r["result_json"].cast("double").alias("value")
-                ),
-            )
+    # Joined per chunk, not per line: an order with very many lines has few chunks.
+    chunks = rebuilt.withColumn("o_orderkey", F.col("key.l_orderkey")).join(orders, "o_orderkey")
+    lines_of = F.zip_with(
+        "attributes",
+        "results",
+        lambda a, r: F.struct(
+            a["pos"].alias("pos"),
+            a["n_writes"].alias("n_writes"),
+            r["result_json"].cast("double").alias("value"),
         ),
     )
-    return flat.join(orders, "o_orderkey")
+    return chunks.select("o_orderkey", "o_orderpriority", F.inline(lines_of))
 
 
 _EVENT = "event_id bigint, user_id bigint, event_type string, value double"

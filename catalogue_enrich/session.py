@@ -18,8 +18,14 @@ REQUIRED_CONF = {
     "spark.sql.session.timeZone": "UTC",
     # A join whose smaller side proves small per partition need not sort the documents.
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
+    # Rows sent to Python may hold images: a batch is bounded by rows, at megabytes each.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "128",
 }
 
+# Rows of staged tables hold images or whole documents. A reader holds up to one row group
+# of them at a time.
+ROW_GROUPS = {"parquet.block.size": str(32 * 1024 * 1024)}
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the settings the operators rely on to ``spark`` and return it."""
@@ -51,5 +57,5 @@ def stage(df: DataFrame, purpose: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = shared_folder(spark, purpose)
-    df.write.mode("errorifexists").parquet(path)
+    df.write.mode("errorifexists").options(**ROW_GROUPS).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -12,12 +12,14 @@ from pyarrow import fs as arrow_fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .session import ROW_GROUPS
+
 DONE = "path string, done boolean, error string"
 
 
 def publish_dataset(documents: DataFrame, path: str, batch_id: int) -> None:
     """Write one batch as a partition of a table; writing it again replaces it."""
-    documents.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+    documents.write.mode("overwrite").options(**ROW_GROUPS).parquet(f"{path}/batch_id={batch_id}")
 
 
 def published_name() -> F.Column:
@@ -138,4 +140,8 @@ def _on_files(files: DataFrame, act: Callable[[str], str]) -> DataFrame:
             paths = frame["source_path"]
             yield _each(paths, lambda i: act(paths.iloc[i]))
 
-    return files.select("source_path").distinct().mapInPandas(run, DONE)
+    # A file operation is slow and its row is small: the number of tasks is set, as AQE
+    # would merge them by size.
+    n = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    paths = files.select("source_path").repartition(n, "source_path").distinct()
+    return paths.mapInPandas(run, DONE)

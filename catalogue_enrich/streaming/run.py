@@ -11,10 +11,11 @@ from pyspark.sql.utils import AnalysisException
 
 from ..operators.infer import Answerer
 from ..operators.ledger import new_lines
+from ..operators.report import file_counts
 from ..plans.enrichment import enrich_documents
 from ..schema import LEDGER_KEY
 from ..session import configure
-from ..sinks import archive_files, publish_dataset, publish_files
+from ..sinks import archive_files, delete_files, publish_dataset, publish_files
 from ..sources.images import Fetch
 from ..sources.landing import stream_landing
 
@@ -57,6 +58,7 @@ def run(
     poll_seconds: int | None = None,
     outbound: str | None = None,
     archive: str | None = None,
+    delete_inputs: bool = False,
     **options,
 ) -> StreamingQuery:
     """Start enriching the JSON files that arrive in ``landing``.
@@ -65,15 +67,18 @@ def run(
     looks again after that many seconds. Each batch of at most ``batch_size`` files leaves a
     ``batch_id`` partition in the tables ``articles, images, enriched, published,
     quarantine, failed_images, metrics`` below ``target``, and, if asked, a file per article
-    in ``outbound`` and its inputs moved to ``archive``. The stream's position is kept
+    in ``outbound`` and its inputs moved to ``archive`` (or deleted). The stream's position is kept
     below ``target`` too, so batch ids and tables belong together.
 
     A batch that died is run again and replaces its partitions; stages it had completed
     are read, not repeated, so finished model calls are not made twice. Inputs are moved
-    only after everything else is written.
+    only after all outputs are written; the metrics count the moves and come last.
     """
     configure(spark)
 
+    def staged_articles(session: SparkSession, batch_id: int) -> DataFrame:
+        return session.read.parquet(f"{target}/articles/batch_id={batch_id}")
+
     def process(raw: DataFrame, batch_id: int) -> None:
         session = raw.sparkSession
 
@@ -83,22 +88,36 @@ def run(
                 return session.read.schema(df.schema).parquet(f"{path}/batch_id={batch_id}")
             return write_batch(df, path, batch_id)
 
+        reports: dict[str, DataFrame] = {}
         done = enrich_documents(raw, make_fetch, answerer, stage=staged, **options)
         documents = write_batch(done.documents, f"{target}/published", batch_id)
         if outbound:
-            report = write_batch(
+            reports["published"] = write_batch(
                 publish_files(documents, outbound), f"{target}/published_files", batch_id
             )
-            unwritten = report.where(~F.col("done")).head(1)
+            unwritten = reports["published"].where(~F.col("done")).head(1)
             if unwritten:
                 raise OSError(f"batch {batch_id} is not fully published: {unwritten[0]}")
         publish_dataset(done.quarantine, f"{target}/quarantine", batch_id)
         append_to_ledger(done.ledger, f"{target}/failed_images", batch_id)
-        publish_dataset(done.metrics, f"{target}/metrics", batch_id)
-        if archive:
-            inputs = session.read.parquet(f"{target}/articles/batch_id={batch_id}")
-            report = archive_files(inputs, archive)
-            write_batch(report, f"{target}/archived_files", batch_id)
+        inputs = staged_articles(session, batch_id).select("source_path").distinct()
+        if archive or delete_inputs:
+            moved = archive_files(inputs, archive) if archive else delete_files(inputs)
+            reports["archived"] = write_batch(moved, f"{target}/archived_files", batch_id)
+        files = inputs.agg(F.count("*").alias("files")).select(
+            F.explode(
+                F.create_map(
+                    F.lit("files"),
+                    "files",
+                    F.lit("more_available"),
+                    (F.col("files") == batch_size).cast("bigint"),
+                )
+            ).alias("metric", "value")
+        )
+        metrics = done.metrics.union(files)
+        if reports:
+            metrics = metrics.union(file_counts(**reports))
+        publish_dataset(metrics, f"{target}/metrics", batch_id)
 
     return start(stream_landing(spark, landing, batch_size), f"{target}/_position", process, poll_seconds)
 

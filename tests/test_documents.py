@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from catalogue_enrich.operators.normalize import from_documents
-from catalogue_enrich.operators.writeback import group_results, join_results, write_back
+from catalogue_enrich.operators.writeback import group_results, join_results, write_back, write_back_struct
+from catalogue_enrich.schema import ARTICLE
 from catalogue_enrich.sources.landing import read_landing
 from tests.articles import MISSING, RESULT, article, attribute, raw, value
 
@@ -167,6 +168,19 @@ def test_join_results(spark):
     assert group_results(results, "article_key", "n").count() == 1
 
 
+def test_write_back_to_structs(spark):
+    document = article(1, **{"Klassifikations-Attribute": [attribute(i) for i in "abcd"]})
+    rows = spark.createDataFrame([(json.dumps(document),)], "d string").select(F.from_json("d", ARTICLE).alias("d"))
+    results = [(0, '"x"', "x", None), (1, '["#1"]', None, ["#1"]), (2, "null", None, None), (3, None, None, None)]
+    schema = "results array<struct<pos:int,result_json:string,result:string,result_list:array<string>>>"
+    got = rows.crossJoin(spark.createDataFrame([(results,)], schema)).select(
+        write_back_struct(F.col("d")["Klassifikations-Attribute"], F.col("results")).alias("a")
+    )
+    attributes = got.first()["a"]
+    assert [a[RESULT] for a in attributes] == ["x", '["#1"]', None, "alt"]
+    assert [a["Identifier"] for a in attributes] == list("abcd") and attributes[3]["Orientierung"] == "oben"
+
+
 def test_landing_folder(spark, folder):
     texts = {"b.json": article(1), "a ü+%.json": article(2)}
     for name, document in texts.items():

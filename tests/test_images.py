@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from catalogue_enrich.operators.images import attach_images, branch
 from catalogue_enrich.operators.ledger import as_text, failed_lines, new_lines
 from catalogue_enrich.operators.normalize import from_documents
-from catalogue_enrich.operators.skew import join_counted
+from catalogue_enrich.operators.skew import join_counted, spread
 from catalogue_enrich.sources.images import fetch_images, http_get, probe_images, url_registry
 from tests.articles import MISSING, article, attribute, raw
 
@@ -137,9 +137,10 @@ def test_a_hot_url_is_spread(spark):
     assert joined.count() == n
     assert joined.where("ok").count() == n - 1
     assert sorted(r["id"] for r in joined.select("id").collect()) == list(range(n))
-    # With 2/3 of all rows, the hot key is cut into at least 2/3 of the slices.
-    plan = joined._jdf.queryExecution().toString()
-    assert "_slice" in plan
+    placed, repeated = spread(many, one, "url", "n", F.col("id"), slices=16)
+    largest = placed.groupBy("url", "_slice").count().agg(F.max("count")).first()[0]
+    assert largest < 1.5 * n / 16  # the hot key alone has 2/3 of all rows
+    assert repeated.count() <= one.count() + 2 * 16
 
 
 def test_ledger(spark):

@@ -75,6 +75,11 @@ def test_folder_is_drained_in_batches(spark, places):
     urls = ("http://img/2/main.jpg", "http://img/2/model.jpg")
     assert ledger == {("2", c, u) for c in (None, "F2") for u in urls}
 
+    metrics = spark.read.parquet(f"{tables}/metrics").where("batch_id = 2")
+    got = {r["metric"]: r["value"] for r in metrics.collect()}
+    assert got["files"] == 1 and got["more_available"] == 0
+    assert got["published_asked"] == got["published_done"] <= got["archived_done"] == 1
+
     # A second run takes only what arrived since; what is in the ledger is not added again.
     land(places, "late.json", article(2))
     stream(spark, places).awaitTermination()
@@ -118,6 +123,20 @@ def test_polling_stream_stays(spark, places):
     query.stop()
 
 
+def test_inputs_can_be_deleted(spark, places):
+    land(places, "0.json", article(0))
+    stream(spark, places, archive=None, delete_inputs=True).awaitTermination()
+    assert set(published(places)) == {"0.json"} and os.listdir(f"{places}/out") == []
+
+
+def test_tables_without_files(spark, places):
+    land(places, "0.json", [article(0), article(1)])
+    stream(spark, places, archive=None, outbound=None).awaitTermination()
+    rows = spark.read.parquet(f"{places}/tables/published").collect()
+    assert [(r["source_file"], r["doc_pos"]) for r in rows] == [("0.json", 0), ("0.json", 1)]
+    assert os.listdir(f"{places}/out") == ["0.json"] and os.listdir(f"{places}/in") == []
+
+
 def test_ledger_of_a_replayed_batch(spark, folder):
     def lines(*ids):
         return spark.createDataFrame([(i, None, "u") for i in ids], "product_id string, supplier_colour string, url string")
