@@ -19,49 +19,57 @@ def bind(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
+# What a JSON string must escape.
+_ESCAPED = r'["\\\x00-\x1f]'
+# How the text of a value that is not a string may start.
+_NOT_A_STRING = r"^(?:[\[{0-9-]|true$|false$)"
+
+
 def json_string(text: Column) -> Column:
     """``text`` as a JSON string literal; null reads ``null``."""
-    return bind(F.to_json(F.array(text)), lambda t: F.substring(t, F.lit(2), F.length(t) - 2))
+    literal = F.to_json(F.array(text))
+    return (
+        F.when(text.isNull(), F.lit("null"))
+        .when(text.rlike(_ESCAPED), F.substring(literal, F.lit(2), F.length(literal) - 2))
+        .otherwise(F.concat(F.lit('"'), text, F.lit('"')))
+    )
 
 
 def json_value(text: Column, value: Column) -> Column:
     """JSON text of one value: ``text`` as it was read, quoted again if it was a string."""
+    is_string = ~text.rlike(_NOT_A_STRING) | (F.schema_of_variant(value) == "STRING")
     return (
-        F.when(text.isNull(), F.lit("null"))
-        .when(F.schema_of_variant(value) == "STRING", json_string(text))
-        .otherwise(text)
+        F.when(text.isNull(), F.lit("null")).when(is_string, json_string(text)).otherwise(text)
     )
 
 
-def dict_of(fields: Column) -> Column:
-    """A parsed object with its duplicate keys resolved: first place, last value."""
-    return F.map_from_entries(F.map_entries(fields))
-
-
 def members(strings: Column, variants: Column) -> Column:
-    """Ordered ``array<struct<key, json>>`` of an object read as text and as variants."""
-    return F.zip_with(
-        F.map_entries(dict_of(strings)),
-        F.map_entries(dict_of(variants)),
-        lambda s, v: F.struct(
-            s["key"].alias("key"), json_value(s["value"], v["value"]).alias("json")
-        ),
+    """An object read as text and as variants, as an ordered map of key to JSON text.
+
+    Of duplicate keys the last gives the value and the first the place.
+    """
+    return F.map_from_entries(
+        F.zip_with(
+            F.map_entries(strings),
+            F.map_entries(variants),
+            lambda s, v: F.struct(
+                s["key"].alias("key"), json_value(s["value"], v["value"]).alias("value")
+            ),
+        )
     )
 
 
 def object_text(items: Column) -> Column:
     """JSON text of an object from its ``members``."""
-    parts = F.transform(items, lambda m: F.concat(json_string(m["key"]), F.lit(":"), m["json"]))
+    parts = F.transform(
+        F.map_entries(items), lambda m: F.concat(json_string(m["key"]), F.lit(":"), m["value"])
+    )
     return F.concat(F.lit("{"), F.array_join(parts, ","), F.lit("}"))
 
 
 def put(items: Column, key: str, json: Column) -> Column:
     """``members`` with ``key`` set in place, or appended."""
-    member = F.struct(F.lit(key).alias("key"), json.alias("json"))
-    return F.when(
-        F.exists(items, lambda m: m["key"] == key),
-        F.transform(items, lambda m: F.when(m["key"] == key, member).otherwise(m)),
-    ).otherwise(F.concat(items, F.array(member)))
+    return F.map_concat(items, F.create_map(F.lit(key), json))
 
 
 def starts_with(text: Column, bracket: str) -> Column:

@@ -247,4 +247,17 @@ written AS (
   || ',"Bezeichnung":' || to_json(category) || '}],"Klassifikations-Attribute":[' || items || ']}' AS enriched
 FROM article JOIN written USING (product_id)""",
     ),
+    "q29_model_calls": _with(
+        _ARTICLES,
+        _OPTIONS,
+        _PROMPTS,
+        select="""SELECT p.product_id, p.pos,
+  CASE WHEN p.branch <> 'inferred' THEN p.branch WHEN length(p.prompt) % 7 = 0 THEN 'raw' ELSE 'value' END AS kind,
+  CASE p.branch WHEN 'kept' THEN 'alt' WHEN 'nulled' THEN NULL
+    ELSE length(p.prompt) || ' characters, ' || i.n || ' images, ' || i.size || ' bytes' END AS result,
+  p.branch = 'nulled' AS unresolved
+FROM prompts p LEFT JOIN (
+  SELECT product_id, count(*) AS n, sum(length('data:image/jpeg;base64,' || to_base64(encode(url)))) AS size
+  FROM image WHERE ok GROUP BY 1) i USING (product_id)""",
+    ),
 }

@@ -13,6 +13,7 @@ from .functions.encoding import base_name, data_url
 from .functions.geometry import thumbnail_size
 from .functions.response import parse_response
 from .operators.images import ok_images
+from .operators.infer import call_model
 from .operators.ledger import failed_lines, new_lines
 from .operators.normalize import explode_attributes, explode_images, from_documents
 from .operators.prompt import Prompts, messages_json, with_requests
@@ -20,7 +21,7 @@ from .operators.report import flat_results, run_metrics, unresolved, without_ima
 from .operators.writeback import join_results, write_back
 from .plans.enrichment import enrich, prepare
 from .session import configure, shared_folder, stage
-from .sinks import last_writes
+from .sinks import last_writes, only_processed
 from .sources.batches import assign_batches, batch_report
 from .sources.images import fetch_images, url_registry
 from .streaming.run import append_to_ledger, publish_dataset, read_batches, start
@@ -205,7 +206,7 @@ def no_images(spark: SparkSession, sf_dir: str) -> DataFrame:
 def name_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = V.table(spark, sf_dir, "pages").select("page_id", base_name(F.col("url")).alias("name"))
     done = V.table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"))
-    return pages.where(F.col("name").endswith("=feed")).join(done, "page_id", "left_semi")
+    return only_processed(pages.where(F.col("name").endswith("=feed")), done, "page_id")
 
 
 def batch_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -320,7 +321,9 @@ def corrupt_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(props)
     )
     raw = V.table(spark, sf_dir, "events").select(
-        event.cast("string").alias("source_path"), F.lit("e.json").alias("source_file"), text.alias("document")
+        event.cast("string").alias("source_path"),
+        F.lit("e.json").alias("source_file"),
+        text.alias("document"),
     )
     rejected = F.col("reject_reason").isNotNull()
     return from_documents(raw, strict=False).agg(
@@ -334,6 +337,21 @@ def enriched_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return write_back(enrich(rows, _images(rows))).select("product_id", "enriched")
 
 
+def model_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The chain with images fetched and a client called in Python, as with a real model."""
+    rows = V.article_rows(spark, sf_dir)
+    images = stage(fetch_images(url_registry(rows), V.make_fetch), "images")
+    answerer = call_model(V.make_client)
+    flat = flat_results(enrich(rows, images, answerer=answerer, with_content=True))
+    return flat.select(
+        F.col("article_key").alias("product_id"),
+        "pos",
+        "kind",
+        F.coalesce("result", F.array_join("result_list", ",")).alias("result"),
+        "unresolved",
+    )
+
+
 QUERIES: dict[str, Query] = {
     "q01_article_scan": article_scan,
     "q02_image_list": image_list,
@@ -363,6 +381,7 @@ QUERIES: dict[str, Query] = {
     "q26_thumbnail_geometry": thumbnail_geometry,
     "q27_corrupt_quarantine": corrupt_quarantine,
     "q28_enriched_documents": enriched_documents,
+    "q29_model_calls": model_calls,
 }
 
 

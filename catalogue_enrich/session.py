@@ -18,8 +18,6 @@ REQUIRED_CONF = {
     "spark.sql.session.timeZone": "UTC",
     # A join whose smaller side proves small per partition need not sort the documents.
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
-    # Rows sent to Python may hold images: a batch is bounded by rows, at megabytes each.
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "128",
 }
 
 # Rows of staged tables hold images or whole documents. A reader holds up to one row group

@@ -87,6 +87,14 @@ def delete_files(files: DataFrame) -> DataFrame:
     return _on_files(files, delete)
 
 
+def only_processed(files: DataFrame, processed: DataFrame, name: str) -> DataFrame:
+    """The ``files`` whose ``name`` is among the ``processed`` ones.
+
+    Repeated names of ``processed`` are dropped before the shuffle.
+    """
+    return files.join(processed.select(name).distinct(), name, "left_semi")
+
+
 def last_writes(files: DataFrame, destination: list[str], order_by: str) -> DataFrame:
     """Of the files that share a ``destination``, the one written last by ``order_by``.
 

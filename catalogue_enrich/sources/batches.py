@@ -14,16 +14,18 @@ def assign_batches(files: DataFrame, order_by: str, batch_size: int) -> DataFram
     A global ``row_number()`` would pull the listing through one task. The listing is
     range-partitioned instead; each partition numbers its own rows and is shifted by the
     row count of the partitions before it. Only those counts (one row per partition) meet
-    in one task, and only they are broadcast. ``order_by`` should be unique, as file names
-    are; equal keys share a partition.
+    in one task, and only they are broadcast. Rows of equal keys have no order, so they may
+    be split over partitions too.
     """
     spark = files.sparkSession
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(shared_folder(spark, "checkpoints"))
     # Checkpointed, so a lost executor cannot renumber part of the rows.
     placed = (
-        files.repartitionByRange(F.col(order_by))
+        files.withColumn("_tie", F.rand(seed=0))
+        .repartitionByRange(order_by, "_tie")
         .sortWithinPartitions(order_by)
+        .drop("_tie")
         .withColumn("_id", F.monotonically_increasing_id())
         .checkpoint()
         .withColumn("_part", F.shiftright("_id", 33))

@@ -30,8 +30,10 @@ def read_batches(spark: SparkSession, path: str, before: int | None = None) -> D
     """All batches of a table, or those before ``before``; None if there are none."""
     try:
         table = spark.read.parquet(path)
-    except AnalysisException:
-        return None
+    except AnalysisException as failure:
+        if failure.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
     return table if before is None else table.where(F.col("batch_id") < before)
 
 

@@ -6,6 +6,7 @@ the views need no shuffle and grow with the table.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -126,6 +127,20 @@ def make_fetch() -> Callable[[str], bytes]:
     return fetch
 
 
+def make_client() -> Callable[..., str]:
+    """A client whose answer tells what it was sent; every 7th length it answers no JSON."""
+
+    def client(messages, wants_list, temperature, max_tokens):
+        text, *images = messages[1]["content"]
+        size = sum(len(image["image_url"]["url"]) for image in images)
+        said = f"{len(text['text'])} characters, {len(images)} images, {size} bytes"
+        if len(text["text"]) % 7 == 0:
+            return said
+        return json.dumps({"response": [said] if wants_list else said})
+
+    return client
+
+
 def images(rows: DataFrame) -> DataFrame:
     """The images of article rows: ``url, n_uses, ok``."""
     return url_registry(rows).withColumn("ok", image_ok(F.col("url")))
