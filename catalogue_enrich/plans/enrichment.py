@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.images import attach_images, branch
@@ -84,12 +84,21 @@ def enrich_documents(
     prepared = prepare(accepted, images, prompts, with_content=True)
     if parallelism:
         prepared = prepared.repartition(parallelism, "article_key")
-    enriched = with_results(infer(prepared, answerer)).drop("answers")
-    without_content = F.transform(
-        "images", lambda i: F.struct(i["pos"].alias("pos"), i["url"].alias("url"), i["ok"].alias("ok"))
+    enriched = with_results(infer(prepared, answerer))
+    return results_of(parsed, stage(_outcome(enriched), "enriched"))
+
+
+def _outcome(enriched: DataFrame) -> DataFrame:
+    """Enriched article rows without what only the model call needed."""
+
+    def only(items: str, *fields: str) -> Column:
+        return F.transform(items, lambda i: F.struct(*(i[f].alias(f) for f in fields)))
+
+    return (
+        enriched.drop("requests", "answers")
+        .withColumn("images", only("images", "pos", "url", "ok"))
+        .withColumn("attributes", only("attributes", "pos", "attribute_id", "result"))
     )
-    articles = stage(enriched.withColumn("images", without_content), "enriched")
-    return results_of(parsed, articles)
 
 
 def results_of(parsed: DataFrame, articles: DataFrame) -> Enriched:

@@ -103,9 +103,12 @@ def run(
         publish_dataset(done.quarantine, f"{target}/quarantine", batch_id)
         append_to_ledger(done.ledger, f"{target}/failed_images", batch_id)
         inputs = staged_articles(session, batch_id).select("source_path").distinct()
-        if archive or delete_inputs:
-            moved = archive_files(inputs, archive) if archive else delete_files(inputs)
+        if archive:
+            moved = archive_files(inputs, archive)
             reports["archived"] = write_batch(moved, f"{target}/archived_files", batch_id)
+        elif delete_inputs:
+            deleted = delete_files(inputs)
+            reports["deleted"] = write_batch(deleted, f"{target}/deleted_files", batch_id)
         files = inputs.agg(F.count("*").alias("files")).select(
             F.explode(
                 F.create_map(

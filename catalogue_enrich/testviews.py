@@ -21,6 +21,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _wide(rows: DataFrame) -> DataFrame:
+    """``rows`` over at least as many partitions as there are cores.
+
+    A table of a few small files is read by a few tasks, whatever work follows per row.
+    A table with enough splits is left as it is, so nothing is shuffled at scale.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
+
+
 def _strings(*fields: tuple[str, Column]) -> Column:
     return F.struct(*(value.cast("string").alias(name) for name, value in fields))
 
@@ -70,7 +80,7 @@ def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     category = _strings(
         (S.IDENTIFIER, kind), (S.CATEGORY_LABEL, F.concat(kind, F.lit(" / "), name))
     )
-    return table(spark, sf_dir, "part").select(
+    return _wide(table(spark, sf_dir, "part")).select(
         key.cast("string").alias(S.PRODUCT_ID),
         brand.alias(S.COLOUR_ID),
         name.alias(S.SUPPLIER_ARTICLE),
