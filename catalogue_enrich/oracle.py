@@ -91,6 +91,15 @@ ledger AS (
   FROM image JOIN article USING (product_id) CROSS JOIN (VALUES (1), (2)) AS kinds(k) WHERE NOT ok
   UNION SELECT product_id, colour_id, '[]' FROM counted WHERE n_images = 0)"""
 
+# What the test client says to each request.
+_ANSWERED = r"""
+answered AS (
+  SELECT p.product_id, p.pos, p.attribute_id, p.branch, length(p.prompt) % 7 = 0 AS is_raw,
+    length(p.prompt) || ' characters, ' || i.n || ' images, ' || i.size || ' bytes' AS said
+  FROM prompts p LEFT JOIN (
+    SELECT product_id, count(*) AS n, sum(length('data:image/jpeg;base64,' || to_base64(encode(url)))) AS size
+    FROM image WHERE ok GROUP BY 1) i USING (product_id))"""
+
 # A result as it stands in a document: JSON text, and the text a reader gets for it.
 _JSON_RESULT = "CASE WHEN result IS NULL THEN 'null' WHEN is_list THEN '[' || to_json(result) || ']' ELSE to_json(result) END"
 _READ_RESULT = "CASE WHEN is_list THEN '[' || to_json(result) || ']' ELSE result END"
@@ -251,13 +260,21 @@ FROM article JOIN written USING (product_id)""",
         _ARTICLES,
         _OPTIONS,
         _PROMPTS,
-        select="""SELECT p.product_id, p.pos,
-  CASE WHEN p.branch <> 'inferred' THEN p.branch WHEN length(p.prompt) % 7 = 0 THEN 'raw' ELSE 'value' END AS kind,
-  CASE p.branch WHEN 'kept' THEN 'alt' WHEN 'nulled' THEN NULL
-    ELSE length(p.prompt) || ' characters, ' || i.n || ' images, ' || i.size || ' bytes' END AS result,
-  p.branch = 'nulled' AS unresolved
-FROM prompts p LEFT JOIN (
-  SELECT product_id, count(*) AS n, sum(length('data:image/jpeg;base64,' || to_base64(encode(url)))) AS size
-  FROM image WHERE ok GROUP BY 1) i USING (product_id)""",
+        _ANSWERED,
+        select="""SELECT product_id, pos,
+  CASE WHEN branch <> 'inferred' THEN branch WHEN is_raw THEN 'raw' ELSE 'value' END AS kind,
+  CASE branch WHEN 'kept' THEN 'alt' WHEN 'inferred' THEN said END AS result, branch = 'nulled' AS unresolved
+FROM answered""",
+    ),
+    "q30_folder_run": _with(
+        _ARTICLES,
+        _OPTIONS,
+        _PROMPTS,
+        _ANSWERED,
+        select="""SELECT product_id, pos, attribute_id, true AS archived,
+  CASE WHEN branch = 'kept' THEN 'alt' WHEN branch = 'nulled' THEN NULL
+    WHEN attribute_id = 'farbe' AND NOT is_raw THEN '["' || said || '"]' ELSE said END AS result,
+  'Beschreibt ' || label AS description, '{"z":' || product_id || ',"a":[null,"ä"]}' AS unknown
+FROM answered JOIN attribute USING (product_id, pos, attribute_id)""",
     ),
 }

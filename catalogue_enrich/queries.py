@@ -21,10 +21,11 @@ from .operators.report import flat_results, run_metrics, unresolved, without_ima
 from .operators.writeback import join_results, write_back
 from .plans.enrichment import enrich, prepare
 from .session import configure, shared_folder, stage
-from .sinks import last_writes, only_processed
+from .sinks import last_writes, only_processed, publish_dataset, publish_files
 from .sources.batches import assign_batches, batch_report
 from .sources.images import fetch_images, url_registry
-from .streaming.run import append_to_ledger, publish_dataset, read_batches, start
+from .sources.landing import read_landing
+from .streaming.run import append_to_ledger, read_batches, run, start
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -146,15 +147,17 @@ def infer(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _document_results(documents: DataFrame) -> DataFrame:
+def _document_results(documents: DataFrame, *keep: str) -> DataFrame:
     """What enriched documents say, read anew."""
     root = F.from_json("enriched", "map<string,string>")
     items = F.from_json(F.col("root")[S.ATTRIBUTES], "array<map<string,string>>")
-    return documents.select(root.alias("root")).select(
+    return documents.select(*keep, root.alias("root")).select(
+        *keep,
         F.col("root")[S.PRODUCT_ID].alias("product_id"),
         F.col("root")["Unbekannt"].alias("unknown"),
         F.posexplode(items).alias("pos", "attribute"),
     ).select(
+        *keep,
         "product_id",
         "pos",
         F.col("attribute")[S.IDENTIFIER].alias("attribute_id"),
@@ -352,6 +355,30 @@ def model_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def folder_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole service: a landing folder of JSON files, drained as a stream of batches.
+
+    Gives what the published files say and whether their inputs were archived.
+    """
+    folder = shared_folder(spark, "service")
+    landing, outbound, archive = f"{folder}/out", f"{folder}/in", f"{folder}/out/done"
+    files = V.documents(spark, sf_dir).withColumn("doc_pos", F.lit(None).cast("int"))
+    publish_files(files, landing, "document").write.format("noop").mode("overwrite").save()
+    run(
+        spark,
+        landing,
+        f"{folder}/tables",
+        V.make_fetch,
+        call_model(V.make_client),
+        batch_size=1000,
+        outbound=outbound,
+        archive=archive,
+    ).awaitTermination()
+    published = read_landing(spark, outbound).withColumnRenamed("document", "enriched")
+    archived = read_landing(spark, archive).select("source_file", F.lit(True).alias("archived"))
+    return _document_results(published.join(archived, "source_file", "left"), "archived")
+
+
 QUERIES: dict[str, Query] = {
     "q01_article_scan": article_scan,
     "q02_image_list": image_list,
@@ -382,13 +409,14 @@ QUERIES: dict[str, Query] = {
     "q27_corrupt_quarantine": corrupt_quarantine,
     "q28_enriched_documents": enriched_documents,
     "q29_model_calls": model_calls,
+    "q30_folder_run": folder_run,
 }
 
 
 def configured(query: Query) -> Query:
     """``query`` on a session that has the settings the operators rely on."""
 
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def on(spark: SparkSession, sf_dir: str) -> DataFrame:
         return query(configure(spark), sf_dir)
 
-    return run
+    return on
