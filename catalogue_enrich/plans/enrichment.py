@@ -66,6 +66,7 @@ def enrich_documents(
     *,
     prompts: Prompts = Prompts(),
     strict: bool = True,
+    on_error: str = "quarantine",
     parallelism: int | None = None,
     stage: Stage = stage,
     **fetch_options,
@@ -74,8 +75,17 @@ def enrich_documents(
 
     What must not be done twice is staged: the article rows (read once), the images
     (fetched once per distinct URL) and the answers (asked once).
+
+    A document that is rejected or an answer that is none goes to ``quarantine``; with
+    ``on_error='fail'`` the first one fails the job, before anything is staged from it.
     """
-    parsed = stage(from_documents(raw, strict), "articles")
+    if on_error not in ("quarantine", "fail"):
+        raise ValueError(f"on_error: {on_error!r}")
+
+    def checked(rows: DataFrame, column: str) -> DataFrame:
+        return rows if on_error == "quarantine" else fail_on(rows, column)
+
+    parsed = stage(checked(from_documents(raw, strict), "reject_reason"), "articles")
     accepted = parsed.where(F.col("reject_reason").isNull()).drop("reject_reason")
     images = stage(
         fetch_images(url_registry(accepted), make_fetch, parallelism=parallelism, **fetch_options),
@@ -84,10 +94,17 @@ def enrich_documents(
     prepared = prepare(accepted, images, prompts, with_content=True)
     if parallelism:
         prepared = prepared.repartition(parallelism, "article_key")
-    enriched = with_results(infer(prepared, answerer))
+    enriched = checked(with_results(infer(prepared, answerer)), "error")
     return results_of(parsed, stage(_outcome(enriched), "enriched"))
 
 
+def fail_on(rows: DataFrame, column: str) -> DataFrame:
+    """``rows``, failing the job that reads ``column`` where it is not null."""
+    found = F.concat_ws(": ", "article_key", column)
+    failure = F.when(F.col(column).isNotNull(), F.raise_error(found).cast("string"))
+    return rows.withColumn(column, failure)
+
+
 def _outcome(enriched: DataFrame) -> DataFrame:
     """Enriched article rows without what only the model call needed."""
 

@@ -131,6 +131,21 @@ def test_failed_calls_can_fail_the_job(spark):
         call_model(echo_client(), on_error="nonsense")
 
 
+@pytest.mark.parametrize(
+    "document, reply, reason",
+    [
+        ("broken", "x", "invalid_json"),
+        (article(0, Klassifikation=[]), "x", "category_missing"),
+        (article(0), "[1]", "answer is not a JSON object"),
+        (article(0), KeyError, "told so"),
+    ],
+)
+def test_errors_can_fail_the_job(spark, document, reply, reason):
+    with pytest.raises(Exception, match=reason):
+        run(spark, [article(1), document], echo_client(taschenart=reply), on_error="fail")
+    assert len(documents_of(run(spark, [article(1)], on_error="fail"))) == 1
+
+
 def test_lenient_run(spark):
     sources = [article(0, Klassifikation=[]), "broken"]
     done = run(spark, sources, strict=False)
