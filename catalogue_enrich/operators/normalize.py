@@ -96,7 +96,10 @@ def _article(root: Callable[[str], Column]) -> list[Column]:
 
 
 def from_struct(articles: DataFrame, key: str = S.PRODUCT_ID) -> DataFrame:
-    """Article rows from documents held as structs (``schema.ARTICLE``)."""
+    """Article rows from documents held as structs (``schema.ARTICLE``).
+
+    ``key`` names the column that tells the documents apart.
+    """
 
     def root(name: str) -> Column:
         return F.col(f"`{name}`")
@@ -151,7 +154,9 @@ def split_documents(raw: DataFrame) -> DataFrame:
         "source_path",
         "source_file",
         F.when(in_list, F.col("_pos")).alias("doc_pos"),
-        F.when(in_list & F.col("_pos").isNotNull(), object_text(own)).otherwise(document).alias("document"),
+        F.when(in_list & F.col("_pos").isNotNull(), object_text(own))
+        .otherwise(document)
+        .alias("document"),
         "article",
     )
 

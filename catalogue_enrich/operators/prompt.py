@@ -70,12 +70,10 @@ def with_requests(articles: DataFrame, texts: Prompts, when: Column | None = Non
             F.when(colour, colour_id).alias("supplier_colour"),
         )
 
-    requests = F.transform("attributes", request)
-    if when is None:
-        return articles.withColumn("requests", requests)
-    with_type = articles.withColumn("_all", requests)
-    none = F.array().cast(with_type.schema["_all"].dataType)
-    return with_type.withColumn("requests", F.when(when, F.col("_all")).otherwise(none)).drop("_all")
+    asked = F.col("attributes")
+    if when is not None:
+        asked = F.when(when, asked).otherwise(F.array())
+    return articles.withColumn("requests", F.transform(asked, request))
 
 
 def user_content(text: Column, image_urls: Column) -> Column:

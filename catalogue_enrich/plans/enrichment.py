@@ -124,12 +124,14 @@ def results_of(parsed: DataFrame, articles: DataFrame) -> Enriched:
     done = write_back(articles.where(F.col("error").isNull()))
     rejected = parsed.where(F.col("reject_reason").isNotNull())
     failed = articles.where(F.col("error").isNotNull())
+
+    def set_apart(rows: DataFrame, reason: str) -> DataFrame:
+        return rows.select(*origin, "document", F.col(reason).alias("reason"))
+
     return Enriched(
         articles=articles,
         documents=done.select(*origin, "enriched"),
-        quarantine=rejected.select(*origin, "document", F.col("reject_reason").alias("reason")).union(
-            failed.select(*origin, "document", F.col("error").alias("reason"))
-        ),
+        quarantine=set_apart(rejected, "reject_reason").union(set_apart(failed, "error")),
         ledger=failed_lines(articles),
         metrics=run_metrics(articles),
     )

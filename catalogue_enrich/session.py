@@ -51,7 +51,7 @@ def stage(df: DataFrame, purpose: str) -> DataFrame:
 
     Cuts the lineage where work must not be repeated (fetches, model calls) and
     survives the loss of executors. The reader also learns the real size, so join
-    strategies are picked from facts.
+    strategies are picked from facts. The folder is the caller's to clear.
     """
     spark = df.sparkSession
     path = shared_folder(spark, purpose)

@@ -9,7 +9,7 @@ from urllib.parse import unquote, urlsplit
 
 import pandas as pd
 from pyarrow import fs as arrow_fs
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .session import ROW_GROUPS
@@ -22,7 +22,7 @@ def publish_dataset(documents: DataFrame, path: str, batch_id: int) -> None:
     documents.write.mode("overwrite").options(**ROW_GROUPS).parquet(f"{path}/batch_id={batch_id}")
 
 
-def published_name() -> F.Column:
+def published_name() -> Column:
     """File name an article is published under: its own, or ``<file>.d/<n>.json`` for the
     n-th article of a file that holds an array (no landing file has such a name)."""
     return F.when(F.col("doc_pos").isNull(), F.col("source_file")).otherwise(
@@ -52,7 +52,8 @@ def publish_files(documents: DataFrame, folder: str, document: str = "enriched")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            yield _each(frame["name"], lambda i: write(frame["name"].iloc[i], frame["text"].iloc[i]))
+            names, texts = frame["name"], frame["text"]
+            yield _each(names, lambda i: write(names.iloc[i], texts.iloc[i]))
 
     return rows.mapInPandas(run, DONE)
 

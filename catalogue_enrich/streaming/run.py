@@ -69,8 +69,8 @@ def run(
     looks again after that many seconds. Each batch of at most ``batch_size`` files leaves a
     ``batch_id`` partition in the tables ``articles, images, enriched, published,
     quarantine, failed_images, metrics`` below ``target``, and, if asked, a file per article
-    in ``outbound`` and its inputs moved to ``archive`` (or deleted). The stream's position is kept
-    below ``target`` too, so batch ids and tables belong together.
+    in ``outbound`` and its inputs moved to ``archive`` (or deleted). The stream's position
+    is kept below ``target`` too, so batch ids and tables belong together.
 
     A batch that died is run again and replaces its partitions; stages it had completed
     are read, not repeated, so finished model calls are not made twice. Inputs are moved
@@ -109,22 +109,17 @@ def run(
         elif delete_inputs:
             deleted = delete_files(inputs)
             reports["deleted"] = write_batch(deleted, f"{target}/deleted_files", batch_id)
-        files = inputs.agg(F.count("*").alias("files")).select(
-            F.explode(
-                F.create_map(
-                    F.lit("files"),
-                    "files",
-                    F.lit("more_available"),
-                    (F.col("files") == batch_size).cast("bigint"),
-                )
-            ).alias("metric", "value")
+        files = inputs.agg(
+            F.count("*").alias("files"),
+            (F.count("*") == batch_size).cast("bigint").alias("more_available"),
         )
-        metrics = done.metrics.union(files)
+        metrics = done.metrics.union(files.unpivot([], files.columns, "metric", "value"))
         if reports:
             metrics = metrics.union(file_counts(**reports))
         publish_dataset(metrics, f"{target}/metrics", batch_id)
 
-    return start(stream_landing(spark, landing, batch_size), f"{target}/_position", process, poll_seconds)
+    stream = stream_landing(spark, landing, batch_size)
+    return start(stream, f"{target}/_position", process, poll_seconds)
 
 
 def start(
