@@ -361,7 +361,7 @@ def folder_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     Gives what the published files say and whether their inputs were archived.
     """
     folder = shared_folder(spark, "service")
-    landing, outbound, archive = f"{folder}/out", f"{folder}/in", f"{folder}/out/done"
+    landing, outbound, archive = f"{folder}/out", f"{folder}/in", f"{folder}/done"
     files = V.documents(spark, sf_dir).withColumn("doc_pos", F.lit(None).cast("int"))
     publish_files(files, landing, "document").write.format("noop").mode("overwrite").save()
     run(

@@ -70,7 +70,9 @@ def run(
     ``batch_id`` partition in the tables ``articles, images, enriched, published,
     quarantine, failed_images, metrics`` below ``target``, and, if asked, a file per article
     in ``outbound`` and its inputs moved to ``archive`` (or deleted). The stream's position
-    is kept below ``target`` too, so batch ids and tables belong together.
+    is kept below ``target`` too, so batch ids and tables belong together. ``archive`` may
+    lie in ``landing`` but is better beside it: Spark lists sub-folders, though it reads no
+    file of them.
 
     A batch that died is run again and replaces its partitions; stages it had completed
     are read, not repeated, so finished model calls are not made twice. Inputs are moved
