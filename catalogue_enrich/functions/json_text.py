@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 # How documents are read: values as text, or as variants that know their types.
 OBJECT = "map<string,string>"
@@ -14,6 +15,15 @@ TYPED_OBJECT = "map<string,variant>"
 TYPED_OBJECTS = "array<map<string,variant>>"
 
 
+# JSON and nothing looser, as elsewhere text is parsed into variants.
+_STRICT = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
+
+
+def read_json(text: Column, schema: str | DataType) -> Column:
+    """``text`` read as ``schema``; null if it is not JSON."""
+    return F.from_json(text, schema, _STRICT)
+
+
 def bind(value: Column, use: Callable[[Column], Column]) -> Column:
     """``use(value)`` with ``value`` computed once, also inside a lambda function."""
     return F.get(F.transform(F.array(value), use), F.lit(0))

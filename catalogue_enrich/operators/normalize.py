@@ -22,6 +22,7 @@ from ..functions.json_text import (
     bind,
     members,
     object_text,
+    read_json,
     starts_with,
 )
 
@@ -127,7 +128,7 @@ def _objects(document: Column) -> Column:
         )
         return F.when(complete, found)
 
-    return bind(F.from_json(framed, T.ArrayType(T.ArrayType(_READ))), unframe)
+    return bind(read_json(framed, T.ArrayType(T.ArrayType(_READ))), unframe)
 
 
 def split_documents(raw: DataFrame) -> DataFrame:
@@ -144,8 +145,8 @@ def split_documents(raw: DataFrame) -> DataFrame:
         "source_path",
         "source_file",
         "document",
-        F.when(is_list, F.from_json(document, OBJECTS)).alias("_strings"),
-        F.when(is_list, F.from_json(document, TYPED_OBJECTS)).alias("_typed"),
+        F.when(is_list, read_json(document, OBJECTS)).alias("_strings"),
+        F.when(is_list, read_json(document, TYPED_OBJECTS)).alias("_typed"),
         F.posexplode_outer("_objects").alias("_pos", "article"),
     )
     own = members(*(F.get(F.col(c), F.col("_pos")) for c in ("_strings", "_typed")))
@@ -180,10 +181,10 @@ def from_documents(raw: DataFrame, strict: bool = True) -> DataFrame:
 
     # Whether a key is missing or null shows only in the text; it is read again for the few
     # documents where that matters.
-    fields = F.from_json("document", OBJECT)
+    fields = read_json(F.col("document"), OBJECT)
     no_result = (F.size(urls) == 0) & F.exists(attributes, lambda a: a[S.RESULT].isNull())
     lacks_result = F.exists(
-        F.from_json(fields[S.ATTRIBUTES], OBJECTS), lambda a: ~F.map_contains_key(a, S.RESULT)
+        read_json(fields[S.ATTRIBUTES], OBJECTS), lambda a: ~F.map_contains_key(a, S.RESULT)
     )
     reason = F.when(article.isNull(), F.lit("invalid_json"))
     if strict:

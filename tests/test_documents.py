@@ -4,6 +4,8 @@ import json
 import os
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from catalogue_enrich.operators.normalize import from_documents
@@ -87,6 +89,7 @@ def test_strict_and_lenient(spark, more, reason):
 
 BROKEN = [
     "", " ", "{", '{"a": 1', "[1]", "5", '"x"', "null", "not json", '{"ProduktID": "1"} x', "[]", '[{"a": 1}, 2]',
+    "{'ProduktID': '1'}", '{"x": NaN}', '{"x": 01}', '{x: 1}', '{"x": "a\tb"}', '{"x": 1,}', "\ufeff{}",
     '{"ProduktID": "1"}, {"ProduktID": "2"}', '{"ProduktID": "1"}], [{}]', '[{"a": 1}] x', "[null]",
 ]
 
@@ -114,6 +117,8 @@ ODD = {
     "zzz": {"b": [1, {"y": None, "x": "ü"}], "a": "5"},
     "number text": "5", "list text": "[1]", "null text": "null", "true text": "true",
     "number": 5, "float": 1.5, "true": True, "null": None, "empty": "", "list": [], "object": {},
+    "big": 123456789012345678901234567890, "small": 1e-7, "large": 1e22, "negative": -5, "date": "2024-01-01",
+    "escapes": "\\u00fc / \x7f \u2028", "deep": [[[{"b": {"z": 1, "a": [{}]}}]]], "-": "-", "t": "t",
     "quote\"d\n": "a\"b\\c\n\t", "umlaut ä": " ",
 }
 
@@ -155,6 +160,31 @@ def test_duplicate_keys_keep_the_last(spark):
     assert json.loads(enriched(spark, text, ["x"]))["FarbID"] == "last"
 
 
+TEXT = st.text(st.characters(exclude_categories=["Cs"]), max_size=8)
+SCALAR = st.none() | st.booleans() | st.integers(-(10**20), 10**20) | st.floats(allow_nan=False, allow_infinity=False) | TEXT
+VALUE = st.recursive(SCALAR, lambda v: st.lists(v, max_size=3) | st.dictionaries(TEXT, v, max_size=3), max_leaves=6)
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.tuples(st.dictionaries(TEXT, VALUE, max_size=4), VALUE), min_size=10, max_size=40))
+def test_any_json_survives(spark, cases):
+    documents, want = [], []
+    for extra, value_ in cases:
+        document = {**extra, **article(1, **{"Klassifikations-Attribute": [{**extra, **attribute("a")}]})}
+        documents.append((json.dumps(document, ensure_ascii=False), json.dumps(value_, ensure_ascii=False)))
+        document["Klassifikations-Attribute"][0][RESULT] = value_
+        want.append(json.dumps(document))
+    schema = "i int, document string, results array<struct<pos:int,result_json:string>>"
+    rows = spark.createDataFrame([(i, d, [(0, r)]) for i, (d, r) in enumerate(documents)], schema)
+    got = write_back(rows).orderBy("i").collect()
+    assert [json.dumps(json.loads(r["enriched"])) for r in got] == want
+
+
+def test_duplicate_keys_deep_inside(spark):
+    text = json.dumps(article(1))[:-1] + ', "extra": {"a": 1, "b": {"c": 1, "c": 2}, "a": 3}}'
+    assert json.loads(enriched(spark, text, ["x"]))["extra"] == {"a": 3, "b": {"c": 2}}
+
+
 def test_join_results(spark):
     documents = from_documents(raw(spark, [("a.json", article(1)), ("b.json", article(2))]))
     results = spark.createDataFrame(

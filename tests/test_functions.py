@@ -99,6 +99,24 @@ def test_response(spark):
             assert row["result_list"] == value and row["result"] is None
 
 
+WORDS = st.text(st.characters(exclude_categories=["Cs"]), max_size=6)
+NUMBERS = st.integers(-(10**20), 10**20) | st.floats(allow_nan=False, allow_infinity=False)
+LEAVES = st.none() | st.booleans() | NUMBERS | WORDS
+VALUES = st.recursive(LEAVES, lambda v: st.lists(v, max_size=3) | st.dictionaries(WORDS, v, max_size=3), max_leaves=5)
+ROOTS = VALUES | st.fixed_dictionaries({"response": VALUES}, optional={"more": VALUES})
+AROUND = st.sampled_from(["", "", "", " ", "\n", "x", "}", "]", ",", "{", "[", '"', "1", ", 1", ': 1', "], [2", '}, {"v": 1'])
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.tuples(AROUND, ROOTS, AROUND), min_size=20, max_size=60))
+def test_response_like_a_json_parser(spark, cases):
+    texts = [before + json.dumps(root) + after for before, root, after in cases]
+    for text, row in zip(texts, column(spark, texts, parse_response)):
+        kind, value = expected_response(text)
+        assert row["kind"] == kind, text
+        assert (row["result_json"] and json.loads(row["result_json"])) == value, text
+
+
 def test_unresolved(spark):
     values = ["null", '"None"', None, '"none"', '["None"]', '"x"']
     assert column(spark, values, is_unresolved) == [True, True, True, False, False, False]
