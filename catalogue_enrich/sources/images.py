@@ -6,6 +6,8 @@ import ssl
 import time
 import urllib.request
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -53,6 +55,7 @@ def fetch_images(
     pause: float = 1.0,
     retry_on: tuple[type[BaseException], ...] = (OSError,),
     parallelism: int | None = None,
+    concurrency: int = 1,
 ) -> DataFrame:
     """Fetch every URL of ``registry`` once: ``url, n_uses, ok, content, error``.
 
@@ -60,8 +63,8 @@ def fetch_images(
     (``retry_on``) is tried ``attempts`` times, ``pause`` seconds apart. Any other error,
     and any error of ``prepare`` (validate, convert, shrink), fails the URL at once.
     A failed URL is a row with ``ok`` false, never an exception. ``parallelism`` sets the
-    number of concurrent fetch tasks; stage the result (``session.stage``) before it is
-    used more than once.
+    number of fetch tasks and ``concurrency`` the fetches under way in each. Stage the
+    result (``session.stage``) before it is used more than once.
     """
 
     def fetch_one(fetch: Fetch, url: str) -> tuple[bool, bytes | None, str | None]:
@@ -84,19 +87,20 @@ def fetch_images(
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         fetch = make_fetch()
-        for frame in frames:
-            for start in range(0, len(frame), _FRAME_ROWS):
-                part = frame.iloc[start : start + _FRAME_ROWS]
-                fetched = [fetch_one(fetch, url) for url in part["url"]]
-                yield pd.DataFrame(
-                    {
-                        "url": part["url"].to_numpy(),
-                        "n_uses": part["n_uses"].to_numpy(),
-                        "ok": [ok for ok, _, _ in fetched],
-                        "content": [content for _, content, _ in fetched],
-                        "error": [error for _, _, error in fetched],
-                    }
-                )
+        with ThreadPoolExecutor(concurrency) as pool:
+            for frame in frames:
+                for start in range(0, len(frame), _FRAME_ROWS):
+                    part = frame.iloc[start : start + _FRAME_ROWS]
+                    fetched = list(pool.map(partial(fetch_one, fetch), part["url"]))
+                    yield pd.DataFrame(
+                        {
+                            "url": part["url"].to_numpy(),
+                            "n_uses": part["n_uses"].to_numpy(),
+                            "ok": [ok for ok, _, _ in fetched],
+                            "content": [content for _, content, _ in fetched],
+                            "error": [error for _, _, error in fetched],
+                        }
+                    )
 
     # The registry is small in bytes but slow to fetch, so its partitions are set by
     # count: AQE would merge them by size into a few tasks.

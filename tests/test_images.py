@@ -67,7 +67,8 @@ def calls(folder, name):
     return sum(f.startswith(f"{name}.") for f in os.listdir(folder))
 
 
-def test_fetch_once_per_url_and_retry(spark, folder):
+@pytest.mark.parametrize("concurrency", [1, 4])
+def test_fetch_once_per_url_and_retry(spark, folder, concurrency):
     urls = ["http://h/ok"] * 50 + ["http://h/down", "http://h/bad", "http://h/broken", "http://h/ok2"]
     rows = spark.createDataFrame([([u],) for u in urls], "image_urls array<string>")
 
@@ -76,7 +77,8 @@ def test_fetch_once_per_url_and_retry(spark, folder):
             raise ValueError("cannot decode")
         return content * 2
 
-    fetched = fetch_images(url_registry(rows), count_calls(folder), prepare=prepare, attempts=3, pause=0.01)
+    options = {"prepare": prepare, "attempts": 3, "pause": 0.01, "concurrency": concurrency}
+    fetched = fetch_images(url_registry(rows), count_calls(folder), **options)
     got = {r["url"].rsplit("/", 1)[1]: r for r in fetched.collect()}
     assert got["ok"]["n_uses"] == 50 and bytes(got["ok"]["content"]) == b"okok" and got["ok"]["error"] is None
     assert [got[n]["ok"] for n in ("ok", "ok2", "down", "bad", "broken")] == [True, True, False, False, False]

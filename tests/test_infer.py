@@ -124,6 +124,25 @@ def test_failed_calls_are_quarantined(spark, reply, reason):
     assert set(documents_of(done)) == {"1.json"}
 
 
+def test_attributes_of_an_article_can_be_asked_at_once(spark, folder):
+    def make():
+        import threading
+
+        together = threading.Barrier(3, timeout=60)  # all three calls must be under way
+
+        def client(messages, **_):
+            together.wait()
+            return json.dumps({"response": messages[1]["content"][0]["text"]})
+
+        return client
+
+    attributes = [attribute(i, []) for i in "abc"]
+    sources = [article(i, **{"Klassifikations-Attribute": attributes}) for i in range(3)]
+    done = run(spark, sources, make, waits={"concurrency": 3})
+    for document in documents_of(done).values():
+        assert [a[RESULT] for a in document["Klassifikations-Attribute"]] == list("abc")
+
+
 def test_failed_calls_can_fail_the_job(spark):
     with pytest.raises(Exception, match="model call failed"):
         run(spark, [article(0)], echo_client(taschenart=KeyError), waits={"on_error": "fail"})
