@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,11 +14,11 @@ from ..operators.infer import Answerer
 from ..operators.ledger import new_lines
 from ..operators.report import file_counts
 from ..plans.enrichment import enrich_documents
-from ..schema import LEDGER_KEY
+from ..schema import LEDGER_KEY, RAW
 from ..session import configure
 from ..sinks import archive_files, delete_files, publish_dataset, publish_files
 from ..sources.images import Fetch
-from ..sources.landing import stream_landing
+from ..sources.landing import first_files, hadoop, read_files, stream_landing
 
 
 def write_batch(df: DataFrame, path: str, batch_id: int) -> DataFrame:
@@ -45,8 +46,15 @@ def append_to_ledger(lines: DataFrame, path: str, batch_id: int) -> None:
 
 
 def _is_complete(spark: SparkSession, path: str, batch_id: int) -> bool:
-    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/batch_id={batch_id}/_SUCCESS")
-    return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
+    fs, marker = hadoop(spark, f"{path}/batch_id={batch_id}/_SUCCESS")
+    return fs.exists(marker)
+
+
+def _next_batch(spark: SparkSession, target: str) -> int:
+    """One more than the last batch that came to its end."""
+    fs, pattern = hadoop(spark, f"{target}/metrics/batch_id=*/_SUCCESS")
+    done = [int(m.getPath().getParent().getName().split("=")[1]) for m in fs.globStatus(pattern)]
+    return max(done, default=-1) + 1
 
 
 def run(
@@ -79,6 +87,73 @@ def run(
     only after all outputs are written; the metrics count the moves and come last.
     """
     configure(spark)
+    process = _batch_process(
+        target, make_fetch, answerer, batch_size, outbound, archive, delete_inputs, options
+    )
+    stream = stream_landing(spark, landing, batch_size)
+    return start(stream, f"{target}/_position", process, poll_seconds)
+
+
+def poll(
+    spark: SparkSession,
+    landing: str,
+    target: str,
+    make_fetch: Callable[[], Fetch],
+    answerer: Answerer,
+    *,
+    batch_size: int = 100,
+    poll_seconds: float = 60,
+    idle_checks: int = 1,
+    outbound: str | None = None,
+    archive: str | None = None,
+    delete_inputs: bool = False,
+    **options,
+) -> int:
+    """``run`` with the folder as the only state: what lies in ``landing`` is still to do.
+
+    A stream never reads a path twice; here a file that is delivered again under its old
+    name is processed again, and replaces what was published and archived of it. So inputs
+    must leave the folder: name ``archive`` or ``delete_inputs``. Looks again after
+    ``poll_seconds`` and gives up after ``idle_checks`` looks that found nothing new.
+    Returns the number of batches. Not to be mixed with ``run`` on one ``target``.
+    """
+    if not (archive or delete_inputs):
+        raise ValueError("poll needs archive or delete_inputs")
+    configure(spark)
+    process = _batch_process(
+        target, make_fetch, answerer, batch_size, outbound, archive, delete_inputs, options
+    )
+    first = batch_id = _next_batch(spark, target)
+    if _is_complete(spark, f"{target}/articles", batch_id):
+        # The last run died after it had read its files: go on with those.
+        process(spark.createDataFrame([], RAW), batch_id)
+        batch_id += 1
+    idle, stuck = 0, None
+    while idle < idle_checks:
+        if idle:
+            time.sleep(poll_seconds)
+        files = first_files(spark, landing, batch_size)
+        if not files or files == stuck:
+            idle += 1
+            continue
+        process(read_files(spark, files), batch_id)
+        batch_id, idle = batch_id + 1, 0
+        # Files that cannot be read or moved stay; they are not worth another batch at once.
+        stuck = files
+    return batch_id - first
+
+
+def _batch_process(
+    target: str,
+    make_fetch: Callable[[], Fetch],
+    answerer: Answerer,
+    batch_size: int,
+    outbound: str | None,
+    archive: str | None,
+    delete_inputs: bool,
+    options: dict,
+) -> Callable[[DataFrame, int], None]:
+    """What is done with the raw documents of one batch."""
 
     def staged_articles(session: SparkSession, batch_id: int) -> DataFrame:
         return session.read.parquet(f"{target}/articles/batch_id={batch_id}")
@@ -120,8 +195,7 @@ def run(
             metrics = metrics.union(file_counts(**reports))
         publish_dataset(metrics, f"{target}/metrics", batch_id)
 
-    stream = stream_landing(spark, landing, batch_size)
-    return start(stream, f"{target}/_position", process, poll_seconds)
+    return process
 
 
 def start(

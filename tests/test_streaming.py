@@ -5,7 +5,7 @@ import uuid
 import pytest
 
 from catalogue_enrich.operators.infer import call_model
-from catalogue_enrich.streaming.run import append_to_ledger, read_batches, run
+from catalogue_enrich.streaming.run import append_to_ledger, poll, read_batches, run
 from tests.articles import MISSING, RESULT, article
 
 
@@ -148,3 +148,43 @@ def test_ledger_of_a_replayed_batch(spark, folder):
         assert sorted((r["batch_id"], r["product_id"]) for r in read_batches(spark, path).collect()) == [
             (0, "1"), (0, "2"), (1, "3"),
         ]
+
+
+def drain(spark, places, answerer=None, **options):
+    answerer = answerer or call_model(marking_client(f"{places}/marks"))
+    options = {"outbound": f"{places}/in", "archive": f"{places}/done", "batch_size": 2, **options}
+    return poll(spark, f"{places}/out", f"{places}/tables", make_fetch, answerer, **options)
+
+
+def test_a_file_delivered_again_is_processed_again(spark, places):
+    for name in ("0.json", "a [1]{b}*?\\ü+%.json", "_hidden.json", "note.txt"):
+        land(places, name, article(0))
+    land(places, "broken.json", "{")
+    assert drain(spark, places) == 2
+    assert sorted(os.listdir(f"{places}/out")) == ["_hidden.json", "note.txt"]
+    assert set(published(places)) == {"0.json", "a [1]{b}*?\\ü+%.json"}
+    land(places, "0.json", article(0, FarbID="new"))
+    assert drain(spark, places) == 1
+    assert published(places)["0.json"]["FarbID"] == "new"
+    with open(f"{places}/done/0.json", encoding="utf-8") as source:
+        assert json.load(source)["FarbID"] == "new"
+    assert drain(spark, places, idle_checks=3, poll_seconds=0.01) == 0
+    batches = spark.read.parquet(f"{places}/tables/metrics").where("metric = 'files'").collect()
+    assert sorted((r["batch_id"], r["value"]) for r in batches) == [(0, 2), (1, 1), (2, 1)]
+
+
+def test_polling_resumes_a_failed_batch(spark, places):
+    land(places, "0.json", article(0))
+    with open(f"{places}/not a folder", "w"):
+        pass
+    with pytest.raises(OSError, match="not fully published"):
+        drain(spark, places, outbound=f"{places}/not a folder")
+    land(places, "1.json", article(1))
+    assert drain(spark, places, batch_size=1) == 2
+    assert set(published(places)) == {"0.json", "1.json"}
+    assert len(os.listdir(f"{places}/marks")) == 4 and os.listdir(f"{places}/out") == []
+
+
+def test_polling_needs_a_place_for_its_inputs(spark, places):
+    with pytest.raises(ValueError):
+        drain(spark, places, archive=None)
