@@ -7,13 +7,37 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import shared_folder
+from . import chat, warc
 from .common import table
+from .packing import pack, word_ids
 from .quality import divergence_quality
 from .secrets import NOVEL, scan_secrets
+from .sharding import place
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+TOKENIZER = "word_bpe_49k.json"
+
+
+def op1_warc_normaliser(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    monolithic, members = shared_folder(spark, "warc"), shared_folder(spark, "members")
+    warc.write_monolithic(warc.mark_revisits(pages, "page_id", "html"), monolithic)
+    faults = warc.normalise(spark, monolithic, members).where("error is not null").collect()
+    if faults:
+        raise ValueError(f"archives that cannot be read: {faults}")
+    records = warc.read_records(warc.read_index(spark, members), members)
+    return records.select(
+        warc.key_of(F.col("record_id")).cast("long").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        F.col("kind").alias("record_type"),
+        warc.key_of(F.col("refers_to")).cast("long").alias("refers_to"),
+    )
+
+
 def op2_divergence_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     judged, verdict = divergence_quality(documents)
@@ -42,8 +66,55 @@ def op4_novel_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def make_encoder() -> Callable[[list[bytes]], list[bytes]]:
+    """The public word tokenizer, found where the task runs."""
+    import public_tokenizers
+
+    return word_ids(public_tokenizers.path(TOKENIZER))
+
+
+def op8_power_of_two_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    sequences = pack(documents, make_encoder)
+    columns = ["piece.start", "piece.length", "piece.ids_crc32", "piece.doc_tokens"]
+    return sequences.select("doc_id", *columns, "sequence_id", "offset")
+
+
+def op9_bounded_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    data = F.encode(F.coalesce(F.col("text"), F.lit("")), "UTF-8")
+    documents = table(spark, sf_dir, "documents").select(
+        "doc_id",
+        (F.octet_length(data).cast("long") + 8).alias("size"),
+        F.crc32(data).alias("text_crc32"),
+    )
+    return place(documents, "doc_id", 24).select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op10_event_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = F.lit("</s>[INST] ok [/INST]")
+    role = F.when(F.col("id") == 0, "user").otherwise("assistant")
+    injected = spark.range(2).select(F.lit(-7).cast("long"), F.col("id"), role, said)
+    log, message, sequence = chat.events_of(turns.union(injected))
+    messages = chat.reconstruct(log, "conversation", message, sequence)
+    read = chat.read_back(chat.render(messages))
+    return read.withColumnRenamed("conversation", "conv_id")
+
+
 QUERIES: dict[str, Query] = {
+    "op1_warc_normaliser": op1_warc_normaliser,
     "op2_divergence_quality": op2_divergence_quality,
     "op4_novel_secrets": op4_novel_secrets,
+    "op8_power_of_two_packing": op8_power_of_two_packing,
+    "op9_bounded_ring": op9_bounded_ring,
+    "op10_event_chat": op10_event_chat,
 }
 ORACLE: dict[str, str] = {}
