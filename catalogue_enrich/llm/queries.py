@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from ..session import shared_folder
 from . import chat, warc
 from .common import table
+from .mixing import mix, word_count
+from .oracle import CHAT_SQL, WARC_SQL, mix_sql
 from .packing import pack, word_ids
 from .quality import divergence_quality
 from .secrets import NOVEL, scan_secrets
@@ -66,6 +68,42 @@ def op4_novel_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# The target mix: weights among siblings; others weigh 1. A domain is a quarter of the sources.
+MIX_LEVELS = ["domain", "lang", "source"]
+MIX_WEIGHTS = {
+    ("d0",): 4,
+    ("d1",): 3,
+    ("d2",): 2,
+    ("d0", "en"): 3,
+    ("d1", "en"): 3,
+    ("d2", "en"): 2,
+    ("d0", "en", "src0"): 3,
+}
+MIX_SHARE, MIX_SEED = 0.8, 11
+
+
+def domain() -> Column:
+    number = F.regexp_extract(F.col("source").cast("string"), r"([0-9]+)$", 1)
+    return F.concat(F.lit("d"), F.nullif(number, F.lit("")).cast("long") % 4)
+
+
+def op6_hierarchical_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select(
+        "doc_id", domain().alias("domain"), "lang", "source", word_count("text").alias("words")
+    )
+    mixed, name = mix(
+        documents,
+        MIX_LEVELS,
+        F.col("words"),
+        "doc_id",
+        MIX_WEIGHTS,
+        budget_share=MIX_SHARE,
+        max_epochs=2,
+        seed=MIX_SEED,
+    )
+    return mixed.select("doc_id", *MIX_LEVELS, f"{name}.*")
+
+
 def make_encoder() -> Callable[[list[bytes]], list[bytes]]:
     """The public word tokenizer, found where the task runs."""
     import public_tokenizers
@@ -113,8 +151,14 @@ QUERIES: dict[str, Query] = {
     "op1_warc_normaliser": op1_warc_normaliser,
     "op2_divergence_quality": op2_divergence_quality,
     "op4_novel_secrets": op4_novel_secrets,
+    "op6_hierarchical_budget": op6_hierarchical_budget,
     "op8_power_of_two_packing": op8_power_of_two_packing,
     "op9_bounded_ring": op9_bounded_ring,
     "op10_event_chat": op10_event_chat,
 }
-ORACLE: dict[str, str] = {}
+
+ORACLE: dict[str, str] = {
+    "op1_warc_normaliser": WARC_SQL,
+    "op6_hierarchical_budget": mix_sql(MIX_LEVELS, MIX_WEIGHTS, MIX_SHARE, MIX_SEED),
+    "op10_event_chat": CHAT_SQL,
+}
