@@ -11,6 +11,7 @@ from ..session import shared_folder
 from . import chat, warc
 from .common import table
 from .mixing import mix, word_count
+from .neardup import forest_components
 from .oracle import CHAT_SQL, WARC_SQL, mix_sql
 from .packing import pack, word_ids
 from .quality import divergence_quality
@@ -68,6 +69,11 @@ def op4_novel_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return forest_components(documents, width=3, percent=85)
+
+
 # The target mix: weights among siblings; others weigh 1. A domain is a quarter of the sources.
 MIX_LEVELS = ["domain", "lang", "source"]
 MIX_WEIGHTS = {
@@ -151,6 +157,7 @@ QUERIES: dict[str, Query] = {
     "op1_warc_normaliser": op1_warc_normaliser,
     "op2_divergence_quality": op2_divergence_quality,
     "op4_novel_secrets": op4_novel_secrets,
+    "op5_lsh_forest": op5_lsh_forest,
     "op6_hierarchical_budget": op6_hierarchical_budget,
     "op8_power_of_two_packing": op8_power_of_two_packing,
     "op9_bounded_ring": op9_bounded_ring,
