@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ROW_GROUPS, shared_folder
 
-# Rows of a batch sent to Python: whole texts travel in them.
-BATCH_ROWS = 1000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,9 +24,16 @@ def staged(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def row_hash(*columns: str) -> Column:
-    """A bare lower-case hash of some columns, nulls told from empty strings."""
-    return F.xxhash64(*[F.struct(c) for c in columns])
+@contextmanager
+def small_batches(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Batches of few rows for the Python functions of what is run inside: a row may hold a whole
+    text or set, and a batch is held on both sides."""
+    before = spark.conf.get(_BATCH)
+    spark.conf.set(_BATCH, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(_BATCH, before)
 
 
 def free_name(df: DataFrame, name: str) -> str:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..session import shared_folder
 from . import chat, warc
+from .ann import nearest
 from .common import table
 from .mixing import mix, word_count
 from .neardup import forest_components
@@ -51,6 +52,11 @@ def _spans(found: Column) -> Column:
     return F.array_join(F.transform(found, lambda s: F.concat_ws(":", s.kind, s.start, s.stop)), ",")
 
 
+def op3_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    embeddings = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return nearest(embeddings, F.col("id") % 100 == 0)
+
+
 def op4_novel_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     scanned, secrets = scan_secrets(documents)
@@ -156,6 +162,7 @@ def op10_event_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_warc_normaliser": op1_warc_normaliser,
     "op2_divergence_quality": op2_divergence_quality,
+    "op3_cross_polytope": op3_cross_polytope,
     "op4_novel_secrets": op4_novel_secrets,
     "op5_lsh_forest": op5_lsh_forest,
     "op6_hierarchical_budget": op6_hierarchical_budget,
