@@ -11,6 +11,7 @@ from ..session import shared_folder
 from . import chat, warc
 from .ann import nearest
 from .common import table
+from .linedup import dedup_lines
 from .mixing import mix, word_count
 from .neardup import forest_components
 from .oracle import CHAT_SQL, WARC_SQL, mix_sql
@@ -116,6 +117,12 @@ def op6_hierarchical_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", *MIX_LEVELS, f"{name}.*")
 
 
+def op7_line_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    deduped, result = dedup_lines(documents)
+    return deduped.select("doc_id", f"{result}.*")
+
+
 def make_encoder() -> Callable[[list[bytes]], list[bytes]]:
     """The public word tokenizer, found where the task runs."""
     import public_tokenizers
@@ -166,6 +173,7 @@ QUERIES: dict[str, Query] = {
     "op4_novel_secrets": op4_novel_secrets,
     "op5_lsh_forest": op5_lsh_forest,
     "op6_hierarchical_budget": op6_hierarchical_budget,
+    "op7_line_alignment": op7_line_alignment,
     "op8_power_of_two_packing": op8_power_of_two_packing,
     "op9_bounded_ring": op9_bounded_ring,
     "op10_event_chat": op10_event_chat,
