@@ -28,8 +28,13 @@ PIECE = pa.struct(
 )
 PIECE_DDL = "start long, length long, doc_tokens long, ids_crc32 long, ids binary"
 # Words and their ids that a task keeps.
-CACHED_WORDS = 600_000
+CACHED_WORDS = 900_000
 TOGETHER = 1 << 20
+_MARKS = b".,;:!?"
+# Byte-level vocabularies write a byte that prints as its character, the others, in order, as
+# those from U+0100 on.
+_PRINTS = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+_SYMBOLS = {b: 0x100 + i for i, b in enumerate(b for b in range(0x100) if b not in _PRINTS)}
 
 
 def piece_lengths(n: int, most: int) -> list[int]:
@@ -52,27 +57,51 @@ class WordIds:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.tokenizer = Tokenizer.from_file(path)
+        self.tokenize = self.tokenizer.model.tokenize
         self.known: dict[bytes, bytes] = {}
 
     def learn(self, words: set[bytes]) -> None:
-        # Few stems have many endings: each is asked for once.
-        parts = {}
+        rest = []
         for word in words:
-            stem = word.rstrip(b".,;:!?")
-            parts[word] = (stem.lower(), word[len(stem) :]) if _letters(stem) else (word, b"")
-        new = {part for pair in parts.values() for part in pair if part not in self.known}
-        # Lower-case ASCII letters reach the vocabulary as they are.
-        plain = [part for part in new if part.isalpha() and part.islower()]
-        tokenize = self.tokenizer.model.tokenize
-        for part in plain:
-            self.known[part] = array("I", [t.id for t in tokenize(part.decode())]).tobytes()
-        rest = list(new.difference(plain))
-        texts = [part.decode("utf-8", "replace") for part in rest]
+            # Few stems have many endings: each is asked for once.
+            stem = word.rstrip(_MARKS)
+            ids = self.letters(stem)
+            if ids is None:
+                rest.append(word)
+            elif len(stem) == len(word):
+                self.known[word] = ids
+            else:
+                tail = word[len(stem) :]
+                if tail not in self.known:
+                    self.ask([tail])
+                self.known[word] = ids + self.known[tail]
+        self.ask(rest)
+
+    def letters(self, stem: bytes) -> bytes | None:
+        """Ids of a word of letters up to U+00FF, which have one lower case and no other form;
+        they reach the vocabulary as the characters that stand for their bytes."""
+        if stem.isalpha():
+            low = stem.lower()
+            if (ids := self.known.get(low)) is not None:
+                return ids
+            symbols = low.decode()
+        else:
+            text = stem.decode("utf-8", "replace")
+            if not text.isalpha() or max(text) > "\xff":
+                return None
+            low = text.lower().encode()
+            if (ids := self.known.get(low)) is not None:
+                return ids
+            symbols = low.decode("latin-1").translate(_SYMBOLS)
+        ids = array("I", [token.id for token in self.tokenize(symbols)]).tobytes()
+        self.known[low] = ids
+        return ids
+
+    def ask(self, words: list[bytes]) -> None:
+        texts = [word.decode("utf-8", "replace") for word in words]
         encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        for part, one in zip(rest, encoded, strict=True):
-            self.known[part] = array("I", one.ids).tobytes()
-        for word, (stem, tail) in parts.items():
-            self.known[word] = self.known[stem] + self.known[tail]
+        for word, one in zip(words, encoded, strict=True):
+            self.known[word] = array("I", one.ids).tobytes()
 
     def __call__(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each text; texts are taken together until they hold about ``TOGETHER`` bytes."""
@@ -83,14 +112,24 @@ class WordIds:
                 size += len(texts[stop])
                 stop += 1
             split = [text.split() for text in texts[start:stop]]
-            asked = set(chain.from_iterable(split))
-            missing = asked.difference(self.known)
-            if len(self.known) + len(missing) > CACHED_WORDS:
-                self.known.clear()
-                missing = asked
+            got = [list(map(self.known.get, words)) for words in split]
+            missing = {
+                word
+                for words, ids in zip(split, got, strict=True)
+                if None in ids
+                for word, known in zip(words, ids, strict=True)
+                if known is None
+            }
             if missing:
+                if len(self.known) + len(missing) > CACHED_WORDS:
+                    self.known.clear()
+                    missing = set(chain.from_iterable(split))
                 self.learn(missing)
-            out += [b"".join(map(self.known.__getitem__, words)) for words in split]
+                got = [
+                    list(map(self.known.__getitem__, words)) if None in ids else ids
+                    for words, ids in zip(split, got, strict=True)
+                ]
+            out += map(b"".join, got)
             start = stop
         return out
 
@@ -109,13 +148,6 @@ def word_ids(path: str) -> WordIds:
     return kept[path]
 
 
-def _letters(word: bytes) -> bool:
-    try:
-        return word.decode().isalpha()
-    except UnicodeDecodeError:
-        return False
-
-
 def pack(
     documents: DataFrame,
     make_encoder: Callable[[], Callable[[list[bytes]], list[bytes]]],
@@ -135,25 +167,26 @@ def pack(
     end = end_id.to_bytes(4, "little")
     made: list[Callable] = []
 
-    @F.arrow_udf(f"array<struct<{PIECE_DDL.replace(' ', ': ').replace(',:', ',')}>>")
+    @F.arrow_udf(f"array<struct<{PIECE_DDL}>>")
     def pieces(texts: pa.Array) -> pa.Array:
         if not made:
             made.append(make_encoder())
         encoded = made[0](
             [memoryview(t.as_buffer()).tobytes() if t.is_valid else b"" for t in texts]
         )
-        rows = []
+        rows, ends = [], [0]
         for ids in encoded:
             ids += end
-            n, start, row = len(ids) // 4, 0, []
+            n, start = len(ids) // 4, 0
             for length in piece_lengths(n, most):
                 own = ids[4 * start : 4 * (start + length)]
-                row.append((start, length, n, zlib.crc32(own), own))
+                rows.append((start, length, n, zlib.crc32(own), own))
                 start += length
-            rows.append(row)
-        return pa.array(
-            [[dict(zip(PIECE.names, piece, strict=True)) for piece in row] for row in rows],
-            pa.list_(PIECE),
+            ends.append(len(rows))
+        columns = list(zip(*rows, strict=True)) or [[] for _ in PIECE]
+        arrays = [pa.array(c, f.type) for c, f in zip(columns, PIECE, strict=True)]
+        return pa.ListArray.from_arrays(
+            pa.array(ends, pa.int32()), pa.StructArray.from_arrays(arrays, PIECE.names)
         )
 
     result = {"piece", "sequence_id", "offset"}
