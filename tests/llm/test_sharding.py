@@ -1,0 +1,66 @@
+"""The ring against a walk in Python, and its promises on tables of any shape."""
+
+from __future__ import annotations
+
+import random
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from catalogue_enrich.llm.sharding import clockwise, place, ring, settle
+
+TABLES = {
+    "plain": [(i, f"t{i}") for i in range(1000)],
+    "one key": [(7, "same")] * 700 + [(i, None) for i in range(200)],
+    "null keys": [(None, "x")] * 50 + [(i, "") for i in range(3)],
+    "few": [(1, "a")],
+    "empty": [],
+}
+
+
+@pytest.mark.parametrize("name", TABLES)
+def test_counts_are_at_most_one_apart(spark, name):
+    rows = TABLES[name]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("shard", F.lit("clash"))
+    got = place(df, "doc_id", 24, replicas=8).collect()
+    assert Counter((r.doc_id, r.text) for r in got) == Counter(rows)
+    by_shard = Counter(r.shard for r in got)
+    if len(rows) >= 24:
+        assert max(by_shard.values()) - min(by_shard.get(s, 0) for s in range(24)) <= 1
+    for shard, n in by_shard.items():
+        assert sorted(r.slot for r in got if r.shard == shard) == list(range(n))
+
+
+def test_settled_as_keys_walking_one_by_one(spark):
+    rng = random.Random(3)
+    places = ring(spark, 6, 5, 7)
+    counts = [rng.choice([0, 1, 5, 40]) for _ in places]
+    n = sum(counts)
+    bounds = [n // 6 + (s < n % 6) for s in range(6)]
+    taken = settle(places, counts, bounds)
+    shard_of = {(arc, rank): s for arc, a, b, s, _ in taken for rank in range(a, b)}
+    assert len(shard_of) == n
+    # The same walk, key by key: in each round every key that has no shard asks the next one.
+    room, waiting = list(bounds), [(arc, rank) for arc, c in enumerate(counts) for rank in range(c)]
+    for step in range(6):
+        still = []
+        for arc, rank in waiting:
+            shard = clockwise(places, arc)[step]
+            if room[shard]:
+                room[shard] -= 1
+                assert shard_of[arc, rank] == shard
+            else:
+                still.append((arc, rank))
+        waiting = still
+    assert not waiting
+
+
+def test_slack_limits_movement(spark):
+    df = spark.range(20_000).withColumnRenamed("id", "doc_id")
+    before = place(df, "doc_id", 10, slack=0.25)
+    after = place(df, "doc_id", 11, slack=0.25).withColumnsRenamed({"shard": "new", "slot": "s"})
+    moved = before.join(after, "doc_id").where("shard <> new").count()
+    # A new shard must take 1/11 of the rows.
+    assert moved < 20_000 * 2 / 11
+    assert before.groupBy("shard").count().agg(F.max("count")).first()[0] <= 2500
