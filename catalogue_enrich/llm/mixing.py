@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from .common import free_name, staged
 
-BUCKET_ROWS = 10_000
+BUCKET_ROWS = 1000
 _BITS = 52  # of the hash; 13 hexadecimal digits
 
 
