@@ -96,16 +96,21 @@ def _article(root: Callable[[str], Column]) -> list[Column]:
     ]
 
 
-def from_struct(articles: DataFrame, key: str = S.PRODUCT_ID) -> DataFrame:
+def from_struct(articles: DataFrame, key: str | list[str]) -> DataFrame:
     """Article rows from documents held as structs (``schema.ARTICLE``).
 
-    ``key`` names the column that tells the documents apart.
+    ``key`` names the columns that tell the documents apart. A product comes in several
+    colours, so its id alone is no key where they are documents of their own.
     """
 
     def root(name: str) -> Column:
         return F.col(f"`{name}`")
 
-    return articles.select(root(key).alias("article_key"), *_article(root))
+    if isinstance(key, str):
+        article_key = root(key)
+    else:
+        article_key = F.to_json(F.array(*(root(name).cast("string") for name in key)))
+    return articles.select(article_key.alias("article_key"), *_article(root))
 
 
 def _objects(document: Column) -> Column:
@@ -132,40 +137,57 @@ def _objects(document: Column) -> Column:
 
 
 def split_documents(raw: DataFrame) -> DataFrame:
-    """One row per article: ``article_key, source_path, source_file, doc_pos, document, article``.
+    """One row per article: ``article_key, source_path, source_file, doc_pos, document, article,
+    is_empty, read_error``.
 
     A file holds one article or an array of articles. ``document`` is the article's own
     text and ``article`` the fields enrichment reads; ``article`` is null if the file is not
-    valid JSON or holds anything but objects. ``source_path`` must tell the files apart.
+    valid JSON or holds anything but objects, or, with ``is_empty``, an array of none. ``source_path`` must tell the files apart.
     """
-    document, in_list = F.col("document"), F.col("_strings").isNotNull()
+    document, objects = F.col("document"), F.col("_objects")
+    if "read_error" not in raw.columns:
+        raw = raw.withColumn("read_error", F.lit(None).cast("string"))
     listed = raw.withColumn("_objects", _objects(document))
-    is_list = F.col("_objects").isNotNull() & starts_with(document, "[")
+    is_list = objects.isNotNull() & starts_with(document, "[")
+
+    def item(text: Column, article: Column) -> Column:
+        return F.struct(text.alias("document"), article.alias("article"))
+
+    # Each article takes its own text along; the whole array is held once per file.
+    texts = F.zip_with(
+        read_json(document, OBJECTS),
+        read_json(document, TYPED_OBJECTS),
+        lambda strings, typed: object_text(members(strings, typed)),
+    )
+    items = F.when(is_list & (F.size(objects) > 0), F.zip_with(texts, objects, item)).otherwise(
+        F.array(item(document, F.get(objects, F.lit(0))))
+    )
     rows = listed.select(
         "source_path",
         "source_file",
-        "document",
-        F.when(is_list, read_json(document, OBJECTS)).alias("_strings"),
-        F.when(is_list, read_json(document, TYPED_OBJECTS)).alias("_typed"),
-        F.posexplode_outer("_objects").alias("_pos", "article"),
+        "read_error",
+        (is_list & (F.size(objects) > 0)).alias("_in_list"),
+        (is_list & (F.size(objects) == 0)).alias("is_empty"),
+        F.posexplode(items).alias("_pos", "_item"),
     )
-    own = members(*(F.get(F.col(c), F.col("_pos")) for c in ("_strings", "_typed")))
+    known = F.col("_item.article").isNotNull()
     return rows.select(
-        F.concat_ws("#", "source_path", "_pos").alias("article_key"),
+        F.concat_ws("#", "source_path", F.when(known, F.col("_pos"))).alias("article_key"),
         "source_path",
         "source_file",
-        F.when(in_list, F.col("_pos")).alias("doc_pos"),
-        F.when(in_list & F.col("_pos").isNotNull(), object_text(own))
-        .otherwise(document)
-        .alias("document"),
-        "article",
+        F.when(F.col("_in_list"), F.col("_pos")).alias("doc_pos"),
+        "_item.document",
+        "_item.article",
+        "is_empty",
+        "read_error",
     )
 
 
 def from_documents(raw: DataFrame, strict: bool = True) -> DataFrame:
     """Article rows from raw JSON text; see ``split_documents`` for the accepted files.
 
-    ``reject_reason`` is set for a document that is not JSON and, if ``strict``, for one
+    ``reject_reason`` is set for a file that could not be read (``read_error`` of the reader), for
+    a document that is not JSON and, if ``strict``, for one
     that lacks what enrichment needs. If not ``strict``, a missing category or result reads
     as null and missing attributes or options as empty.
     """
@@ -186,7 +208,11 @@ def from_documents(raw: DataFrame, strict: bool = True) -> DataFrame:
     lacks_result = F.exists(
         read_json(fields[S.ATTRIBUTES], OBJECTS), lambda a: ~F.map_contains_key(a, S.RESULT)
     )
-    reason = F.when(article.isNull(), F.lit("invalid_json"))
+    reason = (
+        F.when(F.col("read_error").isNotNull(), F.lit("unreadable"))
+        .when(F.col("is_empty"), F.lit("no_articles"))
+        .when(article.isNull(), F.lit("invalid_json"))
+    )
     if strict:
         reason = (
             reason.when(

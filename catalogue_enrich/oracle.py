@@ -244,7 +244,7 @@ values_of AS (
     || ',"Beschreibung":"Wert"}}', ',' ORDER BY n) AS items FROM listed GROUP BY 1, 2),
 written AS (
   SELECT r.product_id, string_agg('{{"Identifier":"' || r.attribute_id || '","Bezeichner":"' || t.label
-    || '","Typ":"Wertemenge, mehrfach","Ausgewaehlter Attributwert (Result)":' || {_JSON_RESULT}
+    || '","Typ":"Auswahl","Ausgewaehlter Attributwert (Result)":' || {_JSON_RESULT}
     || ',"Beschreibung":"Beschreibt ' || t.label || '","Orientierung":' || coalesce(to_json(t.orientation), 'null')
     || ',"Attributwerte":' || CASE WHEN r.attribute_id = 'farbHex' THEN 'null' ELSE '[' || coalesce(v.items, '') || ']' END
     || '}}', ',' ORDER BY r.pos) AS items
@@ -277,4 +277,54 @@ FROM answered""",
   'Beschreibt ' || label AS description, '{"z":' || product_id || ',"a":[null,"ä"]}' AS unknown
 FROM answered JOIN attribute USING (product_id, pos, attribute_id)""",
     ),
+    "q31_array_documents": """SELECT (p_partkey // 50) || '.json' AS source_file,
+  row_number() OVER (PARTITION BY p_partkey // 50 ORDER BY p_partkey) - 1 AS doc_pos,
+  CAST(p_partkey AS VARCHAR) AS product_id, CAST(4 AS BIGINT) AS n_attributes,
+  CAST(NULL AS VARCHAR) AS reject_reason FROM part""",
+    "q32_folder_state": """SELECT CASE n % 4 WHEN 1 THEN '_' WHEN 2 THEN '.' ELSE '' END || n || '.json' AS source_file,
+  CASE WHEN n % 4 = 3 THEN 0 ELSE count(*) END AS n_articles,
+  CASE WHEN n % 4 = 3 THEN 'invalid_json' END AS reason
+FROM (SELECT p_partkey // 50 AS n FROM part) GROUP BY n""",
+    "q33_image_validation": _with(
+        _ARTICLES,
+        """
+picture AS (
+  SELECT DISTINCT url, split_part(url, '/', 4) AS owner, url LIKE '%3/back.jpg' AS junk FROM image),
+s AS (
+  SELECT *, CAST(97 * length(owner) + coalesce(TRY_CAST(owner AS BIGINT) % 900, 0) AS DOUBLE) AS w,
+    CAST(7 * length(url) AS DOUBLE) AS h FROM picture),
+e AS (SELECT *, w / h AS aspect, 500 * w / h AS sw, 500 * h / w AS sh FROM s),
+t AS (SELECT *,
+  CAST(CASE WHEN w <= 500 AND h <= 500 THEN w WHEN aspect > 1 THEN 500
+    ELSE greatest(1, CASE WHEN abs(aspect - floor(500 * aspect) / 500) <= abs(aspect - ceil(500 * aspect) / 500)
+      THEN floor(500 * aspect) ELSE ceil(500 * aspect) END) END AS INTEGER) AS out_w,
+  CAST(CASE WHEN w <= 500 AND h <= 500 THEN h WHEN aspect <= 1 THEN 500
+    WHEN floor(500 / aspect) < 1 THEN 1
+    ELSE CASE WHEN abs(aspect - 500 / floor(500 / aspect)) <= abs(aspect - 500 / ceil(500 / aspect))
+      THEN floor(500 / aspect) ELSE ceil(500 / aspect) END END AS INTEGER) AS out_h
+FROM e)""",
+        select="""SELECT url, NOT junk AS ok, CASE WHEN NOT junk THEN 'image/png' END AS media_type,
+  CASE WHEN NOT junk THEN CAST(w AS INTEGER) END AS width,
+  CASE WHEN NOT junk THEN CAST(h AS INTEGER) END AS height,
+  CASE WHEN NOT junk THEN url LIKE '%/model.jpg' END AS needs_rgb,
+  CASE WHEN NOT junk THEN out_w END AS out_w, CASE WHEN NOT junk THEN out_h END AS out_h FROM t""",
+    ),
+    "q34_model_retries": _with(
+        _ARTICLES,
+        _OPTIONS,
+        _PROMPTS,
+        select="""SELECT product_id, CAST(pos AS INTEGER) AS pos,
+  CAST(CASE WHEN length(prompt) % 7 = 0 THEN 1 WHEN length(prompt) % 5 = 0 THEN 3 ELSE 1 END AS INTEGER) AS tries,
+  CASE WHEN length(prompt) % 7 = 0 THEN 'KeyError: ''no answer''' END AS error
+FROM prompts WHERE branch = 'inferred'""",
+    ),
+    "q35_reject_reasons": """SELECT p_partkey || '.json' AS source_file,
+  CASE p_partkey % 5 WHEN 1 THEN 'category_missing' WHEN 2 THEN 'attributes_invalid'
+    WHEN 3 THEN 'options_missing' WHEN 4 THEN 'invalid_json' END AS reject_reason FROM part""",
+    "q36_ledger_text": _with(
+        _ARTICLES,
+        _OPTIONS,
+        _RESULTS,
+        select="SELECT product_id || ',' || coalesce(supplier_colour, 'None') || ',' || url AS value FROM ledger",
+    ),
 }

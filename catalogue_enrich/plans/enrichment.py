@@ -9,12 +9,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.images import attach_images, branch
-from ..operators.infer import Answerer, infer, rule_answers, with_results
+from ..operators.infer import Answerer, infer, with_results
 from ..operators.ledger import failed_lines
 from ..operators.normalize import from_documents
 from ..operators.prompt import Prompts, with_requests
 from ..operators.report import run_metrics
 from ..operators.writeback import write_back
+from ..schema import ANSWERS
 from ..session import stage
 from ..sources.images import Fetch, fetch_images, url_registry
 
@@ -35,8 +36,8 @@ def prepare(
 def enrich(
     articles: DataFrame,
     images: DataFrame,
+    answerer: Answerer,
     prompts: Prompts = Prompts(),
-    answerer: Answerer = rule_answers,
     with_content: bool = False,
 ) -> DataFrame:
     """Article rows with ``results`` and ``error``.
@@ -91,13 +92,37 @@ def enrich_documents(
         fetch_images(url_registry(accepted), make_fetch, parallelism=parallelism, **fetch_options),
         "images",
     )
-    prepared = prepare(accepted, images, prompts, with_content=True)
-    if parallelism:
-        prepared = prepared.repartition(parallelism, "article_key")
-    enriched = checked(with_results(infer(prepared, answerer)), "error")
+    enriched = checked(with_results(asked(accepted, images, answerer, prompts, parallelism)), "error")
     return results_of(parsed, stage(_outcome(enriched), "enriched"))
 
 
+def asked(
+    articles: DataFrame,
+    images: DataFrame,
+    answerer: Answerer,
+    prompts: Prompts,
+    parallelism: int | None = None,
+) -> DataFrame:
+    """Article rows with ``answers``: the model is asked about those that need it alone.
+
+    Which these are is settled without image bytes; only they get the bytes of their images.
+    They are dealt to ``parallelism`` tasks by their number, as the calls take long however
+    few bytes they are; the others stay where they are.
+    """
+    n = parallelism or int(articles.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    prepared = prepare(articles, images.drop("content"), prompts)
+    inferred = F.col("branch") == "inferred"
+    waiting = attach_images(prepared.where(inferred).drop("images"), images, with_content=True)
+    # Dealt by an expression of the key: a shuffle by the key alone would be taken for that of
+    # the join before it, whose partitions are merged by bytes.
+    waiting = infer(waiting.repartition(n, F.xxhash64("article_key")), answerer)
+    # The bytes have served.
+    flags = F.transform("images", lambda i: F.struct(i["pos"], i["url"], i["ok"]))
+    waiting = waiting.withColumn("images", flags)
+    idle = prepared.where(~inferred).withColumn("answers", F.array().cast(ANSWERS))
+    return waiting.unionByName(idle.withColumn("images", flags))
+
+
 def fail_on(rows: DataFrame, column: str) -> DataFrame:
     """``rows``, failing the job that reads ``column`` where it is not null."""
     found = F.concat_ws(": ", "article_key", column)

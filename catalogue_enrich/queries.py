@@ -14,18 +14,19 @@ from .functions.geometry import thumbnail_size
 from .functions.response import parse_response
 from .operators.images import ok_images
 from .operators.infer import call_model
-from .operators.ledger import failed_lines, new_lines
+from .operators.ledger import as_text, failed_lines, new_lines
 from .operators.normalize import explode_attributes, explode_images, from_documents
 from .operators.prompt import Prompts, messages_json, with_requests
 from .operators.report import flat_results, run_metrics, unresolved, without_images
 from .operators.writeback import join_results, write_back
-from .plans.enrichment import enrich, prepare
+from .plans.enrichment import asked, enrich, prepare
 from .session import configure, shared_folder, stage
-from .sinks import last_writes, only_processed, publish_dataset, publish_files
+from .sinks import last_writes, only_processed, publish_dataset, publish_files, write_files
 from .sources.batches import assign_batches, batch_report
 from .sources.images import fetch_images, url_registry
 from .sources.landing import read_landing
-from .streaming.run import append_to_ledger, read_batches, run, start
+from .sources.media import probe
+from .streaming.run import append_to_ledger, poll, read_batches, run, start
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -70,7 +71,7 @@ def prompt_render(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def distinct_fetch(spark: SparkSession, sf_dir: str) -> DataFrame:
     registry = url_registry(V.article_rows(spark, sf_dir))
-    fetched = fetch_images(registry, V.make_fetch)
+    fetched = fetch_images(registry, V.make_fetch, validate=False)
     return fetched.select("url", "n_uses", "ok", F.octet_length("content").alias("n_bytes"))
 
 
@@ -81,7 +82,7 @@ def _images(rows: DataFrame) -> DataFrame:
 
 def _enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = V.article_rows(spark, sf_dir)
-    return enrich(rows, _images(rows))
+    return enrich(rows, _images(rows), V.rule_answers)
 
 
 def image_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -171,7 +172,7 @@ def write_back_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Results come as a table of their own and are joined to the raw documents."""
     articles = from_documents(V.documents(spark, sf_dir))
     rows = V.article_rows(spark, sf_dir)
-    results = flat_results(enrich(rows, _images(rows))).select(
+    results = flat_results(enrich(rows, _images(rows), V.rule_answers)).select(
         F.concat(F.lit("/out/"), "article_key", F.lit(".json#0")).alias("article_key"),
         "pos",
         "result_json",
@@ -269,12 +270,12 @@ _EVENT = "event_id bigint, user_id bigint, event_type string, value double"
 
 
 def _event_stream(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
-    """The events as a landing folder of JSON files, read ten files at a time."""
+    """The events as a landing folder of JSON files, read three files at a time."""
     events = V.table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value")
     events.write.option("maxRecordsPerFile", 2500).json(f"{folder}/out")
     return (
         spark.readStream.schema(_EVENT)
-        .option("maxFilesPerTrigger", 10)
+        .option("maxFilesPerTrigger", 3)
         .option("pathGlobFilter", "*.json")
         .json(f"{folder}/out")
     )
@@ -337,15 +338,15 @@ def corrupt_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 def enriched_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw documents to enriched documents: the whole text of each."""
     rows = stage(from_documents(V.documents(spark, sf_dir)), "articles")
-    return write_back(enrich(rows, _images(rows))).select("product_id", "enriched")
+    return write_back(enrich(rows, _images(rows), V.rule_answers)).select("product_id", "enriched")
 
 
 def model_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The chain with images fetched and a client called in Python, as with a real model."""
     rows = V.article_rows(spark, sf_dir)
-    images = stage(fetch_images(url_registry(rows), V.make_fetch), "images")
+    images = stage(fetch_images(url_registry(rows), V.make_fetch, validate=False), "images")
     answerer = call_model(V.make_client)
-    flat = flat_results(enrich(rows, images, answerer=answerer, with_content=True))
+    flat = flat_results(enrich(rows, images, answerer, with_content=True))
     return flat.select(
         F.col("article_key").alias("product_id"),
         "pos",
@@ -373,12 +374,99 @@ def folder_run(spark: SparkSession, sf_dir: str) -> DataFrame:
         batch_size=1000,
         outbound=outbound,
         archive=archive,
+        validate=False,
     ).awaitTermination()
     published = read_landing(spark, outbound).withColumnRenamed("document", "enriched")
     archived = read_landing(spark, archive).select("source_file", F.lit(True).alias("archived"))
     return _document_results(published.join(archived, "source_file", "left"), "archived")
 
 
+def array_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = from_documents(V.array_documents(spark, sf_dir))
+    return rows.select(
+        "source_file",
+        F.col("doc_pos").cast("bigint").alias("doc_pos"),
+        "product_id",
+        F.size("attributes").cast("bigint").alias("n_attributes"),
+        "reject_reason",
+    )
+
+
+def folder_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The folder as the only state: files of any name, some broken, until none is left.
+
+    Gives per file how many articles were published, whether it was archived, and why not.
+    """
+    folder = shared_folder(spark, "state")
+    landing, archive = f"{folder}/out", f"{folder}/done"
+    files = V.array_documents(spark, sf_dir)
+    kind = F.col("n") % 4
+    hidden = F.when(kind == 1, "_").when(kind == 2, ".").otherwise("")
+    files = files.select(
+        F.concat(hidden, "source_file").alias("source_file"),
+        F.when(kind == 3, F.concat("document", F.lit("]"))).otherwise(F.col("document")).alias("document"),
+        F.lit(None).cast("int").alias("doc_pos"),
+    )
+    write_files(files, landing).write.format("noop").mode("overwrite").save()
+    done = poll(
+        spark,
+        landing,
+        f"{folder}/tables",
+        V.make_fetch,
+        call_model(V.make_client),
+        batch_size=25,
+        archive=archive,
+        validate=False,
+    )
+    if done.left:
+        raise RuntimeError(f"{done.left} files are left")
+    published = read_batches(spark, f"{folder}/tables/published").groupBy("source_file")
+    published = published.agg(F.count("*").alias("n_articles"))
+    reasons = read_batches(spark, f"{folder}/tables/quarantine").select("source_file", "reason")
+    return (
+        read_landing(spark, archive)
+        .select("source_file")
+        .join(published, "source_file", "left")
+        .join(reasons.distinct(), "source_file", "left")
+        .select("source_file", F.coalesce("n_articles", F.lit(0)).alias("n_articles"), "reason")
+    )
+
+
+def image_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    registry = url_registry(V.article_rows(spark, sf_dir))
+    fetched = fetch_images(registry, V.make_image_fetch)
+    probed = fetched.select("url", "ok", probe(F.col("content")).alias("p"))
+    return probed.select(
+        "url",
+        "ok",
+        "p.media_type",
+        "p.width",
+        "p.height",
+        "p.needs_rgb",
+        F.col("p.out.width").alias("out_w"),
+        F.col("p.out.height").alias("out_h"),
+    )
+
+
+def model_retries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often each request was asked, and with which error in the end."""
+    rows = V.article_rows(spark, sf_dir)
+    images = _images(rows).withColumn("content", F.encode("url", "UTF-8"))
+    answerer = call_model(V.make_limited_client, sleep=lambda seconds: None)
+    answers = asked(rows, images, answerer, Prompts()).select(
+        F.col("article_key").alias("product_id"), F.inline("answers")
+    )
+    return answers.select("product_id", "pos", "tries", "error")
+
+
+def reject_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return from_documents(V.faulty_documents(spark, sf_dir)).select("source_file", "reject_reason")
+
+
+def ledger_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return as_text(_failed(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     "q01_article_scan": article_scan,
     "q02_image_list": image_list,
@@ -410,6 +498,12 @@ QUERIES: dict[str, Query] = {
     "q28_enriched_documents": enriched_documents,
     "q29_model_calls": model_calls,
     "q30_folder_run": folder_run,
+    "q31_array_documents": array_documents,
+    "q32_folder_state": folder_state,
+    "q33_image_validation": image_validation,
+    "q34_model_retries": model_retries,
+    "q35_reject_reasons": reject_reasons,
+    "q36_ledger_text": ledger_text,
 }
 
 

@@ -15,7 +15,6 @@ REQUIRED_CONF = {
     "spark.sql.variant.allowDuplicateKeys": "true",
     # Data URLs must be one line.
     "spark.sql.chunkBase64String.enabled": "false",
-    "spark.sql.session.timeZone": "UTC",
     # A join whose smaller side proves small per partition need not sort the documents.
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
 }

@@ -33,22 +33,39 @@ def published_name() -> Column:
 def publish_files(documents: DataFrame, folder: str, document: str = "enriched") -> DataFrame:
     """Write each article as a JSON file of the same name, replacing what is there.
 
-    UTF-8, unescaped, two-space indent, key order kept. Tasks write their own files and
-    put each in place whole, so a re-run task does no harm. Returns ``path, done, error``
-    per file; consume it once to write.
+    UTF-8, unescaped, two-space indent, key order kept. Returns ``path, done, error`` per file;
+    consume it once to write.
+    """
+    files = documents.select(
+        published_name().alias("source_file"), F.col(document).alias("document")
+    )
+    return write_files(files, folder, _indented)
+
+
+def _indented(text: str) -> str:
+    return json.dumps(json.loads(text), indent=2, ensure_ascii=False)
+
+
+def write_files(
+    files: DataFrame, folder: str, form: Callable[[str], str] = str
+) -> DataFrame:
+    """Write ``document`` of each row to a file named ``source_file``, replacing what is there.
+
+    Tasks write their own files and put each in place whole, so a re-run task does no harm.
+    Returns ``path, done, error`` per file; consume it once to write.
     """
 
     def write(name: str, text: str) -> str:
-        files, root = _open(folder)
+        file_system, root = open_files(folder)
         target = f"{root}/{name}"
-        files.create_dir(target.rpartition("/")[0], recursive=True)
+        file_system.create_dir(target.rpartition("/")[0], recursive=True)
         hidden = f"{target.rpartition('/')[0]}/.{uuid.uuid4().hex}"
-        with files.open_output_stream(hidden) as out:
-            out.write(json.dumps(json.loads(text), indent=2, ensure_ascii=False).encode("utf-8"))
-        _replace(files, hidden, target)
+        with file_system.open_output_stream(hidden, compression=None) as out:
+            out.write(form(text).encode("utf-8"))
+        replace_file(file_system, hidden, target)
         return target
 
-    rows = documents.select(published_name().alias("name"), F.col(document).alias("text"))
+    rows = files.select(F.col("source_file").alias("name"), F.col("document").alias("text"))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -61,33 +78,44 @@ def publish_files(documents: DataFrame, folder: str, document: str = "enriched")
 def archive_files(files: DataFrame, folder: str) -> DataFrame:
     """Move the files named by ``source_path`` into ``folder``; the last write wins.
 
-    A file that is already there and no longer here counts as moved, so a replay is
-    harmless. A file that cannot be moved is reported, not raised. Consume the result once.
+    With columns ``modified`` and ``length`` a file that is no longer as it was listed stays: it
+    was written anew and has not been read. A file that is already there and no longer here
+    counts as moved, so a replay is harmless. A file that cannot be moved is reported, not
+    raised. Consume the result once.
     """
 
-    def move(path: str) -> str:
-        source_fs, source = _open(path)
-        _, root = _open(folder)
+    def move(path: str, listed: tuple | None) -> str:
+        source_fs, source = open_files(path)
+        _, root = open_files(folder)
         target = f"{root}/{source.rpartition('/')[2]}"
         source_fs.create_dir(root, recursive=True)
-        if _is_file(source_fs, source) or not _is_file(source_fs, target):
-            _replace(source_fs, source, target)
+        _unchanged(source_fs, source, listed)
+        if is_file(source_fs, source) or not is_file(source_fs, target):
+            replace_file(source_fs, source, target)
         return target
 
     return _on_files(files, move)
 
 
 def delete_files(files: DataFrame) -> DataFrame:
-    """Delete the files named by ``source_path``; same report as ``archive_files``."""
+    """Delete the files named by ``source_path``; same rules and report as ``archive_files``."""
 
-    def delete(path: str) -> str:
-        source_fs, source = _open(path)
+    def delete(path: str, listed: tuple | None) -> str:
+        source_fs, source = open_files(path)
+        _unchanged(source_fs, source, listed)
         source_fs.delete_file(source)
         return source
 
     return _on_files(files, delete)
 
 
+def _unchanged(files: arrow_fs.FileSystem, path: str, listed: tuple | None) -> None:
+    if listed is not None and is_file(files, path):
+        info = files.get_file_info(path)
+        if (info.mtime_ns // 1_000_000, info.size) != listed:
+            raise OSError("written again since it was read")
+
+
 def only_processed(files: DataFrame, processed: DataFrame, name: str) -> DataFrame:
     """The ``files`` whose ``name`` is among the ``processed`` ones.
 
@@ -107,7 +135,7 @@ def last_writes(files: DataFrame, destination: list[str], order_by: str) -> Data
     return files.groupBy(*destination).agg(newest).select(*destination, "newest.*")
 
 
-def _open(uri: str) -> tuple[arrow_fs.FileSystem, str]:
+def open_files(uri: str) -> tuple[arrow_fs.FileSystem, str]:
     """File system and plain path of a URI or local path."""
     parts = urlsplit(uri)
     if parts.scheme in ("", "file"):
@@ -118,16 +146,16 @@ def _open(uri: str) -> tuple[arrow_fs.FileSystem, str]:
     return files, path.rstrip("/")
 
 
-def _is_file(files: arrow_fs.FileSystem, path: str) -> bool:
+def is_file(files: arrow_fs.FileSystem, path: str) -> bool:
     return files.get_file_info(path).type == arrow_fs.FileType.File
 
 
-def _replace(files: arrow_fs.FileSystem, source: str, target: str) -> None:
+def replace_file(files: arrow_fs.FileSystem, source: str, target: str) -> None:
     """Move ``source`` to ``target``, deleting a ``target`` that is in the way."""
     try:
         files.move(source, target)
     except OSError:
-        if not (_is_file(files, source) and _is_file(files, target)):
+        if not (is_file(files, source) and is_file(files, target)):
             raise
         files.delete_file(target)
         files.move(source, target)
@@ -143,14 +171,17 @@ def _each(paths: Iterable[str], act: Callable[[int], str]) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["path", "done", "error"])
 
 
-def _on_files(files: DataFrame, act: Callable[[str], str]) -> DataFrame:
+def _on_files(files: DataFrame, act: Callable[[str, tuple | None], str]) -> DataFrame:
+    listed = ["modified", "length"] if {"modified", "length"} <= set(files.columns) else []
+
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
+            states = list(zip(*(frame[c].tolist() for c in listed), strict=True)) if listed else None
             paths = frame["source_path"]
-            yield _each(paths, lambda i: act(paths.iloc[i]))
+            yield _each(paths, lambda i: act(paths.iloc[i], states[i] if listed else None))
 
     # A file operation is slow and its row is small: the number of tasks is set, as AQE
     # would merge them by size.
     n = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    paths = files.select("source_path").repartition(n, "source_path").distinct()
+    paths = files.select("source_path", *listed).repartition(n, "source_path").distinct()
     return paths.mapInPandas(run, DONE)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import http.client
 import ssl
 import time
 import urllib.request
@@ -14,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.geometry import thumbnail_size
+from .media import image_header
 
 Fetch = Callable[[str], bytes]
 
@@ -36,11 +38,26 @@ def url_registry(articles: DataFrame) -> DataFrame:
 
 
 def http_get(timeout: float = 5, verify_certificate: bool = True) -> Fetch:
-    """A fetch function for any URL scheme ``urllib`` opens."""
+    """A fetch function for ``http`` and ``https``, also after redirects.
+
+    A document names its images, so no other scheme is opened: a ``file:`` URL would read
+    what lies on the executor.
+    """
+    context = None if verify_certificate else ssl._create_unverified_context()
+    opener = urllib.request.OpenerDirector()
+    for handler in (
+        urllib.request.ProxyHandler(),
+        urllib.request.HTTPHandler(),
+        urllib.request.HTTPSHandler(context=context),
+        urllib.request.HTTPRedirectHandler(),
+        urllib.request.HTTPDefaultErrorHandler(),
+        urllib.request.HTTPErrorProcessor(),
+        urllib.request.UnknownHandler(),
+    ):
+        opener.add_handler(handler)
 
     def fetch(url: str) -> bytes:
-        context = None if verify_certificate else ssl._create_unverified_context()
-        with urllib.request.urlopen(url, timeout=timeout, context=context) as reply:
+        with opener.open(url, timeout=timeout) as reply:
             return reply.read()
 
     return fetch
@@ -53,7 +70,8 @@ def fetch_images(
     prepare: Callable[[bytes], bytes] | None = None,
     attempts: int = 1,
     pause: float = 1.0,
-    retry_on: tuple[type[BaseException], ...] = (OSError,),
+    retry_on: tuple[type[BaseException], ...] = (OSError, http.client.HTTPException),
+    validate: bool = True,
     parallelism: int | None = None,
     concurrency: int = 1,
 ) -> DataFrame:
@@ -61,7 +79,8 @@ def fetch_images(
 
     ``make_fetch`` runs once per task and may open a client. A transport error
     (``retry_on``) is tried ``attempts`` times, ``pause`` seconds apart. Any other error,
-    and any error of ``prepare`` (validate, convert, shrink), fails the URL at once.
+    and any error of ``prepare`` (convert, shrink), fails the URL at once; so does, unless
+    ``validate`` is off, content that does not begin as an image does (``sources.media``).
     A failed URL is a row with ``ok`` false, never an exception. ``parallelism`` sets the
     number of fetch tasks and ``concurrency`` the fetches under way in each. Stage the
     result (``session.stage``) before it is used more than once.
@@ -80,6 +99,8 @@ def fetch_images(
             except Exception as failure:
                 return False, None, f"{type(failure).__name__}: {failure}"
             try:
+                if validate:
+                    image_header(content)
                 return True, prepare(content) if prepare else content, None
             except Exception as failure:
                 return False, None, f"{type(failure).__name__}: {failure}"

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable
+from dataclasses import dataclass
+from itertools import islice
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,11 +16,11 @@ from ..operators.infer import Answerer
 from ..operators.ledger import new_lines
 from ..operators.report import file_counts
 from ..plans.enrichment import enrich_documents
-from ..schema import LEDGER_KEY, RAW
+from ..schema import LEDGER_KEY
 from ..session import configure
 from ..sinks import archive_files, delete_files, publish_dataset, publish_files
 from ..sources.images import Fetch
-from ..sources.landing import first_files, hadoop, read_files, stream_landing
+from ..sources.landing import FILE, File, hadoop, list_files, read_files, stream_landing
 
 
 def write_batch(df: DataFrame, path: str, batch_id: int) -> DataFrame:
@@ -51,10 +53,15 @@ def _is_complete(spark: SparkSession, path: str, batch_id: int) -> bool:
 
 
 def _next_batch(spark: SparkSession, target: str) -> int:
-    """One more than the last batch that came to its end."""
-    fs, pattern = hadoop(spark, f"{target}/metrics/batch_id=*/_SUCCESS")
-    done = [int(m.getPath().getParent().getName().split("=")[1]) for m in fs.globStatus(pattern)]
-    return max(done, default=-1) + 1
+    """One more than the last batch that came to its end; found without listing them all."""
+    path, step = f"{target}/metrics", 1
+    while _is_complete(spark, path, step - 1):
+        step *= 2
+    low, high = step // 2, step  # batch low - 1 is complete, batch high - 1 is not
+    while high - low > 1:
+        middle = (low + high) // 2
+        low, high = (middle, high) if _is_complete(spark, path, middle - 1) else (low, middle)
+    return low
 
 
 def run(
@@ -94,6 +101,15 @@ def run(
     return start(stream, f"{target}/_position", process, poll_seconds)
 
 
+@dataclass(frozen=True)
+class Drained:
+    """What ``poll`` did: batches, files processed in them, and files that are still there."""
+
+    batches: int
+    files: int
+    left: int
+
+
 def poll(
     spark: SparkSession,
     landing: str,
@@ -108,14 +124,19 @@ def poll(
     archive: str | None = None,
     delete_inputs: bool = False,
     **options,
-) -> int:
-    """``run`` with the folder as the only state: what lies in ``landing`` is still to do.
-
-    A stream never reads a path twice; here a file that is delivered again under its old
-    name is processed again, and replaces what was published and archived of it. So inputs
-    must leave the folder: name ``archive`` or ``delete_inputs``. Looks again after
-    ``poll_seconds`` and gives up after ``idle_checks`` looks that found nothing new.
-    Returns the number of batches. Not to be mixed with ``run`` on one ``target``.
+) -> Drained:
+    """Enrich the JSON files of ``landing`` until ``idle_checks`` looks found nothing to do.
+
+    The folder is the state: what lies there is still to do, of any age and name, and a file
+    that is delivered again is processed again and replaces what was published and archived of
+    it. So inputs must leave the folder: name ``archive`` or ``delete_inputs``. A file that was
+    processed and cannot be moved is not processed again while it stays as it is; the move is
+    tried again at every look. A file that cannot be read is set apart (``unreadable`` in
+    ``quarantine``) and tried again by the next call. Neither keeps others from their turn.
+
+    A look reads the listing page by page and takes batches of ``batch_size`` from it. Tables
+    below ``target`` are those of ``run``, and ``files``, the inputs of each batch with their
+    state. Not to be mixed with ``run`` on one ``target``.
     """
     if not (archive or delete_inputs):
         raise ValueError("poll needs archive or delete_inputs")
@@ -124,23 +145,51 @@ def poll(
         target, make_fetch, answerer, batch_size, outbound, archive, delete_inputs, options
     )
     first = batch_id = _next_batch(spark, target)
-    if _is_complete(spark, f"{target}/articles", batch_id):
-        # The last run died after it had read its files: go on with those.
-        process(spark.createDataFrame([], RAW), batch_id)
+    n_files = 0
+
+    def done(files: list[File], before: int) -> tuple[list[File], list[File]]:
+        """Of the files listed those still to do, and those that only have to be moved."""
+        listed = spark.createDataFrame(files, FILE)
+        states = read_batches(spark, f"{target}/files", before)
+        if states is None:
+            return files, []
+        known = listed.join(states, ["source_path", "modified", "length"])
+        # What could not be read is tried again by another call.
+        known = known.where((F.col("state") == "processed") | (F.col("batch_id") >= first))
+        state = {r["source_path"]: r["state"] for r in known.collect()}
+        moves = [f for f in files if state.get(f.source_path) == "processed"]
+        return [f for f in files if f.source_path not in state], moves
+
+    if _is_complete(spark, f"{target}/inputs", batch_id):
+        # The last run died after it had listed its files: go on with those.
+        inputs = spark.read.schema(FILE).parquet(f"{target}/inputs/batch_id={batch_id}")
+        n_files += process(read_files(inputs), batch_id, inputs)
         batch_id += 1
-    idle, stuck = 0, None
+    idle = left = 0
     while idle < idle_checks:
         if idle:
             time.sleep(poll_seconds)
-        files = first_files(spark, landing, batch_size)
-        if not files or files == stuck:
-            idle += 1
-            continue
-        process(read_files(spark, files), batch_id)
-        batch_id, idle = batch_id + 1, 0
-        # Files that cannot be read or moved stay; they are not worth another batch at once.
-        stuck = files
-    return batch_id - first
+        found, left, waiting = False, 0, []
+        listing = list_files(spark, landing)
+        while files := list(islice(listing, batch_size)):
+            new, moves = done(files, batch_id)
+            if moves:
+                paths = spark.createDataFrame(moves, FILE)
+                moved = archive_files(paths, archive) if archive else delete_files(paths)
+                left += moved.where(~F.col("done")).count()
+            left += len(files) - len(new) - len(moves)
+            waiting += new
+            while len(waiting) >= batch_size:
+                batch, waiting = waiting[:batch_size], waiting[batch_size:]
+                inputs = write_batch(spark.createDataFrame(batch, FILE), f"{target}/inputs", batch_id)
+                n_files += process(read_files(inputs), batch_id, inputs)
+                batch_id, found = batch_id + 1, True
+        if waiting:
+            inputs = write_batch(spark.createDataFrame(waiting, FILE), f"{target}/inputs", batch_id)
+            n_files += process(read_files(inputs), batch_id, inputs)
+            batch_id, found = batch_id + 1, True
+        idle = 0 if found else idle + 1
+    return Drained(batch_id - first, n_files, left)
 
 
 def _batch_process(
@@ -152,13 +201,16 @@ def _batch_process(
     archive: str | None,
     delete_inputs: bool,
     options: dict,
-) -> Callable[[DataFrame, int], None]:
-    """What is done with the raw documents of one batch."""
+) -> Callable[..., int]:
+    """What is done with the raw documents of one batch; gives the number of files processed.
+
+    ``listed`` are its inputs as they were listed; a stream does not know them.
+    """
 
     def staged_articles(session: SparkSession, batch_id: int) -> DataFrame:
         return session.read.parquet(f"{target}/articles/batch_id={batch_id}")
 
-    def process(raw: DataFrame, batch_id: int) -> None:
+    def process(raw: DataFrame, batch_id: int, listed: DataFrame | None = None) -> int:
         session = raw.sparkSession
 
         def staged(df: DataFrame, name: str) -> DataFrame:
@@ -179,7 +231,18 @@ def _batch_process(
                 raise OSError(f"batch {batch_id} is not fully published: {unwritten[0]}")
         publish_dataset(done.quarantine, f"{target}/quarantine", batch_id)
         append_to_ledger(done.ledger, f"{target}/failed_images", batch_id)
-        inputs = staged_articles(session, batch_id).select("source_path").distinct()
+        unread = F.col("reject_reason").eqNullSafe("unreadable")
+        seen = staged_articles(session, batch_id)
+        inputs = seen.where(~unread).select("source_path").distinct()
+        if listed is not None:
+            inputs = listed.join(inputs, "source_path", "left_semi")
+            state = F.when(F.col("read").isNull(), "unreadable").otherwise("processed")
+            marked = listed.join(
+                inputs.select("source_path", F.lit(True).alias("read")), "source_path", "left"
+            )
+            write_batch(
+                marked.withColumn("state", state).drop("read"), f"{target}/files", batch_id
+            )
         if archive:
             moved = archive_files(inputs, archive)
             reports["archived"] = write_batch(moved, f"{target}/archived_files", batch_id)
@@ -191,9 +254,12 @@ def _batch_process(
             (F.count("*") == batch_size).cast("bigint").alias("more_available"),
         )
         metrics = done.metrics.union(files.unpivot([], files.columns, "metric", "value"))
+        skipped = seen.where(unread).agg(F.countDistinct("source_path").alias("files_skipped"))
+        metrics = metrics.union(skipped.unpivot([], skipped.columns, "metric", "value"))
         if reports:
             metrics = metrics.union(file_counts(**reports))
         publish_dataset(metrics, f"{target}/metrics", batch_id)
+        return inputs.count()
 
     return process
 
@@ -201,11 +267,14 @@ def _batch_process(
 def start(
     stream: DataFrame,
     position: str,
-    process: Callable[[DataFrame, int], None],
+    process: Callable[[DataFrame, int], object],
     poll_seconds: int | None = None,
 ) -> StreamingQuery:
     """Run ``process`` per micro-batch: until drained, or polling every ``poll_seconds``."""
-    writer = stream.writeStream.option("checkpointLocation", position).foreachBatch(process)
+    def batch(rows: DataFrame, batch_id: int) -> None:
+        process(rows, batch_id)
+
+    writer = stream.writeStream.option("checkpointLocation", position).foreachBatch(batch)
     if poll_seconds is None:
         return writer.trigger(availableNow=True).start()
     return writer.trigger(processingTime=f"{poll_seconds} seconds").start()

@@ -7,12 +7,15 @@ the views need no shuffle and grow with the table.
 from __future__ import annotations
 
 import json
+import struct
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import schema as S
+from .functions.json_text import json_string
+from .operators.infer import RateLimited
 from .operators.normalize import from_struct
 from .sources.images import url_registry
 
@@ -21,16 +24,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _wide(rows: DataFrame) -> DataFrame:
-    """``rows`` over at least as many partitions as there are cores.
-
-    A table of a few small files is read by a few tasks, whatever work follows per row.
-    A table with enough splits is left as it is, so nothing is shuffled at scale.
-    """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
-
-
 def _strings(*fields: tuple[str, Column]) -> Column:
     return F.struct(*(value.cast("string").alias(name) for name, value in fields))
 
@@ -43,7 +36,7 @@ def _attribute(attribute_id: str, label: str, orientation: Column, options: Colu
     fields = _strings(
         (S.IDENTIFIER, F.lit(attribute_id)),
         (S.LABEL, F.lit(label)),
-        (S.KIND, F.lit("Wertemenge, mehrfach")),
+        (S.KIND, F.lit("Auswahl")),
         (S.RESULT, F.lit("alt")),
         (S.DESCRIPTION, F.lit(f"Beschreibt {label}")),
         (S.ORIENTATION, orientation),
@@ -80,7 +73,7 @@ def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     category = _strings(
         (S.IDENTIFIER, kind), (S.CATEGORY_LABEL, F.concat(kind, F.lit(" / "), name))
     )
-    return _wide(table(spark, sf_dir, "part")).select(
+    return table(spark, sf_dir, "part").select(
         key.cast("string").alias(S.PRODUCT_ID),
         brand.alias(S.COLOUR_ID),
         name.alias(S.SUPPLIER_ARTICLE),
@@ -92,7 +85,7 @@ def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def article_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return from_struct(articles(spark, sf_dir))
+    return from_struct(articles(spark, sf_dir), S.PRODUCT_ID)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -113,6 +106,51 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Articles that share a file.
+PER_FILE = 50
+
+
+def array_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents as files that hold arrays of up to ``PER_FILE`` articles, in key order."""
+    rows = documents(spark, sf_dir)
+    key = F.split_part("source_file", F.lit("."), F.lit(1)).cast("bigint")
+    files = rows.groupBy(F.floor(key / PER_FILE).alias("n")).agg(
+        F.array_sort(F.collect_list(F.struct(key.alias("key"), "document"))).alias("items")
+    )
+    texts = F.transform("items", lambda i: i["document"])
+    return files.select(
+        "n",
+        F.concat(F.lit("/out/"), "n", F.lit(".json")).alias("source_path"),
+        F.concat("n", F.lit(".json")).alias("source_file"),
+        F.concat(F.lit("["), F.array_join(texts, ","), F.lit("]")).alias("document"),
+    )
+
+
+def faulty_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents, of which four in five have each a fault of their own."""
+    rows = articles(spark, sf_dir)
+    product = F.col(S.PRODUCT_ID)
+    kind = product.cast("bigint") % 5
+    no_options = F.transform(
+        F.col(f"`{S.ATTRIBUTES}`"),
+        lambda a: F.when(a[S.IDENTIFIER] == "objekt", a.withField(S.OPTIONS, F.lit(None))).otherwise(a),
+    )
+    faulty = rows.withColumns(
+        {
+            S.CATEGORIES: F.when(kind != 1, F.col(S.CATEGORIES)).otherwise(F.array()),
+            S.ATTRIBUTES: F.when(kind == 3, no_options).when(kind != 2, F.col(f"`{S.ATTRIBUTES}`")),
+        }
+    )
+    text = F.to_json(F.struct(*(F.col(f"`{c}`") for c in rows.columns)), {"ignoreNullFields": "false"})
+    document = F.when(kind == 4, F.concat(text, F.lit("]"))).otherwise(text)
+    name = F.concat(product, F.lit(".json"))
+    return faulty.select(
+        F.concat(F.lit("/out/"), name).alias("source_path"),
+        name.alias("source_file"),
+        document.alias("document"),
+    )
+
+
 def _owner(url: Column) -> Column:
     return F.split_part(url, F.lit("/"), F.lit(4))
 
@@ -137,6 +175,39 @@ def make_fetch() -> Callable[[str], bytes]:
     return fetch
 
 
+def make_image_fetch() -> Callable[[str], bytes]:
+    """Headers of PNG images whose size the URL tells, or a page that is no image for the back
+    images of a brand whose name ends in 3."""
+
+    def fetch(url: str) -> bytes:
+        owner, name = url.split("/")[3:5]
+        if name == "back.jpg" and owner[-1] == "3":
+            return b"<html>not found</html>"
+        width = 97 * len(owner) + (int(owner) % 900 if owner.isdigit() else 0)
+        sizes = struct.pack(">IIBB", width, 7 * len(url), 8, 6 if name == "model.jpg" else 2)
+        return b"\x89PNG\r\n\x1a\n\0\0\0\x0dIHDR" + sizes + bytes(3)
+
+    return fetch
+
+
+def make_limited_client() -> Callable[..., str]:
+    """A client that is limited twice before it answers a prompt of every fifth length, and that
+    fails for every seventh."""
+    limited: dict[str, int] = {}
+
+    def client(messages, wants_list, temperature, max_tokens):
+        prompt = messages[1]["content"][0]["text"]
+        if len(prompt) % 7 == 0:
+            raise KeyError("no answer")
+        if len(prompt) % 5 == 0 and limited.setdefault(prompt, 0) < 2:
+            limited[prompt] += 1
+            raise RateLimited("later")
+        limited.pop(prompt, None)
+        return '{"response": "yes"}'
+
+    return client
+
+
 def make_client() -> Callable[..., str]:
     """A client whose answer tells what it was sent; every 7th length it answers no JSON."""
 
@@ -151,6 +222,43 @@ def make_client() -> Callable[..., str]:
     return client
 
 
+def rule_answers(requests: Column, images: Column) -> Column:
+    """Answers without a model, from the request alone.
+
+    ``None`` for every 11th product; else the supplier colour, a hex code made of the
+    product id, or the first option in id order that the category names.
+    """
+
+    def text(r: Column) -> Column:
+        number = r["product_id"].cast("bigint")
+        named = F.array_sort(
+            F.transform(
+                F.filter(r["options"], lambda o: F.contains(r["product_category"], o["id"])),
+                lambda o: o["id"],
+            )
+        )
+        choice = F.coalesce(F.get(named, F.lit(0)), F.lit("None"))
+        choice = F.when(
+            r["attribute_id"].eqNullSafe(S.HEX_ATTRIBUTE),
+            F.concat(F.lit("#"), F.lpad(F.hex(number), 6, "0")),
+        ).otherwise(choice)
+        value = F.when(
+            r["is_colour"], F.to_json(F.array(F.lower(r["supplier_colour"])))
+        ).otherwise(json_string(choice))
+        value = F.when(number % 11 == 0, F.lit('"None"')).otherwise(value)
+        return F.concat(F.lit('{"response": '), value, F.lit("}"))
+
+    return F.transform(
+        requests,
+        lambda r: F.struct(
+            r["pos"].alias("pos"),
+            text(r).alias("answer"),
+            F.lit(None).cast("string").alias("error"),
+            F.lit(1).alias("tries"),
+        ),
+    )
+
+
 def images(rows: DataFrame) -> DataFrame:
     """The images of article rows: ``url, n_uses, ok``."""
     return url_registry(rows).withColumn("ok", image_ok(F.col("url")))

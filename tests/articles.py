@@ -15,7 +15,7 @@ def attribute(identifier, values=(), **more):
     return {
         "Identifier": identifier,
         "Bezeichner": identifier.title(),
-        "Typ": "Wertemenge, mehrfach",
+        "Typ": "Auswahl",
         RESULT: "alt",
         "Beschreibung": "beschreibt",
         "Orientierung": "oben",
@@ -33,9 +33,9 @@ def article(number, **more):
         "Hauptbild": f"http://img/{number}/main.jpg",
         "Freisteller Back": "http://img/shared/back.jpg",
         "Modellbild": f"http://img/{number}/model.jpg",
-        "Klassifikation": [{"Identifier": "11-02", "Bezeichnung": "D-Hosen / D-Jeans"}],
+        "Klassifikation": [{"Identifier": "77-A", "Bezeichnung": "Haus / Garten"}],
         "Klassifikations-Attribute": [
-            attribute("taschenart", [value("handtasche", "Handtasche"), value("bauchtasche")]),
+            attribute("bauart", [value("kiste", "Kiste"), value("kanne")]),
             attribute("farbe"),
         ],
         **more,

@@ -23,12 +23,12 @@ def rows(spark, *documents, strict=True):
 def test_fields(spark):
     row = rows(spark, article(7))[0]
     assert row["product_id"] == "7" and row["colour_id"] == "F7" and row["target_group"] == "Damen"
-    assert row["product_category"] == "D-Hosen / D-Jeans" and row["reject_reason"] is None
+    assert row["product_category"] == "Haus / Garten" and row["reject_reason"] is None
     assert row["article_key"] == "/out/0.json#0" and row["doc_pos"] is None
     names = [url.rsplit("/", 1)[1] for url in row["image_urls"]]
     assert names == ["main.jpg", "back.jpg", "model.jpg"]
-    assert [(a["pos"], a["attribute_id"]) for a in row["attributes"]] == [(0, "taschenart"), (1, "farbe")]
-    assert [tuple(o) for o in row["attributes"][0]["options"]] == [("handtasche", "Handtasche"), ("bauchtasche", "Wert")]
+    assert [(a["pos"], a["attribute_id"]) for a in row["attributes"]] == [(0, "bauart"), (1, "farbe")]
+    assert [tuple(o) for o in row["attributes"][0]["options"]] == [("kiste", "Kiste"), ("kanne", "Wert")]
 
 
 @pytest.mark.parametrize(
@@ -88,7 +88,7 @@ def test_strict_and_lenient(spark, more, reason):
 
 
 BROKEN = [
-    "", " ", "{", '{"a": 1', "[1]", "5", '"x"', "null", "not json", '{"ProduktID": "1"} x', "[]", '[{"a": 1}, 2]',
+    "", " ", "{", '{"a": 1', "[1]", "5", '"x"', "null", "not json", '{"ProduktID": "1"} x', '[{"a": 1}, 2]',
     "{'ProduktID': '1'}", '{"x": NaN}', '{"x": 01}', '{x: 1}', '{"x": "a\tb"}', '{"x": 1,}', "\ufeff{}",
     '{"ProduktID": "1"}, {"ProduktID": "2"}', '{"ProduktID": "1"}], [{}]', '[{"a": 1}] x', "[null]",
 ]
@@ -99,6 +99,19 @@ def test_broken_documents_are_rejected(spark, text):
     assert [r["reject_reason"] for r in rows(spark, text, strict=False)] == ["invalid_json"]
 
 
+@pytest.mark.parametrize("text", ["[]", " [ ] "])
+def test_an_array_of_nothing_is_told(spark, text):
+    assert [r["reject_reason"] for r in rows(spark, text)] == ["no_articles"]
+
+
+def test_large_arrays(spark):
+    """A file with thousands of articles: each article takes only its own text along."""
+    many = [article(i) for i in range(3000)]
+    got = rows(spark, many)
+    assert [r["product_id"] for r in got] == [str(i) for i in range(3000)]
+    assert json.loads(got[2999]["document"]) == many[2999]
+
+
 def test_array_of_articles(spark):
     got = rows(spark, [article(1, extra={"b": "5", "a": 5}), article(2)])
     assert [r["doc_pos"] for r in got] == [0, 1]

@@ -74,7 +74,7 @@ def expected_response(text):
 
 
 ANSWERS = [
-    '{"response": "handtasche"}', '{"response": ["#ff0000", "#00ff00"]}', '{"response": null}', "not json",
+    '{"response": "kiste"}', '{"response": ["#ff0000", "#00ff00"]}', '{"response": null}', "not json",
     '{"answer": "x"}', "[1]", '"x"', "5", "null", "true", None, '{"response": "None"}', "", " ", "{}",
     ' {"response": "a"} \n', '{"response": "a"} x', '{"response": "a"}, {"response": "b"}', '{"response": "a"}]',
     '{"response": "a"}}', "]", "}", "1], [2", '1}, {"v": 2', '{"response": "a", "response": "b"}', "{'response': 1}",

@@ -9,6 +9,7 @@ from catalogue_enrich.operators.ledger import as_text, failed_lines, new_lines
 from catalogue_enrich.operators.normalize import from_documents
 from catalogue_enrich.operators.skew import join_counted, spread
 from catalogue_enrich.sources.images import fetch_images, http_get, probe_images, url_registry
+from catalogue_enrich.sources.media import NotAnImage, image_header, probe
 from tests.articles import MISSING, article, attribute, raw
 
 
@@ -77,7 +78,7 @@ def test_fetch_once_per_url_and_retry(spark, folder, concurrency):
             raise ValueError("cannot decode")
         return content * 2
 
-    options = {"prepare": prepare, "attempts": 3, "pause": 0.01, "concurrency": concurrency}
+    options = {"validate": False, "prepare": prepare, "attempts": 3, "pause": 0.01, "concurrency": concurrency}
     fetched = fetch_images(url_registry(rows), count_calls(folder), **options)
     got = {r["url"].rsplit("/", 1)[1]: r for r in fetched.collect()}
     assert got["ok"]["n_uses"] == 50 and bytes(got["ok"]["content"]) == b"okok" and got["ok"]["error"] is None
@@ -86,12 +87,55 @@ def test_fetch_once_per_url_and_retry(spark, folder, concurrency):
     assert [calls(folder, n) for n in ("ok", "ok2", "down", "bad", "broken")] == [1, 1, 3, 1, 1]
 
 
-def test_http_get_opens_urls(spark, folder):
-    with open(f"{folder}/x", "wb") as out:
-        out.write(b"content")
-    assert http_get()(f"file://{folder}/x") == b"content"
-    with pytest.raises(OSError):
-        http_get()(f"file://{folder}/absent")
+@pytest.mark.parametrize("url", ["file:///etc/hostname", "ftp://h/x", "data:,x", "nonsense"])
+def test_http_get_opens_nothing_else(url):
+    with pytest.raises((OSError, ValueError)):
+        http_get()(url)
+
+
+def png_header(width, height, colour=2):
+    header = struct.pack(">IIBBBBB", width, height, 8, colour, 0, 0, 0)
+    return b"\x89PNG\r\n\x1a\n" + struct.pack(">I", 13) + b"IHDR" + header + b"rest"
+
+
+JPEG = b"\xff\xd8\xff\xe0\x00\x04ab\xff\xc0\x00\x11\x08\x00\x20\x00\x40\x03rest of the frame"
+IMAGES = [
+    (png_header(1000, 400), ("image/png", 1000, 400, 3)),
+    (png_header(30, 40, 6), ("image/png", 30, 40, 4)),
+    (JPEG, ("image/jpeg", 64, 32, 3)),
+    (b"GIF89a" + struct.pack("<HH", 7, 9), ("image/gif", 7, 9, 3)),
+    (b"BM" + bytes(16) + struct.pack("<iiHH", 5, -6, 1, 32), ("image/bmp", 5, 6, 4)),
+    (b"RIFFsizeWEBPVP8X" + bytes(4) + b"\x10" + bytes(3) + b"\x09\x00\x00\x13\x00\x00", ("image/webp", 10, 20, 4)),
+]
+
+
+@pytest.mark.parametrize("content, want", IMAGES)
+def test_headers(content, want):
+    found = image_header(content)
+    assert (found.media_type, found.width, found.height, found.channels) == want
+    for end in range(0, 16):
+        with pytest.raises(NotAnImage):
+            image_header(content[:end] if want[0] != "image/gif" else content[: min(end, 9)])
+
+
+@pytest.mark.parametrize("junk", [b"", b"<html>no image</html>", png_header(0, 5), JPEG[:8] + b"\xff\xda", b"\x89PNG"])
+def test_junk_is_no_image(junk):
+    with pytest.raises(NotAnImage):
+        image_header(junk)
+
+
+def test_junk_counts_as_a_failed_image(spark):
+    def make():
+        return lambda url: b"<html>" if "junk" in url else png_header(1000, 400)
+
+    rows = spark.createDataFrame([(["http://h/junk", "http://h/ok"],)], "image_urls array<string>")
+    fetched = fetch_images(url_registry(rows), make)
+    got = {r["url"]: r for r in fetched.select("url", "ok", "error", probe("content").alias("p")).collect()}
+    assert not got["http://h/junk"]["ok"] and got["http://h/junk"]["error"].startswith("NotAnImage")
+    assert got["http://h/junk"]["p"]["width"] is None
+    assert got["http://h/ok"]["p"].asDict(True) == {
+        "media_type": "image/png", "width": 1000, "height": 400, "needs_rgb": False, "out": {"width": 500, "height": 200},
+    }
 
 
 def article_rows(spark, *documents):

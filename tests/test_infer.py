@@ -50,6 +50,7 @@ PROMPTS = Prompts(attribute="{attribute_id}", colour="colour", system_attribute=
 def run(spark, documents, client=None, **options):
     pairs = [(f"{i}.json", d) for i, d in enumerate(documents)]
     waits = options.pop("waits", {})
+    options.setdefault("validate", False)
     answerer = call_model(client or echo_client(), sleep=lambda s: None, **waits)
     return enrich_documents(raw(spark, pairs), make_fetch, answerer, prompts=PROMPTS, **options)
 
@@ -74,7 +75,7 @@ def test_whole_chain(spark):
     want = json.loads(json.dumps(sources))
     for a, r in zip(want[0]["Klassifikations-Attribute"], ["x/3/S", ["#ff0000"], "farbHex/3/S", "x/3/S"]):
         a[RESULT] = r
-    for a, r in zip(want[1]["Klassifikations-Attribute"], ["taschenart/2/S", ["#ff0000"]]):
+    for a, r in zip(want[1]["Klassifikations-Attribute"], ["bauart/2/S", ["#ff0000"]]):
         a[RESULT] = r
     for a in want[2]["Klassifikations-Attribute"]:
         a[RESULT] = None
@@ -89,7 +90,7 @@ def test_whole_chain(spark):
         "articles": 5, "attributes": 10, "model_calls": 6, "inferred": 3, "kept": 1, "nulled": 1, "failed": 0,
     }
     left = {r["attribute_id"]: (r["n_unresolved"], r["n"]) for r in unresolved(flat_results(done.articles)).collect()}
-    assert left == {"x": (0, 2), "farbe": (1, 4), "farbHex": (0, 1), "taschenart": (1, 3)}
+    assert left == {"x": (0, 2), "farbe": (1, 4), "farbHex": (0, 1), "bauart": (1, 3)}
     assert [tuple(r) for r in without_images(done.articles).collect()] == [("Damen", 1)]
 
 
@@ -98,12 +99,12 @@ def test_whole_chain(spark):
     [("not json", "not json"), ('{"answer": 1}', '{"answer": 1}'), ('{"response": null}', None), ('{"response": 5}', 5)],
 )
 def test_raw_answers_are_written(spark, reply, result):
-    done = run(spark, [article(0)], echo_client(taschenart=reply))
+    done = run(spark, [article(0)], echo_client(bauart=reply))
     assert documents_of(done)["0.json"]["Klassifikations-Attribute"][0][RESULT] == result
 
 
 def test_rate_limit_is_retried(spark):
-    client = echo_client(taschenart=[RateLimited, RateLimited, '{"response": "ok"}'])
+    client = echo_client(bauart=[RateLimited, RateLimited, '{"response": "ok"}'])
     done = run(spark, [article(0)], client)
     assert documents_of(done)["0.json"]["Klassifikations-Attribute"][0][RESULT] == "ok"
 
@@ -111,19 +112,79 @@ def test_rate_limit_is_retried(spark):
 @pytest.mark.parametrize(
     "reply, reason",
     [
-        (RateLimited, "RateLimited: told so"),
         (KeyError, "KeyError: 'told so'"),
         ("[1]", "answer is not a JSON object"),
         (None, "answer is not a JSON object"),
     ],
 )
 def test_failed_calls_are_quarantined(spark, reply, reason):
-    replies = {"taschenart": [reply]} if reply is None else {"taschenart": reply}
+    replies = {"bauart": [reply]} if reply is None else {"bauart": reply}
     done = run(spark, [article(0), article(1, **{"Klassifikations-Attribute": []})], echo_client(**replies), waits={"max_tries": 3})
     assert [(r["source_file"], r["reason"]) for r in done.quarantine.collect()] == [("0.json", reason)]
     assert set(documents_of(done)) == {"1.json"}
 
 
+def test_a_lasting_rate_limit_fails_the_job(spark):
+    with pytest.raises(Exception, match="still limited after 3 calls"):
+        run(spark, [article(0)], echo_client(bauart=RateLimited), waits={"max_tries": 3})
+
+
+def test_calls_are_spread_by_their_number(spark):
+    def make():
+        from pyspark import TaskContext
+
+        def client(messages, **_):
+            return json.dumps({"response": str(TaskContext.get().partitionId())})
+
+        return client
+
+    sources = [article(i) for i in range(100)]
+    sources += [article(i, Hauptbild="http://img/fail", **{"Freisteller Back": MISSING, "Modellbild": None}) for i in range(100, 150)]
+    done = run(spark, sources, make)
+    tasks = {
+        a[RESULT] for d in documents_of(done).values() for a in d["Klassifikations-Attribute"] if isinstance(a[RESULT], str)
+    }
+    assert len(tasks) >= int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_two_colours_of_a_product(spark):
+    def make_bytes():
+        def fetch(url):
+            if "fail" in url:
+                raise OSError("no")
+            return url.encode()
+
+        return fetch
+
+    def make():
+        def client(messages, **_):
+            return json.dumps({"response": messages[1]["content"][1]["image_url"]["url"]})
+
+        return client
+
+    one = {"Freisteller Back": MISSING, "Modellbild": None, "ProduktID": "1"}
+    sources = [
+        article(0, Hauptbild="http://img/fail", FarbID="F1", **one),
+        article(1, Hauptbild="http://img/two", FarbID="F2", **one),
+    ]
+    from catalogue_enrich.functions.encoding import data_url
+    from catalogue_enrich.operators.images import attach_images, branch
+    from catalogue_enrich.operators.normalize import from_struct
+    from catalogue_enrich.schema import ARTICLE
+
+    rows = [tuple(s.get(f) if isinstance(s.get(f), (str, type(None))) else None for f in ARTICLE.names) for s in sources]
+    articles = from_struct(spark.createDataFrame(rows, ARTICLE), ["ProduktID", "FarbID"])
+    images = spark.createDataFrame([("http://img/fail", 1, False), ("http://img/two", 1, True)], "url string, n_uses long, ok boolean")
+    joined = attach_images(articles, images).withColumn("branch", branch())
+    assert {r.colour_id: r.branch for r in joined.collect()} == {"F1": "nulled", "F2": "inferred"}
+
+    done = run(spark, sources, make)
+    got = documents_of(done)
+    want = spark.range(1).select(data_url(F.encode(F.lit("http://img/two"), "UTF-8")).alias("u")).first().u
+    assert {a[RESULT] for a in got["0.json"]["Klassifikations-Attribute"]} == {None}
+    assert {str(a[RESULT]) for a in got["1.json"]["Klassifikations-Attribute"]} == {want}
+
+
 def test_attributes_of_an_article_can_be_asked_at_once(spark, folder):
     def make():
         import threading
@@ -145,7 +206,7 @@ def test_attributes_of_an_article_can_be_asked_at_once(spark, folder):
 
 def test_failed_calls_can_fail_the_job(spark):
     with pytest.raises(Exception, match="model call failed"):
-        run(spark, [article(0)], echo_client(taschenart=KeyError), waits={"on_error": "fail"})
+        run(spark, [article(0)], echo_client(bauart=KeyError), waits={"on_error": "fail"})
     with pytest.raises(ValueError):
         call_model(echo_client(), on_error="nonsense")
 
@@ -161,7 +222,7 @@ def test_failed_calls_can_fail_the_job(spark):
 )
 def test_errors_can_fail_the_job(spark, document, reply, reason):
     with pytest.raises(Exception, match=reason):
-        run(spark, [article(1), document], echo_client(taschenart=reply), on_error="fail")
+        run(spark, [article(1), document], echo_client(bauart=reply), on_error="fail")
     assert len(documents_of(run(spark, [article(1)], on_error="fail"))) == 1
 
 

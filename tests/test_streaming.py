@@ -5,7 +5,17 @@ import uuid
 import pytest
 
 from catalogue_enrich.operators.infer import call_model
-from catalogue_enrich.streaming.run import append_to_ledger, poll, read_batches, run
+from catalogue_enrich.operators.normalize import from_documents
+from catalogue_enrich.sinks import archive_files
+from catalogue_enrich.sources.landing import FILE, File, list_files, read_files
+from catalogue_enrich.streaming.run import (
+    Drained,
+    _next_batch,
+    append_to_ledger,
+    poll,
+    read_batches,
+    run,
+)
 from tests.articles import MISSING, RESULT, article
 
 
@@ -26,7 +36,7 @@ def marking_client(marks, poison=None):
             if poison and os.path.exists(poison):
                 raise RuntimeError("poisoned")
             open(f"{marks}/{uuid.uuid4().hex}", "w").close()
-            return '{"response": ["#ff0000"]}' if wants_list else '{"response": "handtasche"}'
+            return '{"response": ["#ff0000"]}' if wants_list else '{"response": "kiste"}'
 
         return client
 
@@ -47,7 +57,7 @@ def places(folder):
 
 def stream(spark, places, answerer=None, **options):
     answerer = answerer or call_model(marking_client(f"{places}/marks"))
-    options = {"outbound": f"{places}/in", "archive": f"{places}/out/done", "batch_size": 2, **options}
+    options = {"outbound": f"{places}/in", "archive": f"{places}/out/done", "batch_size": 2, "validate": False, **options}
     return run(spark, f"{places}/out", f"{places}/tables", make_fetch, answerer, **options)
 
 
@@ -63,7 +73,7 @@ def test_folder_is_drained_in_batches(spark, places):
     stream(spark, places).awaitTermination()
     assert set(published(places)) == {f"{i}.json" for i in range(4)}
     first = published(places)["0.json"]
-    assert [a[RESULT] for a in first["Klassifikations-Attribute"]] == ["handtasche", ["#ff0000"]]
+    assert [a[RESULT] for a in first["Klassifikations-Attribute"]] == ["kiste", ["#ff0000"]]
     assert sorted(os.listdir(f"{places}/out")) == ["done", "note.txt"]
     assert len(os.listdir(f"{places}/out/done")) == 5
     tables = f"{places}/tables"
@@ -152,25 +162,28 @@ def test_ledger_of_a_replayed_batch(spark, folder):
 
 def drain(spark, places, answerer=None, **options):
     answerer = answerer or call_model(marking_client(f"{places}/marks"))
-    options = {"outbound": f"{places}/in", "archive": f"{places}/done", "batch_size": 2, **options}
+    options = {"outbound": f"{places}/in", "archive": f"{places}/done", "batch_size": 2, "validate": False, **options}
     return poll(spark, f"{places}/out", f"{places}/tables", make_fetch, answerer, **options)
 
 
 def test_a_file_delivered_again_is_processed_again(spark, places):
-    for name in ("0.json", "a [1]{b}*?\\ü+%.json", "_hidden.json", "note.txt"):
+    names = ("0.json", "a [1]{b}*?\\ü+%.json", "_hidden.json", ".dot.json")
+    for name in (*names, "note.txt"):
         land(places, name, article(0))
+    os.utime(f"{places}/out/0.json", (10**9, 10**9))  # an old file, moved here with its time
     land(places, "broken.json", "{")
-    assert drain(spark, places) == 2
-    assert sorted(os.listdir(f"{places}/out")) == ["_hidden.json", "note.txt"]
-    assert set(published(places)) == {"0.json", "a [1]{b}*?\\ü+%.json"}
+    os.mkdir(f"{places}/out/folder.json")
+    assert drain(spark, places) == Drained(3, 5, 0)
+    assert sorted(os.listdir(f"{places}/out")) == ["folder.json", "note.txt"]
+    assert set(published(places)) == set(names)
     land(places, "0.json", article(0, FarbID="new"))
-    assert drain(spark, places) == 1
+    assert drain(spark, places) == Drained(1, 1, 0)
     assert published(places)["0.json"]["FarbID"] == "new"
     with open(f"{places}/done/0.json", encoding="utf-8") as source:
         assert json.load(source)["FarbID"] == "new"
-    assert drain(spark, places, idle_checks=3, poll_seconds=0.01) == 0
+    assert drain(spark, places, idle_checks=3, poll_seconds=0.01) == Drained(0, 0, 0)
     batches = spark.read.parquet(f"{places}/tables/metrics").where("metric = 'files'").collect()
-    assert sorted((r["batch_id"], r["value"]) for r in batches) == [(0, 2), (1, 1), (2, 1)]
+    assert sorted((r["batch_id"], r["value"]) for r in batches) == [(0, 2), (1, 2), (2, 1), (3, 1)]
 
 
 def test_polling_resumes_a_failed_batch(spark, places):
@@ -180,11 +193,57 @@ def test_polling_resumes_a_failed_batch(spark, places):
     with pytest.raises(OSError, match="not fully published"):
         drain(spark, places, outbound=f"{places}/not a folder")
     land(places, "1.json", article(1))
-    assert drain(spark, places, batch_size=1) == 2
+    assert drain(spark, places, batch_size=1).batches == 2
     assert set(published(places)) == {"0.json", "1.json"}
     assert len(os.listdir(f"{places}/marks")) == 4 and os.listdir(f"{places}/out") == []
 
 
+def test_files_that_stay_keep_no_others_from_their_turn(spark, places):
+    for i in range(6):
+        land(places, f"{i}.json", article(i % 2))
+    with open(f"{places}/done", "w"):
+        pass  # nothing can be moved
+    assert drain(spark, places) == Drained(3, 6, 6)
+    assert len(published(places)) == 6
+    calls = len(os.listdir(f"{places}/marks"))
+    land(places, "6.json", article(0))
+    assert drain(spark, places) == Drained(1, 1, 7)
+    # What was processed is not paid for again, and goes as soon as it can be moved.
+    assert len(os.listdir(f"{places}/marks")) == calls + 2
+    os.rename(f"{places}/done", f"{places}/was in the way")
+    assert drain(spark, places) == Drained(0, 0, 0)
+    assert os.listdir(f"{places}/out") == [] and len(os.listdir(f"{places}/done")) == 7
+
+
+def test_a_file_that_cannot_be_read_is_told(spark, places):
+    land(places, "0.json", article(0))
+    os.symlink(f"{places}/nowhere", f"{places}/vanished.json")
+    files = [File(f"file://{places}/out/0.json", 0, 0), File(f"file://{places}/vanished.json", 0, 0)]
+    got = {r["source_file"]: r for r in read_files(spark.createDataFrame(files, FILE)).collect()}
+    assert got["0.json"]["read_error"] is None
+    assert got["vanished.json"]["document"] is None
+    assert got["vanished.json"]["read_error"].startswith("FileNotFoundError")
+    reasons = from_documents(read_files(spark.createDataFrame(files, FILE))).collect()
+    assert {r["source_file"]: r["reject_reason"] for r in reasons} == {"0.json": None, "vanished.json": "unreadable"}
+
+
+def test_a_file_written_again_meanwhile_is_not_archived_unread(spark, places):
+    land(places, "0.json", article(0))
+    (listed,) = list_files(spark, f"{places}/out")
+    land(places, "0.json", article(0, FarbID="newer"))
+    os.utime(f"{places}/out/0.json", (10**9, 10**9))
+    (moved,) = archive_files(spark.createDataFrame([listed], FILE), f"{places}/done").collect()
+    assert not moved["done"] and "written again" in moved["error"]
+    assert os.listdir(f"{places}/out") == ["0.json"]
+
+
+def test_the_next_batch_is_found_without_a_listing(spark, folder):
+    for n in range(6):
+        assert _next_batch(spark, f"{folder}/t") == n
+        os.makedirs(f"{folder}/t/metrics/batch_id={n}")
+        open(f"{folder}/t/metrics/batch_id={n}/_SUCCESS", "w").close()
+
+
 def test_polling_needs_a_place_for_its_inputs(spark, places):
     with pytest.raises(ValueError):
         drain(spark, places, archive=None)
