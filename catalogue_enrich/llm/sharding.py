@@ -22,7 +22,7 @@ from itertools import chain
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import free_name, staged
+from .common import staged
 
 CELLS = 1 << 16
 # Shares that the rows of an arc are ranked in.
@@ -83,7 +83,7 @@ def place(
     Columns of the input with these names are dropped.
     """
     spark = rows.sparkSession
-    rows = rows.select(*[c for c in rows.columns if c.lower() not in ("shard", "slot")])
+    own = [c for c in rows.columns if c.lower() not in ("shard", "slot")]
     places = ring(spark, shards, replicas, seed)
     # The arc of a cell ends at the first place at or after it; past the last it is the first.
     ends = [cell for cell, _ in places]
@@ -95,22 +95,22 @@ def place(
         )
     )
     # CELLS rows.
-    arcs = spark.createDataFrame(list(enumerate(arc_of)), "_cell int, _arc int")
-    cell, part = free_name(rows, "_cell"), free_name(rows, "_part")
-    arcs = arcs.withColumnsRenamed({"_cell": cell})
-    arc = free_name(rows, "_arc")
-    arcs = arcs.withColumnsRenamed({"_arc": arc})
+    arcs = F.broadcast(spark.createDataFrame(list(enumerate(arc_of)), "cell int, arc int"))
     hashed = F.pmod(F.xxhash64(F.lit(seed), F.lit("key"), F.struct(key)), F.lit(CELLS))
     # Every share has rows of every input partition, whatever they hold.
     number = F.pmod(F.monotonically_increasing_id(), F.lit(PARTS))
-    keyed = rows.withColumns({cell: hashed.cast("int"), part: number.cast("int")})
-    keyed = staged(keyed.join(F.broadcast(arcs), cell).drop(cell), "ring")
+    keyed = rows.select(
+        F.struct(*own).alias("row"),
+        F.struct(F.xxhash64(F.struct(key)).alias("hash"), key).alias("order"),
+        hashed.cast("int").alias("cell"),
+        number.cast("int").alias("part"),
+    )
+    keyed = staged(keyed.join(arcs, "cell").drop("cell"), "ring")
 
-    counts = keyed.groupBy(arc, part).agg(F.count("*").alias("_n"))
-    per_arc = counts.groupBy(arc).agg(F.sum("_n").alias("_n")).collect()
+    counts = keyed.groupBy("arc", "part").agg(F.count("*").alias("n"))
     totals = [0] * len(places)
-    for r in per_arc:
-        totals[r[arc]] = r["_n"]
+    for r in counts.groupBy("arc").agg(F.sum("n").alias("n")).collect():
+        totals[r["arc"]] = r["n"]
     n = sum(totals)
     if slack:
         bounds = [int(-(-n * (1 + slack) // shards))] * shards
@@ -118,24 +118,17 @@ def place(
         bounds = [n // shards + (s < n % shards) for s in range(shards)]
     taken = settle(places, totals, bounds)
 
-    before = Window.partitionBy(arc).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy("arc").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(
-        arc, part, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")
+        "arc", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before")
     )
     # The order within a part is that of the key; rows alike may take each other's slot.
-    within = Window.partitionBy(arc, part).orderBy(F.xxhash64(F.struct(key)), key)
-    ranked = keyed.withColumn("_row", F.row_number().over(within)).join(offsets, [arc, part])
-    ranked = ranked.withColumn("_rank", F.col("_before") + F.col("_row") - 1)
+    within = Window.partitionBy("arc", "part").orderBy("order")
+    ranked = keyed.withColumn("own", F.row_number().over(within)).join(offsets, ["arc", "part"])
+    ranked = ranked.select("row", "arc", (F.col("before") + F.col("own") - 1).alias("rank"))
     # At most places x shards rows.
-    intervals = spark.createDataFrame(
-        taken, f"{arc} int, _first long, _stop long, _shard int, _slot long"
-    )
-    at = (F.col("_rank") >= F.col("_first")) & (F.col("_rank") < F.col("_stop"))
-    placed = ranked.join(
-        F.broadcast(intervals), (ranked[arc] == intervals[arc]) & at
-    )
+    intervals = spark.createDataFrame(taken, "arc int, first long, stop long, shard int, slot long")
+    placed = ranked.join(F.broadcast(intervals), "arc").where("rank >= first and rank < stop")
     return placed.select(
-        *[ranked[c] for c in rows.columns],
-        F.col("_shard").alias("shard"),
-        (F.col("_slot") + F.col("_rank") - F.col("_first")).alias("slot"),
+        "row.*", "shard", (F.col("slot") + F.col("rank") - F.col("first")).alias("slot")
     )

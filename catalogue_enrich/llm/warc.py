@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sinks import _is_file, _open, _replace
+from ..sinks import open_files, replace_file
 
 LINE = "\r\n"
 CHUNK = 1 << 20
@@ -78,7 +78,7 @@ def record_bytes(rows: DataFrame) -> Column:
         F.lit(LINE * 2),
     )
     body = F.when(refers, F.lit(b"")).otherwise(F.col("payload"))
-    address = F.regexp_replace("url", r"[\x00-\x20]+", "%20")
+    address = F.regexpreplace_file("url", r"[\x00-\x20]+", "%20")
     head = F.concat(
         F.lit(f"WARC/1.1{LINE}WARC-Type: "),
         F.when(refers, "revisit").otherwise("response"),
@@ -214,8 +214,8 @@ def normalise(spark: SparkSession, source: str, target: str, level: int = 6) ->
     """
 
     def one(path: str) -> tuple[str, int, int, str | None]:
-        files, read = _open(path)
-        target_files, folder = _open(target)
+        files, read = open_files(path)
+        target_files, folder = open_files(target)
         target_files.create_dir(folder, recursive=True)
         base = read.rpartition("/")[2].removesuffix(".gz").removesuffix(".txt")
         final = f"{folder}/{base.removesuffix('.warc')}.warc.gz"
@@ -235,8 +235,8 @@ def normalise(spark: SparkSession, source: str, target: str, level: int = 6) ->
                     n, size = n + 1, offset + length
             except (BadArchive, ValueError) as fault:
                 error = str(fault)
-        _replace(target_files, hidden, final)
-        _replace(target_files, f"{hidden}.index", f"{final}.index")
+        replace_file(target_files, hidden, final)
+        replace_file(target_files, f"{hidden}.index", f"{final}.index")
         return final.rpartition("/")[2], n, size, error
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -268,7 +268,7 @@ def read_records(index: DataFrame, folder: str, payloads: bool = False) -> DataF
     """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        files, root = _open(folder)
+        files, root = open_files(folder)
         name, archive = None, None
         for frame in frames:
             rows = []
