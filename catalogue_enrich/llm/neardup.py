@@ -9,8 +9,8 @@ task is split by twice the prefix, and what still is by parts that differ from t
 Candidates are classes of a region whose signatures agree well enough. They are confirmed on the
 full sets, in two rounds. The first takes, of the neighbours along the order, the best few of
 each class; its links make components. The second takes every pair of a region that could join
-two components, so no candidate that could change the result is left out, while a group of
-thousands of copies does not confirm all its pairs.
+two components, where it meets, so no candidate that could change the result is left out, while
+pairs are no rows and a group of thousands of copies does not confirm all of them.
 
 Least depth: the largest at which a pair at the threshold shares a region in some tree but for
 two cases in 100,000.
@@ -29,19 +29,21 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import staged
+from .common import small_batches, staged
 from .components import components
 from .shingles import MinHash, set_id, shingle_set
 
 TREES, PRINTS, ORDER = 16, 128, 16
 # Rows of a region that one task compares.
-REGION = 8192
+REGION = 4096
 # How far along the order a class is compared, and how many links it is offered at first.
 WINDOW, FIRST = 16, 2
 # By how many standard deviations of an estimate a candidate may fall short.
 SLACK = 4.0
+# Rows of a batch of texts or pairs of sets.
+BATCH = 1000
 # Pairs of signatures compared at once.
-COMPARED = 1 << 17
+COMPARED = 1 << 14
 
 SKETCH = pa.struct([("n", pa.int64()), ("set_id", pa.binary()), ("prints", pa.binary())])
 SKETCH_DDL = "n long, set_id binary, prints binary"
@@ -61,7 +63,7 @@ def _bytes(texts: pa.Array) -> Iterator[bytes]:
 
 
 def sketches(documents: DataFrame, key: str, text: str, width: int) -> DataFrame:
-    """``key, n, set_id, prints`` of every document."""
+    """``key, print, n, set_id, prints`` of every document; ``print`` is a hash of its text."""
 
     def sketch(texts: pa.Array) -> pa.Array:
         minhash, rows = MinHash(PRINTS), []
@@ -76,7 +78,9 @@ def sketches(documents: DataFrame, key: str, text: str, width: int) -> DataFrame
         return pa.StructArray.from_arrays(arrays, SKETCH.names)
 
     made = F.arrow_udf(sketch, SKETCH_DDL)(F.col(text).cast("string"))
-    return documents.select(F.col(key).alias("key"), made.alias("s")).select("key", "s.*")
+    print_ = F.xxhash64(F.col(text).cast("string")).alias("print")
+    rows = documents.select(F.col(key).alias("key"), print_, made.alias("s"))
+    return rows.select("key", "print", "s.*")
 
 
 def _prefix(tree: int, depth: int) -> Column:
@@ -91,7 +95,7 @@ def _order(tree: int, depth: int) -> Column:
 
 
 def regions(classes: DataFrame, depth: int) -> DataFrame:
-    """``region, tree, order, set_id, n, prints`` of classes that share a region with another."""
+    """``region, tree, splits, set_id, n, prints`` of classes that share a region with another."""
     deep = min(ORDER, 2 * depth)
     trees = F.array(
         *[
@@ -114,12 +118,17 @@ def regions(classes: DataFrame, depth: int) -> DataFrame:
         .where("n_far > 1")
     )
     rows = rows.join(far, "far", "left")
+    split = F.col("n_near") > REGION
     part = F.pmod(F.xxhash64("set_id", "tree"), F.ceil(F.col("n_far") / REGION))
-    region = F.when(F.col("n_near") <= REGION, F.col("near")).otherwise(
+    region = F.when(~split, F.col("near")).otherwise(
         F.when(F.col("n_far") <= REGION, F.col("far")).otherwise(F.xxhash64("far", part))
     )
-    rows = rows.where((F.col("n_near") <= REGION) | F.col("n_far").isNotNull())
-    crowded = rows.select("set_id", "tree", region.alias("region"))
+    rows = staged(rows.select("set_id", "tree", "n_far", split.alias("split"), region.alias("region")), "trees")
+    # As bits of a number, the trees in which a class is in a region that was split.
+    splits = rows.where("split").groupBy("set_id")
+    splits = splits.agg(F.bit_or(F.expr("shiftleft(1, tree)")).alias("splits"))
+    crowded = rows.where(~F.col("split") | F.col("n_far").isNotNull()).join(splits, "set_id", "left")
+    crowded = crowded.select("set_id", "tree", "region", F.coalesce("splits", F.lit(0)).alias("splits"))
     return crowded.join(classes.select("set_id", "n", "prints"), "set_id")
 
 
@@ -131,13 +140,13 @@ def _signatures(batch: pa.RecordBatch) -> np.ndarray:
 def _alike(
     prints: np.ndarray, sizes: np.ndarray, i: np.ndarray, j: np.ndarray, needed: float, least: float
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The pairs whose sizes and signatures allow a link, with how many prints agree."""
+    """The pairs whose sizes and signatures allow a link, with which of the prints agree."""
     small, large = np.minimum(sizes[i], sizes[j]), np.maximum(sizes[i], sizes[j])
     ok = small >= least * large
     i, j = i[ok], j[ok]
-    agreed = (prints[i] == prints[j]).sum(axis=1)
-    ok = agreed >= needed
-    return i[ok], j[ok], agreed[ok].astype(np.int32)
+    agree = prints[i] == prints[j]
+    ok = agree.sum(axis=1) >= needed
+    return i[ok], j[ok], agree[ok]
 
 
 def _pairs(batch: pa.RecordBatch, i: np.ndarray, j: np.ndarray, agreed: np.ndarray):
@@ -167,7 +176,8 @@ def _neighbours(
             i = i[region[i] == region[i + lag]]
             if not len(i):
                 break
-            found.append(_alike(prints, sizes, i, i + lag, needed, least))
+            i, j, agree = _alike(prints, sizes, i, i + lag, needed, least)
+            found.append((i, j, agree.sum(axis=1).astype(np.int32)))
         if found and sum(len(f[0]) for f in found):
             i, j, agreed = map(np.concatenate, zip(*found, strict=True))
             chosen = np.zeros(len(i), bool)
@@ -199,71 +209,145 @@ def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.concat_batches(held)
 
 
-def _joining(
-    batches: Iterator[pa.RecordBatch], needed: float, least: float
-) -> Iterator[pa.RecordBatch]:
-    """All pairs of a region that may be linked and have different labels.
+def _meetings(
+    batch: pa.RecordBatch, needed: float, least: float, depth: int
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of rows of a region that may be linked and have different labels, in parts.
 
-    The rows of the commonest label are not compared with each other.
+    A pair that meets in several trees is given in the first whose region was not split, or else
+    in all. The rows of the commonest label are not compared with each other.
     """
+    region, prints = batch.column("region").to_numpy(), _signatures(batch)
+    sizes, trees = batch.column("n").to_numpy(), batch.column("tree").to_numpy()
+    splits = batch.column("splits").to_numpy()
+    whole = (splits[:, None] >> np.arange(TREES) & 1) == 0
+    labels = np.array(batch.column("label").to_pylist(), object)
+    labels = np.unique(labels, return_inverse=True)[1]
+    cuts = np.r_[0, np.flatnonzero(region[1:] != region[:-1]) + 1, len(region)]
+    for begin, end in zip(cuts[:-1], cuts[1:], strict=True):
+        own = labels[begin:end]
+        common = np.bincount(own - own.min()).argmax() + own.min()
+        rare = np.flatnonzero(own != common)
+        step = max(1, COMPARED // (end - begin))
+        for part in range(0, len(rare), step):
+            i = np.repeat(rare[part : part + step], end - begin)
+            j = np.tile(np.arange(end - begin), len(i) // (end - begin))
+            # Of two rare rows the earlier is compared with the later only.
+            ok = (own[i] != own[j]) & ((own[j] == common) | (i < j))
+            i, j, agree = _alike(prints, sizes, i[ok] + begin, j[ok] + begin, needed, least)
+            if len(i):
+                by_tree = agree.reshape(len(i), TREES, -1)[:, :, :depth].all(axis=2) & whole[i]
+                first = np.where(by_tree.any(axis=1), by_tree.argmax(axis=1), trees[i])
+                ok = first == trees[i]
+                yield i[ok], j[ok]
+
+
+def _wanted(
+    batches: Iterator[pa.RecordBatch], needed: float, least: float, depth: int
+) -> Iterator[pa.RecordBatch]:
+    """The rows that have a partner in their region."""
     for batch in _whole(batches):
-        region, prints = batch.column("region").to_numpy(), _signatures(batch)
-        sizes, labels = batch.column("n").to_numpy(), batch.column("label").to_pylist()
-        labels = np.unique(np.array(labels, object), return_inverse=True)[1]
-        cuts = np.r_[0, np.flatnonzero(region[1:] != region[:-1]) + 1, len(region)]
-        for begin, end in zip(cuts[:-1], cuts[1:], strict=True):
-            own = labels[begin:end]
-            common = np.bincount(own - own.min()).argmax() + own.min()
-            rare = np.flatnonzero(own != common)
-            step = max(1, COMPARED // (end - begin))
-            for part in range(0, len(rare), step):
-                i = np.repeat(rare[part : part + step], end - begin)
-                j = np.tile(np.arange(end - begin), len(i) // (end - begin))
-                # Of two rare rows the smaller is compared with the larger only.
-                ok = (own[i] != own[j]) & ((own[j] == common) | (i < j))
-                found = _alike(prints, sizes, i[ok] + begin, j[ok] + begin, needed, least)
-                if len(found[0]):
-                    yield _pairs(batch, *found)
-
-
-def candidates(crowded: DataFrame, threshold: float, labels: DataFrame | None) -> DataFrame:
-    """Distinct pairs ``a, b, agreed`` of set ids: the best neighbours in the orders, or, with
-    ``labels`` (``node, component``), all that may join two components."""
+        wanted = np.zeros(batch.num_rows, bool)
+        for i, j in _meetings(batch, needed, least, depth):
+            wanted[i] = wanted[j] = True
+        yield batch.filter(pa.array(wanted))
+
+
+def _linked(
+    batches: Iterator[pa.RecordBatch], needed: float, least: float, depth: int, percent: int
+) -> Iterator[pa.RecordBatch]:
+    """Links between rows of a region, by their full sets; of those that join the same rows, or
+    rows of the same labels, the first found is enough."""
+    for batch in _whole(batches):
+        labels = batch.column("label").to_pylist()
+        parent = {label: label for label in labels}
+
+        def root(label: bytes, parent: dict[bytes, bytes] = parent) -> bytes:
+            while parent[label] != label:
+                parent[label] = label = parent[parent[label]]
+            return label
+
+        sets, found = batch.column("shingles"), []
+        for rows in _meetings(batch, needed, least, depth):
+            for i, j in zip(*(r.tolist() for r in rows), strict=True):
+                a, b = root(labels[i]), root(labels[j])
+                if a != b and _similar(sets[i].as_py(), sets[j].as_py(), percent):
+                    parent[a] = b
+                    found.append((i, j))
+        if found:
+            ids = batch.column("set_id").to_pylist()
+            a, b = zip(*((ids[i], ids[j]) for i, j in found), strict=True)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"]
+            )
+
+
+def _similar(a: bytes, b: bytes, percent: int) -> bool:
+    x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+    common = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * common >= percent * (len(x) + len(y) - common)
+
+
+def needed_prints(threshold: float) -> float:
+    """Prints that must agree for a pair to be a candidate."""
     spread = (PRINTS * threshold * (1 - threshold)) ** 0.5
-    needed = PRINTS * threshold - SLACK * spread
-    tasks = int(crowded.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    if labels is None:
-        order = F.lit(b"")
-        for tree in range(TREES):
-            order = F.when(F.col("tree") == tree, _order(tree, ORDER)).otherwise(order)
-        rows = crowded.select("region", "prints", "set_id", "n", order.alias("order"))
-        rows = rows.repartition(tasks, "region").sortWithinPartitions("region", "order", "set_id")
-        pairs = rows.drop("order").mapInArrow(lambda b: _neighbours(b, needed, threshold), PAIR)
-    else:
-        labels = labels.withColumnRenamed("node", "set_id")
-        rows = crowded.join(labels, "set_id", "left")
-        rows = rows.withColumn("label", F.coalesce("component", "set_id"))
-        # Regions of one component have nothing more to find.
-        mixed = rows.groupBy("region").agg(F.min("label").alias("x"), F.max("label").alias("y"))
-        rows = rows.join(mixed.where("x <> y").select("region"), "region")
-        rows = rows.select("region", "prints", "set_id", "n", "label")
-        # By an expression of the region: a shuffle by the region alone would be taken for that of
-        # the join, which may turn into a broadcast whose reader does not keep regions whole.
-        rows = rows.repartition(tasks, F.xxhash64("region")).sortWithinPartitions("region")
-        pairs = rows.mapInArrow(lambda b: _joining(b, needed, threshold), PAIR)
+    return PRINTS * threshold - SLACK * spread
+
+
+def candidates(crowded: DataFrame, threshold: float) -> DataFrame:
+    """Distinct pairs ``a, b, agreed`` of set ids: the best neighbours in the orders."""
+    needed = needed_prints(threshold)
+    order = F.lit(b"")
+    for tree in range(TREES):
+        order = F.when(F.col("tree") == tree, _order(tree, ORDER)).otherwise(order)
+    rows = crowded.select("region", "prints", "set_id", "n", order.alias("order"))
+    rows = _dealt(rows).sortWithinPartitions("region", "order", "set_id")
+    pairs = rows.drop("order").mapInArrow(lambda b: _neighbours(b, needed, threshold), PAIR)
     return pairs.groupBy("a", "b").agg(F.max("agreed").alias("agreed"))
 
 
+def joining(crowded: DataFrame, threshold: float, labels: DataFrame) -> DataFrame:
+    """``region, tree, splits, set_id, n, prints, label`` of the rows that have a possible link
+    to a row of another component (``labels``: ``node, component``) in their region."""
+    needed, depth = needed_prints(threshold), least_depth(threshold)
+    rows = crowded.join(labels.withColumnRenamed("node", "set_id"), "set_id", "left")
+    rows = rows.withColumn("label", F.coalesce("component", "set_id")).drop("component")
+    # Regions of one component have nothing more to find.
+    mixed = rows.groupBy("region").agg(F.min("label").alias("x"), F.max("label").alias("y"))
+    rows = rows.join(mixed.where("x <> y").select("region"), "region")
+    rows = rows.select("region", "tree", "splits", "set_id", "n", "prints", "label")
+    return _dealt(rows).sortWithinPartitions("region").mapInArrow(
+        lambda b: _wanted(b, needed, threshold, depth), rows.schema
+    )
+
+
+def joined(rows: DataFrame, sets: DataFrame, threshold: float, percent: int) -> DataFrame:
+    """Links ``a, b`` between the rows of ``joining``, confirmed where they meet: a pair is never
+    a row, however many there are, and every set travels once per region."""
+    needed, depth = needed_prints(threshold), least_depth(threshold)
+    own = [*rows.columns, "shingles"]
+    rows = _dealt(rows.join(sets, "set_id").select(own)).sortWithinPartitions("region")
+    return rows.mapInArrow(
+        lambda b: _linked(b, needed, threshold, depth, percent), "a binary, b binary"
+    )
+
+
+def _dealt(rows: DataFrame) -> DataFrame:
+    """Rows of a region together.
+
+    By an expression of the region: a shuffle by the region alone would be taken for that of a
+    join before it, which may turn into a broadcast whose reader does not keep regions whole.
+    """
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(tasks, F.xxhash64("region"))
+
+
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs whose full sets (``set_id, shingles``) are alike enough."""
 
     def alike(a: pa.Array, b: pa.Array) -> pa.Array:
-        out = []
-        for x, y in zip(_bytes(a), _bytes(b), strict=True):
-            x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-            common = len(np.intersect1d(x, y, assume_unique=True))
-            out.append(100 * common >= percent * (len(x) + len(y) - common))
-        return pa.array(out, pa.bool_())
+        pairs = zip(a.to_pylist(), b.to_pylist(), strict=True)
+        return pa.array([_similar(x, y, percent) for x, y in pairs], pa.bool_())
 
     left = sets.select(F.col("set_id").alias("a"), F.col("shingles").alias("of_a"))
     right = sets.select(F.col("set_id").alias("b"), F.col("shingles").alias("of_b"))
@@ -301,6 +385,40 @@ def forest_components(
     """Per document ``key, n_shingles, component_id, kept``: documents whose shingle sets have a
     Jaccard similarity of ``percent`` / 100 or more are linked, and a component's id is the least
     key reachable over links."""
+    with small_batches(documents.sparkSession, BATCH):
+        rows = _components(documents, key, text, width, percent)
+    return rows.select(F.col("key").alias(key), "n_shingles", "component_id", "kept")
+
+
+def without_near_duplicates(
+    documents: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    width: int = 5,
+    percent: int = 80,
+) -> DataFrame:
+    """``documents`` with one row of each component, that of the least key; of rows equal in key
+    and text one stays, of documents without words each."""
+    with small_batches(documents.sparkSession, BATCH):
+        rows = _components(documents, key, text, width, percent)
+    rows = rows.where("kept").select(F.col("key").alias("k"), F.col("print").alias("p")).distinct()
+    own = documents.columns
+    marked = documents.select(
+        F.struct(*own).alias("row"),
+        F.col(key).alias("key"),
+        F.xxhash64(F.col(text).cast("string")).alias("print"),
+    )
+    kept = marked.join(
+        rows, marked["key"].eqNullSafe(rows["k"]) & (marked["print"] == rows["p"]), "left_semi"
+    )
+    alike = Window.partitionBy("key", "print").orderBy(F.xxhash64("row"))
+    first = kept.withColumn("rank", F.row_number().over(alike)).where("rank = 1")
+    return first.select("row.*")
+
+
+def _components(
+    documents: DataFrame, key: str, text: str, width: int, percent: int
+) -> DataFrame:
     threshold = percent / 100
     sketched = staged(sketches(documents, key, text, width), "sketches")
     classes = (
@@ -312,7 +430,7 @@ def forest_components(
     crowded = staged(regions(classes, least_depth(threshold)), "regions")
 
     reps = classes.select("set_id", "rep")
-    pairs = staged(candidates(crowded, threshold, None), "candidates")
+    pairs = staged(candidates(crowded, threshold), "candidates")
     # Of the trees' offers a class takes the best ones again.
     best = _best(pairs)
     ends = _ends(pairs)
@@ -320,13 +438,13 @@ def forest_components(
     links = staged(confirmed(best, sets, percent), "confirmed")
     labels = staged(components(links), "labels")
 
-    more = candidates(crowded, threshold, labels)
-    more = staged(more.join(best.select("a", "b"), ["a", "b"], "left_anti"), "more")
-    if not more.isEmpty():
-        new = staged(_ends(more).join(ends, "set_id", "left_anti").join(reps, "set_id"), "ends")
+    rows = staged(joining(crowded, threshold, labels), "joining")
+    if not rows.isEmpty():
+        met = rows.select("set_id").distinct()
+        new = staged(met.join(ends, "set_id", "left_anti").join(reps, "set_id"), "ends")
         if not new.isEmpty():
             sets = sets.union(full_sets(documents, key, text, width, new))
-        links = links.union(staged(confirmed(more, sets, percent), "confirmed"))
+        links = links.union(staged(joined(rows, sets, threshold, percent), "joined"))
         labels = staged(components(links), "labels")
 
     named = classes.select("set_id", "rep").join(
@@ -338,7 +456,8 @@ def forest_components(
     result = sketched.join(named, "set_id", "left")
     component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("key"))
     return result.select(
-        F.col("key").alias(key),
+        "key",
+        "print",
         F.col("n").alias("n_shingles"),
         component.alias("component_id"),
         F.col("key").eqNullSafe(component).alias("kept"),
