@@ -6,10 +6,16 @@ from collections.abc import Callable
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import catalogue_enrich
 from catalogue_enrich.llm.common import staged, table
+from catalogue_enrich.llm.linedup import dedup_lines
+from catalogue_enrich.llm.mixing import mix, word_count
+from catalogue_enrich.llm.neardup import without_near_duplicates
+from catalogue_enrich.llm.packing import pack
 from catalogue_enrich.llm.quality import divergence_quality
+from catalogue_enrich.llm.queries import MIX_LEVELS, MIX_SEED, MIX_WEIGHTS, domain, make_encoder
 
 # Python workers get the package with the functions they run.
 cloudpickle.register_pickle_by_value(catalogue_enrich)
@@ -23,8 +29,45 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return judged.where(f"{verdict}.kept").select(docs.columns)
 
 
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the passages that earlier ones have; those left without a word go."""
+    deduped, result = dedup_lines(docs)
+    text = F.when(F.col(f"{result}.n_deleted") > 0, F.col(f"{result}.text")).otherwise(docs["text"])
+    columns = [text.alias(c) if c == "text" else docs[c] for c in docs.columns]
+    length = F.char_length("text").cast("long")
+    left = deduped.where(
+        (F.col(f"{result}.n_deleted") == 0) | F.col(f"{result}.text").rlike(r"[^ \t-\r]")
+    ).select(*columns)
+    return left.withColumn("n_chars", length) if "n_chars" in docs.columns else left
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates: five-word shingles, similarity 0.8."""
+    return without_near_duplicates(docs, width=5, percent=80)
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in the target mix; a document may be drawn in two epochs."""
+    # The level is no column of the result.
+    rows = docs.withColumn("domain", domain())
+    mixed, _ = mix(
+        rows, MIX_LEVELS, word_count("text"), "doc_id", MIX_WEIGHTS, max_epochs=2, seed=MIX_SEED
+    )
+    return mixed.select(docs.columns)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sequences of 2048 tokens or a smaller power of two."""
+    sequences = pack(docs.select("doc_id", "lang", "source", "text"), make_encoder)
+    return sequences.select("doc_id", "lang", "source", "piece.*", "sequence_id", "offset")
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("quality_rules", quality_rules),
+    ("line_dedup", line_dedup),
+    ("near_dedup", near_dedup),
+    ("source_mix", source_mix),
+    ("packing", packing),
 ]
 # Alignment, similarity links and tokens have no counterpart in SQL.
 ORACLE_SQL = None
