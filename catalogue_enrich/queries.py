@@ -169,13 +169,15 @@ def _document_results(documents: DataFrame, *keep: str) -> DataFrame:
 
 
 def write_back_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Results come as a table of their own and are joined to the raw documents."""
-    articles = from_documents(V.documents(spark, sf_dir))
-    rows = V.article_rows(spark, sf_dir)
+    """Results come as a table of their own and are joined to the raw documents.
+
+    Results and documents have the key that the reader gave: results are shuffled by it without
+    their documents.
+    """
+    articles = stage(from_documents(V.documents(spark, sf_dir)), "articles")
+    rows = articles.drop("document")
     results = flat_results(enrich(rows, _images(rows), V.rule_answers)).select(
-        F.concat(F.lit("/out/"), "article_key", F.lit(".json#0")).alias("article_key"),
-        "pos",
-        "result_json",
+        "article_key", "pos", "result_json"
     )
     return _document_results(write_back(join_results(articles, results)))
 
