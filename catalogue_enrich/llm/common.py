@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from ..session import ROW_GROUPS, shared_folder
 
@@ -36,6 +36,12 @@ def small_batches(spark: SparkSession, rows: int) -> Iterator[None]:
         spark.conf.set(_BATCH, before)
 
 
+def once(function: Callable[..., Column]) -> Callable[..., Column]:
+    """A Python function that is run once per row, even where its result is both filtered by and
+    selected: the optimizer makes two of one that it takes for deterministic."""
+    return function.asNondeterministic()
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, lengthened until no column of ``df`` has it."""
     taken = {c.lower() for c in df.columns}

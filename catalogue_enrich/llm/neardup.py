@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import small_batches, staged
+from .common import once, small_batches, staged
 from .components import components
 from .shingles import MinHash, set_id, shingle_set
 
@@ -368,7 +368,7 @@ def full_sets(
 
     texts = documents.select(F.col(key).alias("rep"), F.col(text).cast("string").alias("text"))
     rows = texts.join(wanted, texts["rep"].eqNullSafe(wanted["rep"])).select(
-        "set_id", F.arrow_udf(shingled, "found binary, shingles binary")("text").alias("s")
+        "set_id", once(F.arrow_udf(shingled, "found binary, shingles binary"))("text").alias("s")
     )
     # Rows that share their key with the one that is meant have other sets.
     rows = rows.where("s.found = set_id").select("set_id", "s.shingles")
