@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_name, staged
+from .common import free_name, once, staged
 
 RUN = pa.struct([("run", pa.int64()), ("start", pa.int32()), ("stop", pa.int32())])
 RUN_DDL = "run long, start int, stop int"
@@ -198,6 +198,6 @@ def dedup_lines(
         matches[match_key]
     )
     joined = marked.join(matches, both, "left")
-    cleaned = F.arrow_udf(clean, RESULT_DDL)(value, F.col(listed))
+    cleaned = once(F.arrow_udf(clean, RESULT_DDL))(value, F.col(listed))
     columns = [marked[c] for c in documents.columns]
     return joined.select(*columns, cleaned.alias(name)), name

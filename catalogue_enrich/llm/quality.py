@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_name, staged
+from .common import free_name, once, staged
 
 COMMON = 256
 LANGUAGES = 256
@@ -266,4 +266,4 @@ def divergence_quality(
 
     name = free_name(documents, result)
     columns = (F.col(text).cast("string"), F.col(lang).cast("string"))
-    return documents.withColumn(name, verdict(*columns)), name
+    return documents.withColumn(name, once(verdict)(*columns)), name
