@@ -1,9 +1,10 @@
 """Line dedup by pairwise alignment.
 
 Lines that documents share are aligned, pair by pair, and what is aligned goes from the later
-document. What makes a pair is a rare line hash: that of the shortest run of lines, begun at a
-line, that holds at least ``min_words`` words. A common short line is part of many such runs and
-is none itself; a block of so many words in two documents holds at least one run whole.
+document. What makes a pair is a rare line hash: that of the shortest run of lines, begun or ended
+at a line, that holds at least ``min_words`` words. A common short line is part of many such runs
+and is none itself. A block of so many words in two documents is covered by runs within it, to its
+last word: a line after the run that begins the block is the end of a run that does not leave it.
 
 For each run the first document that holds it is the one to align with. So a passage that very
 many documents share makes as many pairs as there are documents, and none is missed: the first
@@ -14,8 +15,8 @@ travel to meet; texts go once to their own document's result.
 
 Documents are ordered by key, then by a hash of their text. Defined results: lines are compared
 without white space at their ends; a null or empty text has no lines and stays as it is; rows
-equal in key and text are one document and are treated alike; null keys come last; a document
-whose lines all go has an empty text. Columns of the input are kept; the result is one struct
+equal in key and text are one document and are treated alike; null keys come last; lines without a
+word go only inside a block, not at its ends; a document whose lines all go has an empty text. Columns of the input are kept; the result is one struct
 column (``text, n_lines, n_deleted, deleted_words, spans``) under a name not yet taken.
 """
 
@@ -46,18 +47,22 @@ def lines_of(data: bytes) -> list[bytes]:
 
 
 def runs(lines: list[bytes], min_words: int) -> list[tuple[int, int, int]]:
-    """Hash, first line and line after the last of the shortest run of ``min_words`` words that
-    begins at each line with a word."""
+    """Hash, first line and line after the last of the shortest runs of ``min_words`` words that
+    begin and that end at each line with a word."""
     words = np.array([len(line.split()) for line in lines], np.int64)
     ends = np.concatenate([[0], np.cumsum(words)])
     if ends[-1] < min_words:
         return []
     hashes = [xxhash.xxh3_64_intdigest(line.strip()) for line in lines]
+    at = np.flatnonzero(words)
+    stops = np.searchsorted(ends, ends[at] + min_words)
+    starts = np.searchsorted(ends, ends[at + 1] - min_words, side="right") - 1
+    begun = stops <= len(lines)
+    ended = starts >= 0
+    found = set(zip(at[begun].tolist(), stops[begun].tolist(), strict=True))
+    found.update(zip(starts[ended].tolist(), (at[ended] + 1).tolist(), strict=True))
     out = []
-    for start in np.flatnonzero(words).tolist():
-        stop = int(np.searchsorted(ends, ends[start] + min_words))
-        if stop > len(lines):
-            break
+    for start, stop in sorted(found):
         run = xxhash.xxh3_64_intdigest(np.array(hashes[start:stop], np.uint64).tobytes())
         out.append((run - (1 << 63), start, stop))
     return out

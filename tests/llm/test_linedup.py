@@ -81,3 +81,29 @@ def test_equals_a_plain_search(spark):
     assert {r.doc_id: r.text for r in got}[500] == ""
     assert {r.doc_id: r.n_deleted for r in got}[604] == 0
     assert dedup_lines(df.limit(0))[0].collect() == []
+
+
+@given(st.lists(st.lists(st.sampled_from([0, 1, 3, 4, 6, 7, 9, 12]), max_size=9), min_size=2, max_size=2))
+def test_runs_cover_every_shared_block(documents):
+    """A line of ``n`` words is the number ``n``, so documents share lines by chance."""
+    earlier, later = ([b" ".join([b"%d" % n] * n) for n in lines] for lines in documents)
+    want = set()
+    for i in range(len(later)):
+        for stop in range(i + 1, len(later) + 1):
+            block = later[i:stop]
+            shared = any(earlier[j : j + len(block)] == block for j in range(len(earlier)))
+            if shared and block[0] and block[-1] and sum(len(x.split()) for x in block) >= MIN:
+                want.update(range(i, stop))
+    held = {run for run, _, _ in runs(earlier, MIN)}
+    found = {i for run, start, stop in runs(later, MIN) if run in held for i in range(start, stop)}
+    assert found == want
+
+
+def test_a_block_goes_with_its_short_last_line(spark):
+    line = lambda word, n: " ".join(f"{word}{i}" for i in range(n))
+    block = line("a", 12) + "\n" + line("b", 4)
+    rows = [(1, block), (2, block), (3, block + "\nown words"), (4, "own\n" + block)]
+    result, name = dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), min_words=MIN)
+    assert {r.doc_id: r.text for r in result.select("doc_id", f"{name}.text").collect()} == {
+        1: block, 2: "", 3: "own words", 4: "own"
+    }
