@@ -15,7 +15,9 @@ sorted. A leaf of a third of all rows is thus spread over as many buckets as its
 Defined results: null level values are a node of their own; a document without tokens belongs to
 the prefix if its place in the order does; rows alike are documents each; a leaf without weight
 gets nothing; budgets are rounded down, so a family may miss its budget by fewer tokens than it
-has members. More than ``max_leaves`` leaves are refused: a mix has as many as its plan names.
+has members. Leaves may be as many as the documents: only those that hold ``1 / HOT`` of all rows
+are sent to every task, all others meet their documents by key. ``max_leaves`` refuses more, if
+the caller knows how many there should be.
 """
 
 from __future__ import annotations
@@ -29,6 +31,8 @@ from pyspark.sql import functions as F
 from .common import free_name, staged
 
 BUCKET_ROWS = 1000
+# A leaf of this part of all rows is hot.
+HOT = 256
 _BITS = 52  # of the hash; 13 hexadecimal digits
 
 
@@ -118,6 +122,14 @@ def budgets(
     return granted.select(F.col("node").alias("leaf"), "granted")
 
 
+def _planned(rows: DataFrame, plan: DataFrame) -> DataFrame:
+    """``rows`` with the ``plan`` of their leaf: there are at most ``HOT`` hot leaves, and no other
+    has so many rows that one task could not take them."""
+    hot = F.broadcast(plan.where("hot"))
+    others = rows.join(hot.select("leaf"), "leaf", "left_anti")
+    return rows.join(hot, "leaf").unionByName(others.join(plan.where("not hot"), "leaf"))
+
+
 def mix(
     documents: DataFrame,
     levels: list[str],
@@ -128,7 +140,7 @@ def mix(
     budget: int | None = None,
     max_epochs: int = 4,
     seed: int = 11,
-    max_leaves: int = 100_000,
+    max_leaves: int | None = None,
     result: str = "mix",
 ) -> tuple[DataFrame, str]:
     """The chosen rows of ``documents``, once per epoch, with a struct ``epoch, n_tokens`` and
@@ -156,8 +168,8 @@ def mix(
         ),
         "leaves",
     )
-    n_leaves, total = leaves.agg(F.count("*"), F.sum("tokens")).first()
-    if n_leaves > max_leaves:
+    n_leaves, total, n_rows = leaves.agg(F.count("*"), F.sum("tokens"), F.sum("rows")).first()
+    if max_leaves is not None and n_leaves > max_leaves:
         raise ValueError(f"{n_leaves} leaves; a mix may have {max_leaves}")
     if budget is None:
         budget = int((total or 0) * budget_share)
@@ -169,13 +181,13 @@ def mix(
         F.coalesce(F.expr("granted div nullif(tokens, 0)"), F.lit(0)).alias("whole"),
         F.expr("granted - coalesce(granted div nullif(tokens, 0), 0) * tokens").alias("rest"),
         F.greatest(F.lit(1), F.expr(f"rows div {BUCKET_ROWS}")).alias("buckets"),
+        (F.col("rows") * HOT >= F.lit(n_rows or 0)).alias("hot"),
     )
-    # Both joins send at most ``max_leaves`` rows.
     plan = staged(plan, "plan")
     hashed = F.shiftright(
         F.shiftright(seeded(seed, F.col("whole"), "key"), _BITS - 30) * F.col("buckets"), 30
     )
-    placed = keyed.join(F.broadcast(plan), "leaf").withColumn("bucket", hashed)
+    placed = _planned(keyed, plan).withColumn("bucket", hashed)
     sums = placed.groupBy("leaf", "bucket").agg(
         F.sum("tokens").alias("tokens"), F.first("rest").alias("rest")
     )
@@ -186,8 +198,9 @@ def mix(
         .groupBy("leaf")
         .agg(F.min_by(F.struct("bucket", (F.col("after") - F.col("tokens")).alias("before")), "bucket").alias("last"))
     )
-    ends = staged(ends, "ends")
-    placed = placed.join(F.broadcast(ends), "leaf", "left")
+    # With the plan, so that documents meet both at once.
+    ended = staged(plan.join(ends, "leaf", "left"), "ends")
+    placed = _planned(keyed, ended).withColumn("bucket", hashed)
     inside = F.col("last").isNull() | (F.col("bucket") < F.col("last.bucket"))
     # A whole leaf that is not asked for again has no rest and no partial epoch.
     partial = F.col("rest") > 0

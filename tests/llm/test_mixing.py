@@ -95,3 +95,20 @@ def test_empty_table_and_too_many_leaves(documents):
     assert mixed.collect() == []
     with pytest.raises(ValueError):
         mix(df, ["domain"], F.col("n"), "doc_id", {}, max_leaves=2)
+
+
+def test_any_number_of_leaves(spark):
+    n = 100_001
+    df = spark.range(n + 60_000).select(
+        F.col("id").alias("doc_id"),
+        F.when(F.col("id") < n, F.col("id").cast("string")).otherwise("hot").alias("site"),
+        F.lit(2).alias("n"),
+    )
+    mixed, name = mix(df, ["site"], F.col("n"), "doc_id", {("hot",): n}, budget=4 * n, max_epochs=1)
+    got = mixed.groupBy((F.col("site") == "hot").alias("hot")).agg(
+        F.sum(f"{name}.n_tokens").alias("n"), F.countDistinct("doc_id").alias("documents")
+    )
+    # The hot leaf has less than its half, so all others are whole.
+    assert {r.hot: (r.n, r.documents) for r in got.collect()} == {
+        True: (120_000, 60_000), False: (2 * n, n)
+    }
