@@ -3,8 +3,7 @@
 Texts with the same set of shingles are one class. A signature of each class is read in several
 orders (trees). In a tree the classes that share the first ``depth`` prints are a region; sorted
 by the whole order, neighbours share the longest prefixes, so where a region is dense candidates
-are found deep in the tree and where it is thin at its least depth. A region too large for one
-task is split by twice the prefix, and what still is by parts that differ from tree to tree.
+are found deep in the tree and where it is thin at its least depth.
 
 Candidates are classes of a region whose signatures agree well enough. They are confirmed on the
 full sets, in two rounds. The first takes, of the neighbours along the order, the best few of
@@ -12,6 +11,12 @@ each class; its links make components. The second takes every pair of a region t
 two components, where it meets, so no candidate that could change the result is left out, while
 pairs are no rows and a group of thousands of copies does not confirm all of them.
 
+A region too large for one task is walked by the first round in pieces: by twice the prefix, and
+what is still too large by parts that differ from tree to tree. That only makes its links fewer.
+The second round cuts such a region, at its least depth, into blocks of rows and compares every
+block with every other in a task of its own, except blocks that hold one and the same component.
+Its work grows with the square of the rows that the first round left in many small components.
+
 Least depth: the largest at which a pair at the threshold shares a region in some tree but for
 two cases in 100,000.
 
@@ -95,7 +100,9 @@ def _order(tree: int, depth: int) -> Column:
 
 
 def regions(classes: DataFrame, depth: int) -> DataFrame:
-    """``region, tree, splits, set_id, n, prints`` of classes that share a region with another."""
+    """``region, walk, large, tree, set_id, n, prints`` of classes that share a region with
+    another; ``walk`` is the piece of a region that the first round takes, null if a class is
+    alone in it, and ``large`` tells of a region too large for a task."""
     deep = min(ORDER, 2 * depth)
     trees = F.array(
         *[
@@ -118,20 +125,65 @@ def regions(classes: DataFrame, depth: int) -> DataFrame:
         .where("n_far > 1")
     )
     rows = rows.join(far, "far", "left")
-    split = F.col("n_near") > REGION
+    large = F.col("n_near") > REGION
     part = F.pmod(F.xxhash64("set_id", "tree"), F.ceil(F.col("n_far") / REGION))
-    region = F.when(~split, F.col("near")).otherwise(
-        F.when(F.col("n_far") <= REGION, F.col("far")).otherwise(F.xxhash64("far", part))
+    walk = (
+        F.when(~large, F.col("near"))
+        .when(F.col("n_far") <= REGION, F.col("far"))
+        .when(F.col("n_far") > REGION, F.xxhash64("far", part))
+    )
+    crowded = rows.select(
+        F.col("near").alias("region"), walk.alias("walk"), large.alias("large"), "tree", "set_id"
     )
-    rows = staged(rows.select("set_id", "tree", "n_far", split.alias("split"), region.alias("region")), "trees")
-    # As bits of a number, the trees in which a class is in a region that was split.
-    splits = rows.where("split").groupBy("set_id")
-    splits = splits.agg(F.bit_or(F.expr("shiftleft(1, tree)")).alias("splits"))
-    crowded = rows.where(~F.col("split") | F.col("n_far").isNotNull()).join(splits, "set_id", "left")
-    crowded = crowded.select("set_id", "tree", "region", F.coalesce("splits", F.lit(0)).alias("splits"))
     return crowded.join(classes.select("set_id", "n", "prints"), "set_id")
 
 
+def blocks(rows: DataFrame) -> DataFrame:
+    """``rows`` (``region, label`` and others) of large regions, once for each block that theirs is
+    to be compared with: ``region`` is then the two blocks' own, ``block`` tells them apart.
+
+    A block is half of ``REGION`` rows. Labels of so many rows have blocks of their own, which are
+    not compared with each other; all other rows of a region share the rest.
+    """
+    half = max(1, REGION // 2)
+    sizes = rows.groupBy("region", "label").agg(F.count("*").alias("size"))
+    pure = F.when(F.col("size") >= half, F.col("label")).alias("pure")
+    sizes = sizes.groupBy("region", pure).agg(F.ceil(F.sum("size") / half).alias("parts"))
+    # A region has no more of these than blocks.
+    family = Window.partitionBy("region")
+    before = family.orderBy("pure").rowsBetween(Window.unboundedPreceding, -1)
+    numbered = staged(
+        sizes.select(
+            F.col("region").alias("of"),
+            "pure",
+            "parts",
+            F.coalesce(F.sum("parts").over(before), F.lit(0)).alias("first"),
+            F.sum("parts").over(family).alias("all"),
+        ),
+        "blocks",
+    )
+    own = numbered.where("pure is not null")
+    rest = numbered.where("pure is null")
+    fields = ["pure", "parts", "first", "all"]
+    own = own.select("of", "pure", F.struct(*fields).alias("own"))
+    rest = rest.select(F.col("of").alias("at"), F.struct(*fields).alias("rest"))
+    placed = (
+        rows.join(own, (F.col("region") == F.col("of")) & (F.col("label") == F.col("pure")), "left")
+        .join(rest, F.col("region") == F.col("at"), "left")
+        .withColumn("is", F.coalesce("own", "rest"))
+    )
+    block = F.col("is.first") + F.pmod(F.xxhash64("set_id", "tree"), F.col("is.parts"))
+    placed = placed.withColumn("block", block.cast("int")).select(
+        "*", F.explode(F.expr("sequence(0L, is.all - 1)")).alias("other")
+    )
+    last = F.col("is.first") + F.col("is.parts")
+    alike = F.col("is.pure").isNotNull() & (F.col("other") >= F.col("is.first"))
+    placed = placed.where(~(alike & (F.col("other") < last)))
+    pair = F.least("block", "other"), F.greatest("block", "other")
+    region = F.xxhash64("region", *pair)
+    return placed.select(*[region.alias(c) if c == "region" else c for c in rows.columns], "block")
+
+
 def _signatures(batch: pa.RecordBatch) -> np.ndarray:
     data = b"".join(batch.column("prints").to_pylist())
     return np.frombuffer(data, np.uint16).reshape(batch.num_rows, -1)
@@ -214,18 +266,18 @@ def _meetings(
 ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs of rows of a region that may be linked and have different labels, in parts.
 
-    A pair that meets in several trees is given in the first whose region was not split, or else
-    in all. The rows of the commonest label are not compared with each other.
+    A pair that meets in several trees is given in the first of them. The rows of the commonest
+    label are not compared with each other, nor, where there are two blocks, those of one block.
     """
     region, prints = batch.column("region").to_numpy(), _signatures(batch)
     sizes, trees = batch.column("n").to_numpy(), batch.column("tree").to_numpy()
-    splits = batch.column("splits").to_numpy()
-    whole = (splits[:, None] >> np.arange(TREES) & 1) == 0
+    blocks = batch.column("block").to_numpy()
     labels = np.array(batch.column("label").to_pylist(), object)
     labels = np.unique(labels, return_inverse=True)[1]
     cuts = np.r_[0, np.flatnonzero(region[1:] != region[:-1]) + 1, len(region)]
     for begin, end in zip(cuts[:-1], cuts[1:], strict=True):
-        own = labels[begin:end]
+        own, block = labels[begin:end], blocks[begin:end]
+        single = block.min() == block.max()
         common = np.bincount(own - own.min()).argmax() + own.min()
         rare = np.flatnonzero(own != common)
         step = max(1, COMPARED // (end - begin))
@@ -234,11 +286,11 @@ def _meetings(
             j = np.tile(np.arange(end - begin), len(i) // (end - begin))
             # Of two rare rows the earlier is compared with the later only.
             ok = (own[i] != own[j]) & ((own[j] == common) | (i < j))
+            ok &= single | (block[i] != block[j])
             i, j, agree = _alike(prints, sizes, i[ok] + begin, j[ok] + begin, needed, least)
             if len(i):
-                by_tree = agree.reshape(len(i), TREES, -1)[:, :, :depth].all(axis=2) & whole[i]
-                first = np.where(by_tree.any(axis=1), by_tree.argmax(axis=1), trees[i])
-                ok = first == trees[i]
+                by_tree = agree.reshape(len(i), TREES, -1)[:, :, :depth].all(axis=2)
+                ok = by_tree.argmax(axis=1) == trees[i]
                 yield i[ok], j[ok]
 
 
@@ -300,22 +352,31 @@ def candidates(crowded: DataFrame, threshold: float) -> DataFrame:
     order = F.lit(b"")
     for tree in range(TREES):
         order = F.when(F.col("tree") == tree, _order(tree, ORDER)).otherwise(order)
-    rows = crowded.select("region", "prints", "set_id", "n", order.alias("order"))
+    walked = crowded.where("walk is not null")
+    rows = walked.select(
+        F.col("walk").alias("region"), "prints", "set_id", "n", order.alias("order")
+    )
     rows = _dealt(rows).sortWithinPartitions("region", "order", "set_id")
     pairs = rows.drop("order").mapInArrow(lambda b: _neighbours(b, needed, threshold), PAIR)
     return pairs.groupBy("a", "b").agg(F.max("agreed").alias("agreed"))
 
 
 def joining(crowded: DataFrame, threshold: float, labels: DataFrame) -> DataFrame:
-    """``region, tree, splits, set_id, n, prints, label`` of the rows that have a possible link
-    to a row of another component (``labels``: ``node, component``) in their region."""
+    """``region, tree, set_id, n, prints, label, block`` of the rows that have a possible link to
+    a row of another component (``labels``: ``node, component``) in their region."""
     needed, depth = needed_prints(threshold), least_depth(threshold)
     rows = crowded.join(labels.withColumnRenamed("node", "set_id"), "set_id", "left")
     rows = rows.withColumn("label", F.coalesce("component", "set_id")).drop("component")
     # Regions of one component have nothing more to find.
     mixed = rows.groupBy("region").agg(F.min("label").alias("x"), F.max("label").alias("y"))
     rows = rows.join(mixed.where("x <> y").select("region"), "region")
-    rows = rows.select("region", "tree", "splits", "set_id", "n", "prints", "label")
+    own = ["region", "tree", "set_id", "n", "prints", "label"]
+    # Most tables have no region too large for a task.
+    if crowded.where("large").isEmpty():
+        rows = rows.select(*own, F.lit(0).alias("block"))
+    else:
+        large = staged(rows.where("large").select(own), "large")
+        rows = rows.where("not large").select(*own, F.lit(0).alias("block")).union(blocks(large))
     return _dealt(rows).sortWithinPartitions("region").mapInArrow(
         lambda b: _wanted(b, needed, threshold, depth), rows.schema
     )

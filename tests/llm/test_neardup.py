@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import random
+from collections import Counter, defaultdict
+from itertools import combinations
 
 import pytest
 from pyspark.sql import functions as F
 
+from catalogue_enrich.llm import neardup
 from catalogue_enrich.llm.neardup import forest_components, least_depth, without_near_duplicates
 
 WORDS = [f"w{i}" for i in range(3000)]
@@ -71,6 +74,46 @@ def test_equals_all_pairs(spark, width, percent, seed):
     assert all(r.kept == (r.doc_id == r.component_id) for r in got)
 
 
+def test_regions_larger_than_a_task(spark, monkeypatch):
+    """Pages of one template share most prints, so every tree's region is large; pairs at the
+    threshold must still all meet."""
+    monkeypatch.setattr(neardup, "REGION", 8)
+    rng, texts = random.Random(9), []
+    template = [rng.choice(WORDS) for _ in range(200)]
+    for _ in range(60):
+        page = template + [rng.choice(WORDS) for _ in range(34)]
+        texts.append(" ".join(page))
+        if rng.random() < 0.7:
+            for _ in range(4):
+                page[rng.randrange(200, 234)] = rng.choice(WORDS)
+            texts.append(" ".join(page))
+    texts += [" ".join(template + [f"x{i}"]) for i in range(30)]
+    rows = list(enumerate(texts, 100)) + corpus(3)[:60]
+    rows = [(k if i < len(texts) else k + 10_000, t) for i, (k, t) in enumerate(rows)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = forest_components(df.repartition(5), width=3, percent=85).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == by_all_pairs(rows, 3, 85)
+
+
+def test_blocks_meet_once(spark, monkeypatch):
+    """Every pair of rows of different labels meets in one task and in different blocks, or in a
+    task of one block."""
+    monkeypatch.setattr(neardup, "REGION", 8)
+    rows = [(7, 0, i, "core" if i % 3 else f"own{i}") for i in range(90)]
+    df = spark.createDataFrame(rows, "region long, tree int, set_id int, label string")
+    tasks = defaultdict(list)
+    for r in neardup.blocks(df).collect():
+        tasks[r.region].append(r)
+    met = Counter()
+    for members in tasks.values():
+        single = len({r.block for r in members}) == 1
+        for a, b in combinations(sorted(members, key=lambda r: r.set_id), 2):
+            met[a.set_id, b.set_id] += single or a.block != b.block
+    label = {i: name for _, _, i, name in rows}
+    assert all(met[a, b] == 1 for a, b in combinations(range(90), 2) if label[a] != label[b])
+    assert all(not met[a, b] for a, b in combinations(range(90), 2) if label[a] == label[b] == "core")
+
+
 def test_representatives(spark):
     text = " ".join(WORDS[:50])
     rows = [(3, text), (1, text), (1, text), (None, text), (5, text + " more"), (None, "else"), (9, "")]
