@@ -98,3 +98,60 @@ SELECT conv_id, count(*) AS n_turns,
   cast(sum({len(TURN + TEXT + END)} + {_escaped_length("role")} + {_escaped_length("text")})
     AS BIGINT) AS formatted_chars
 FROM t GROUP BY conv_id"""
+
+_TERMS = r"""unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'))"""
+
+SEARCH_SQL = f"""
+WITH rows AS (SELECT row_number() OVER () AS r, doc_id, text FROM documents),
+words AS (SELECT r, doc_id, {_TERMS} AS term FROM rows),
+posts AS (SELECT r, doc_id, term, count(*) AS tf FROM words GROUP BY ALL),
+lengths AS (SELECT r, sum(tf)::BIGINT AS n FROM posts GROUP BY r),
+corpus AS (SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM lengths),
+weights AS (SELECT term, floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1)))::BIGINT AS w
+  FROM posts, corpus GROUP BY term),
+asked AS (SELECT DISTINCT item_id, {_TERMS} AS term FROM benchmark),
+scores AS (SELECT item_id, r, doc_id,
+    sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // terms))))::BIGINT AS score
+  FROM asked JOIN posts USING (term) JOIN weights USING (term) JOIN lengths USING (r), corpus
+  GROUP BY ALL),
+ranked AS (SELECT *, row_number() OVER
+    (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST)::INT AS rank
+  FROM scores WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+
+def _trees_round(n: int) -> str:
+    """Parts with the entry of codebook ``n`` that is nearest, and the codebook after."""
+    return f"""
+d{n} AS (SELECT r, p, e, x, list_sum(list_transform(range(1, len(x) + 1),
+    lambda i: (x[i] - c[i]) * (x[i] - c[i])))::BIGINT AS d FROM parts JOIN c{n} USING (p)),
+a{n} AS (SELECT r, p, any_value(x) AS x, arg_min({{'e': e, 'd': d}}, {{'d': d, 'e': e}}) AS o
+  FROM d{n} GROUP BY r, p),
+m{n} AS (SELECT p, o.e AS e, i, floor(sum(x[i])::DOUBLE / count(*))::BIGINT AS v
+  FROM a{n}, (SELECT unnest(range(1, w + 1)) AS i FROM width) GROUP BY ALL),
+l{n} AS (SELECT p, e, list(v ORDER BY i) AS c FROM m{n} GROUP BY p, e),
+c{n + 1} AS (SELECT p, e, coalesce(l.c, b.c) AS c FROM c{n} b LEFT JOIN l{n} l USING (p, e)),"""
+
+
+TREES_SQL = f"""
+WITH kept AS (SELECT vec_id, label, row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS r,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(embedding) > 0),
+width AS (SELECT max(len(v)) // 16 AS w FROM kept),
+parts AS (SELECT r, p, v[p * w + 1 : (p + 1) * w] AS x
+  FROM kept, width, (SELECT unnest(range(16)) AS p)),
+c0 AS (SELECT p, r - 1 AS e, x AS c FROM parts WHERE r <= 64),
+{_trees_round(0)}{_trees_round(1)}
+d2 AS (SELECT r, p, e, list_sum(list_transform(range(1, len(x) + 1),
+    lambda i: (x[i] - c[i]) * (x[i] - c[i])))::BIGINT AS d FROM parts JOIN c2 USING (p)),
+a2 AS (SELECT r, p, arg_min({{'e': e, 'd': d}}, {{'d': d, 'e': e}}) AS o FROM d2 GROUP BY r, p),
+codes AS (SELECT r, string_agg(printf('%02x', o.e), '' ORDER BY p) AS code, sum(o.d)::BIGINT AS error
+  FROM a2 GROUP BY r),
+books AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) AS digest FROM c2)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+  digest AS codebooks_sha256
+FROM kept JOIN codes USING (r), books
+"""

@@ -11,10 +11,13 @@ from ..session import shared_folder
 from . import chat, warc
 from .ann import nearest
 from .common import table
+from .grammar import read_shards, write_tokens
+from .lexical import search
 from .linedup import dedup_lines
+from .metric_trees import compress
 from .mixing import mix, word_count
 from .neardup import forest_components
-from .oracle import CHAT_SQL, WARC_SQL, mix_sql
+from .oracle import CHAT_SQL, SEARCH_SQL, TREES_SQL, WARC_SQL, mix_sql
 from .packing import pack, word_ids
 from .quality import divergence_quality
 from .secrets import NOVEL, scan_secrets
@@ -166,6 +169,19 @@ def op10_event_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.withColumnRenamed("conversation", "conv_id")
 
 
+def op11_limited_accumulators(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
+def op12_repair_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_shards(write_tokens(table(spark, sf_dir, "documents"), make_encoder))
+
+
+def op13_anchor_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes, _ = compress(table(spark, sf_dir, "embeddings"), parts=16, entries=64, rounds=2)
+    return codes.drop("label")
+
+
 QUERIES: dict[str, Query] = {
     "op1_warc_normaliser": op1_warc_normaliser,
     "op2_divergence_quality": op2_divergence_quality,
@@ -177,10 +193,15 @@ QUERIES: dict[str, Query] = {
     "op8_power_of_two_packing": op8_power_of_two_packing,
     "op9_bounded_ring": op9_bounded_ring,
     "op10_event_chat": op10_event_chat,
+    "op11_limited_accumulators": op11_limited_accumulators,
+    "op12_repair_grammar": op12_repair_grammar,
+    "op13_anchor_trees": op13_anchor_trees,
 }
 
 ORACLE: dict[str, str] = {
     "op1_warc_normaliser": WARC_SQL,
     "op6_hierarchical_budget": mix_sql(MIX_LEVELS, MIX_WEIGHTS, MIX_SHARE, MIX_SEED),
     "op10_event_chat": CHAT_SQL,
+    "op11_limited_accumulators": SEARCH_SQL,
+    "op13_anchor_trees": TREES_SQL,
 }

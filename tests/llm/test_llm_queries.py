@@ -14,7 +14,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_one_query_per_operator():
-    assert [name.split("_")[0] for name in QUERIES] == [f"op{i}" for i in range(1, 11)]
+    assert [name.split("_")[0] for name in QUERIES] == [f"op{i}" for i in range(1, 14)]
     assert {*QUERIES, "pipeline"} <= set(entry.queries())
 
 
