@@ -50,34 +50,41 @@ SHARDS = (
     "path string, part int, number int, n_docs long, n_tokens long, n_symbols long, n_rules long, "
     "n_bytes long"
 )
-# Fixed value: an odd number near 2**64 over the golden ratio spreads keys over cells.
-_SPREAD = 0x9E3779B97F4A7C15
+# Large odd numbers that spread the two symbols of a pair over cells.
+_SPREAD = (2654435761, 2246822519)
 
 
 def _frequent(
-    key: np.ndarray, turn: int
+    symbols: np.ndarray, last: np.ndarray, turn: int
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Frequent pairs, how often they occur, where, and which of the pairs it is.
 
     Pairs are counted in cells of a hash. Of the pairs of one cell one is taken, in most cases the
     most frequent; the others have their turn with the next hash.
     """
-    bits = max(10, min(20, len(key).bit_length() - 1))
-    cell = ((key * np.uint64(_SPREAD + 2 * turn)) >> np.uint64(64 - bits)).astype(np.int64)
+    bits = max(10, min(18, len(symbols).bit_length() - 1))
+    left, right = (np.uint32((k + 2 * turn) % (1 << 32)) for k in _SPREAD)
+    cell = symbols[:-1] * left
+    cell += symbols[1:] * right
+    cell >>= np.uint32(32 - bits)
+    # No pair spans two documents; the one cell that stands for such places is passed over.
+    cell[last[:-1]] = 0
     hot = np.bincount(cell, minlength=1 << bits) >= LEAST
-    # Where no pair may be replaced the key is 0, and so is its cell.
     hot[0] = False
-    here = np.flatnonzero(hot[cell])
-    cell, key = cell.take(here), key.take(here)
+    here = np.flatnonzero(hot.take(cell))
+    cell = cell.take(here)
+    key = symbols.take(here).astype(np.uint64)
+    key <<= np.uint64(32)
+    key |= symbols.take(here + 1)
     holder = np.zeros(1 << bits, np.uint64)
     holder[cell] = key
-    own = np.flatnonzero(holder[cell] == key)
+    own = np.flatnonzero(holder.take(cell) == key)
     here, cell = here.take(own), cell.take(own)
     count = np.bincount(cell, minlength=1 << bits)
     cells = np.flatnonzero(count >= LEAST)
     number = np.full(1 << bits, -1, np.int32)
     number[cells] = np.arange(len(cells))
-    place = number[cell]
+    place = number.take(cell)
     frequent = np.flatnonzero(place >= 0)
     return holder[cells], count[cells], here.take(frequent), place.take(frequent)
 
@@ -119,19 +126,15 @@ def compress(ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     for turn in range(ROUNDS):
         if len(symbols) < 2:
             break
-        # A pair of two zero ids has no key, and is left.
-        key = symbols[:-1].astype(np.uint64)
-        key <<= np.uint64(32)
-        key |= symbols[1:]
-        key[last[:-1]] = 0
-        pairs, counts, here, place = _frequent(key, turn)
+        pairs, counts, here, place = _frequent(symbols, last, turn)
         taken = _compatible(pairs, counts)
         if not len(taken):
             break
         name = np.zeros(len(pairs), np.uint32)
         name[taken] = base + made + np.arange(len(taken))
-        new = name[place]
-        here, new = here[new > 0], new[new > 0]
+        new = name.take(place)
+        named = np.flatnonzero(new)
+        here, new = here.take(named), new.take(named)
         # In a run of one symbol every other pair is replaced.
         starts = np.flatnonzero(np.diff(here, prepend=-2) != 1)
         even = (np.arange(len(here)) - np.repeat(starts, np.diff(starts, append=len(here)))) % 2 == 0
@@ -141,7 +144,8 @@ def compress(ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray,
         keep = np.ones(len(symbols), bool)
         keep[here + 1] = False
         before = len(symbols)
-        symbols, last = symbols[keep], last[keep]
+        left = np.flatnonzero(keep)
+        symbols, last = symbols.take(left), last.take(left)
         chosen = pairs[taken]
         rules.append(np.stack([chosen >> np.uint64(32), chosen & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32))
         made += len(taken)
@@ -323,7 +327,7 @@ def read_shards(shards: DataFrame) -> DataFrame:
             for path, start in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 shard = Shard(path)
                 found = [
-                    (start + int(shard.tokens_at[i]), len(ids), zlib.crc32(ids.astype("<u4").tobytes()))
+                    (start + int(shard.tokens_at[i]), len(ids), zlib.crc32(ids))
                     for i, ids in shard.documents()
                 ]
                 shard.close()
