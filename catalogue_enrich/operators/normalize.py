@@ -209,7 +209,8 @@ def from_documents(raw: DataFrame, strict: bool = True) -> DataFrame:
         read_json(fields[S.ATTRIBUTES], OBJECTS), lambda a: ~F.map_contains_key(a, S.RESULT)
     )
     reason = (
-        F.when(F.col("read_error").isNotNull(), F.lit("unreadable"))
+        F.when(F.col("read_error").startswith(S.INVALID_UTF8), F.lit("invalid_utf8"))
+        .when(F.col("read_error").isNotNull(), F.lit("unreadable"))
         .when(F.col("is_empty"), F.lit("no_articles"))
         .when(article.isNull(), F.lit("invalid_json"))
     )

@@ -319,8 +319,15 @@ FROM e)""",
 FROM prompts WHERE branch = 'inferred'""",
     ),
     "q35_reject_reasons": """SELECT p_partkey || '.json' AS source_file,
-  CASE p_partkey % 5 WHEN 1 THEN 'category_missing' WHEN 2 THEN 'attributes_invalid'
-    WHEN 3 THEN 'options_missing' WHEN 4 THEN 'invalid_json' END AS reject_reason FROM part""",
+  CASE WHEN p_partkey % 10 = 5 THEN 'invalid_utf8' ELSE CASE p_partkey % 5 WHEN 1 THEN 'category_missing' WHEN 2 THEN 'attributes_invalid'
+    WHEN 3 THEN 'options_missing' WHEN 4 THEN 'invalid_json' END END AS reject_reason FROM part""",
+    "q37_folder_stream": """SELECT CASE n % 4 WHEN 1 THEN '_' WHEN 2 THEN '.' ELSE '' END || n || '.json' AS source_file,
+  CASE WHEN n % 4 = 0 THEN 2 ELSE 1 END AS n_reads,
+  CASE WHEN n % 4 = 3 THEN 0 ELSE count(*) END AS n_articles,
+  CASE n % 4 WHEN 0 THEN 'invalid_json' WHEN 3 THEN 'invalid_utf8' END AS reason
+FROM (SELECT p_partkey // 50 AS n FROM part) GROUP BY n""",
+    "q38_ledger_stream": """SELECT DISTINCT CAST(user_id AS VARCHAR) AS product_id,
+  CASE WHEN event_type <> 'error' THEN event_type END AS supplier_colour, event_type AS url FROM events""",
     "q36_ledger_text": _with(
         _ARTICLES,
         _OPTIONS,

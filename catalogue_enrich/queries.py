@@ -26,7 +26,16 @@ from .sources.batches import assign_batches, batch_report
 from .sources.images import fetch_images, url_registry
 from .sources.landing import read_landing
 from .sources.media import probe
-from .streaming.run import append_to_ledger, poll, read_batches, run, start
+from .streaming.run import (
+    append_to_ledger,
+    follow,
+    ledger_stream,
+    lines_stream,
+    poll,
+    read_batches,
+    run,
+    start,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -434,6 +443,75 @@ def folder_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def folder_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The folder as a streaming source: hidden names, files that are not UTF-8, files delivered
+    again after the service stopped, and a start from where it was.
+
+    Gives per archived file how often it was read, its published articles, and why not.
+    """
+    folder = shared_folder(spark, "follow")
+    landing, archive = f"{folder}/out", f"{folder}/done"
+    kind = F.col("n") % 4
+    hidden = F.when(kind == 1, "_").when(kind == 2, ".").otherwise("")
+    files = V.array_documents(spark, sf_dir).withColumn("source_file", F.concat(hidden, "source_file"))
+    broken = F.when(kind == 0, F.concat("document", F.lit("]"))).otherwise(F.col("document"))
+
+    def deliver(rows: DataFrame, form: Callable[[str], str | bytes] = str) -> None:
+        write_files(rows, landing, form).write.format("noop").mode("overwrite").save()
+        followed = follow(
+            spark,
+            landing,
+            f"{folder}/tables",
+            V.make_fetch,
+            call_model(V.make_client),
+            batch_size=15,
+            archive=archive,
+            validate=False,
+        )
+        followed.drain()
+
+    deliver(files.where(kind == 3), lambda text: text.encode("latin-1"))
+    deliver(files.where(kind != 3).withColumn("document", broken))
+    deliver(files.where(kind == 0))
+    tables = f"{folder}/tables"
+    reads = read_batches(spark, f"{tables}/files").where("state = 'processed'")
+    name = F.url_decode(F.element_at(F.split("source_path", "/"), -1)).alias("source_file")
+    reads = reads.groupBy(name).agg(F.count("*").alias("n_reads"))
+    published = read_batches(spark, f"{tables}/published").groupBy("source_file")
+    published = published.agg(F.count("*").alias("n_articles"))
+    reasons = read_batches(spark, f"{tables}/quarantine").select("source_file", "reason").distinct()
+    return (
+        read_landing(spark, archive)
+        .select("source_file")
+        .join(reads, "source_file", "left")
+        .join(published, "source_file", "left")
+        .join(reasons, "source_file", "left")
+        .select("source_file", "n_reads", F.coalesce("n_articles", F.lit(0)).alias("n_articles"), "reason")
+    )
+
+
+def ledger_stream_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ledger of 20 batches, one of which is written again after the stream has stopped."""
+    folder = shared_folder(spark, "keyed")
+    lines = V.table(spark, sf_dir, "events").select(
+        F.col("user_id").cast("string").alias("product_id"),
+        F.when(F.col("event_type") != "error", F.col("event_type")).alias("supplier_colour"),
+        F.col("event_type").alias("url"),
+        (F.col("event_id") % 20).alias("batch_id"),
+    )
+    written = f"{folder}/failed_lines"
+    lines.repartition(4, "batch_id").write.partitionBy("batch_id").parquet(written)
+
+    def catch_up() -> None:
+        stream = lines_stream(spark, written, files_per_batch=1)
+        ledger_stream(stream, f"{folder}/ledger", f"{folder}/_position").awaitTermination()
+
+    catch_up()
+    publish_dataset(lines.where("batch_id = 7").drop("batch_id"), written, 7)
+    catch_up()
+    return read_batches(spark, f"{folder}/ledger").drop("batch_id")
+
+
 def image_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     registry = url_registry(V.article_rows(spark, sf_dir))
     fetched = fetch_images(registry, V.make_image_fetch)
@@ -506,6 +584,8 @@ QUERIES: dict[str, Query] = {
     "q34_model_retries": model_retries,
     "q35_reject_reasons": reject_reasons,
     "q36_ledger_text": ledger_text,
+    "q37_folder_stream": folder_stream,
+    "q38_ledger_stream": ledger_stream_batches,
 }
 
 

@@ -47,7 +47,7 @@ def _indented(text: str) -> str:
 
 
 def write_files(
-    files: DataFrame, folder: str, form: Callable[[str], str] = str
+    files: DataFrame, folder: str, form: Callable[[str], str | bytes] = str
 ) -> DataFrame:
     """Write ``document`` of each row to a file named ``source_file``, replacing what is there.
 
@@ -61,7 +61,8 @@ def write_files(
         file_system.create_dir(target.rpartition("/")[0], recursive=True)
         hidden = f"{target.rpartition('/')[0]}/.{uuid.uuid4().hex}"
         with file_system.open_output_stream(hidden, compression=None) as out:
-            out.write(form(text).encode("utf-8"))
+            content = form(text)
+            out.write(content if isinstance(content, bytes) else content.encode("utf-8"))
         replace_file(file_system, hidden, target)
         return target
 

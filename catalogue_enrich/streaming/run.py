@@ -19,6 +19,7 @@ from ..plans.enrichment import enrich_documents
 from ..schema import LEDGER_KEY
 from ..session import configure
 from ..sinks import archive_files, delete_files, publish_dataset, publish_files
+from ..sources.folder_stream import stream_folder
 from ..sources.images import Fetch
 from ..sources.landing import FILE, File, hadoop, list_files, read_files, stream_landing
 
@@ -192,6 +193,125 @@ def poll(
     return Drained(batch_id - first, n_files, left)
 
 
+@dataclass(frozen=True)
+class Following:
+    """The queries of ``follow``: of batches, and of the ledger behind them."""
+
+    batches: StreamingQuery
+    ledger: StreamingQuery
+
+    def drain(self) -> None:
+        """Process what is there, then stop; raises what a batch failed with."""
+        try:
+            self.batches.processAllAvailable()
+            self.ledger.processAllAvailable()
+        finally:
+            self.stop()
+
+    def stop(self) -> None:
+        self.batches.stop()
+        self.ledger.stop()
+
+
+def follow(
+    spark: SparkSession,
+    landing: str,
+    target: str,
+    make_fetch: Callable[[], Fetch],
+    answerer: Answerer,
+    *,
+    batch_size: int = 100,
+    poll_seconds: float = 0,
+    outbound: str | None = None,
+    archive: str | None = None,
+    delete_inputs: bool = False,
+    **options,
+) -> Following:
+    """Enrich the JSON files of ``landing`` as a stream whose source is the folder itself.
+
+    Files of any name and age are read, files that are delivered again are processed again, and a
+    batch costs the same however many came before: the source (``sources.folder_stream``) carries
+    on only what still lies in the folder, and the ledger is kept by key (``ledger_stream``). Name
+    ``archive`` or ``delete_inputs``, so that inputs leave the folder; what cannot be read or
+    moved is not given out again while it stays as it is. ``drain`` of the result processes what
+    is there and stops; a later call goes on from there.
+
+    Tables below ``target`` are those of ``poll``, and ``raw``, the files of a batch as they were
+    read, so a batch that runs again does not depend on the folder. ``failed_lines`` holds the
+    failed images of each batch and ``failed_images`` what the ledger had not held before.
+    """
+    if not (archive or delete_inputs):
+        raise ValueError("follow needs archive or delete_inputs")
+    configure(spark)
+    process = _batch_process(
+        target,
+        make_fetch,
+        answerer,
+        batch_size,
+        outbound,
+        archive,
+        delete_inputs,
+        options,
+        note=lambda lines, batch_id: publish_dataset(lines, f"{target}/failed_lines", batch_id),
+    )
+
+    def batch(files: DataFrame, batch_id: int) -> None:
+        path = f"{target}/raw"
+        if _is_complete(files.sparkSession, path, batch_id):
+            read = files.sparkSession.read.schema(files.schema)
+            rows = read.parquet(f"{path}/batch_id={batch_id}")
+        else:
+            rows = write_batch(files, path, batch_id)
+        listed = rows.select("source_path", "modified", "length")
+        process(rows.drop("modified", "length"), batch_id, listed)
+
+    files = stream_folder(spark, landing, f"{target}/_listings", batch_size)
+    writer = files.writeStream.option("checkpointLocation", f"{target}/_position").foreachBatch(batch)
+    batches = writer.trigger(processingTime=f"{poll_seconds} seconds").start()
+    lines = lines_stream(spark, f"{target}/failed_lines")
+    position = f"{target}/_ledger_position"
+    ledger = ledger_stream(lines, f"{target}/failed_images", position, poll_seconds)
+    return Following(batches, ledger)
+
+
+def lines_stream(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
+    """Ledger rows as batches write them below ``path``; those of a batch that was written again
+    come again."""
+    fs, folder = hadoop(spark, path)
+    fs.mkdirs(folder)
+    schema = ", ".join(f"{c} string" for c in LEDGER_KEY)
+    reader = spark.readStream.schema(f"{schema}, batch_id int").option("ignoreMissingFiles", "true")
+    lines = reader.option("maxFilesPerTrigger", files_per_batch).parquet(path)
+    return lines.select(*LEDGER_KEY)
+
+
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+_ROCKS_DB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def ledger_stream(
+    lines: DataFrame, path: str, position: str, poll_seconds: float | None = None
+) -> StreamingQuery:
+    """Append the rows of the stream ``lines`` that no earlier batch had to the table ``path``.
+
+    What the ledger holds is keyed state: a batch looks up its own rows and reads nothing else,
+    however long the ledger is. Nulls are equal. A batch that runs again replaces its partition.
+    Without ``poll_seconds`` the stream is drained and stops.
+    """
+    spark = lines.sparkSession
+    before = spark.conf.get(STATE_STORE, None)
+    # A query keeps the settings it began with.
+    spark.conf.set(STATE_STORE, _ROCKS_DB)
+    try:
+        fresh = lines.select(*LEDGER_KEY).dropDuplicates(LEDGER_KEY)
+        return start(fresh, position, lambda rows, n: publish_dataset(rows, path, n), poll_seconds)
+    finally:
+        if before is None:
+            spark.conf.unset(STATE_STORE)
+        else:
+            spark.conf.set(STATE_STORE, before)
+
+
 def _batch_process(
     target: str,
     make_fetch: Callable[[], Fetch],
@@ -201,10 +321,12 @@ def _batch_process(
     archive: str | None,
     delete_inputs: bool,
     options: dict,
+    note: Callable[[DataFrame, int], None] | None = None,
 ) -> Callable[..., int]:
     """What is done with the raw documents of one batch; gives the number of files processed.
 
-    ``listed`` are its inputs as they were listed; a stream does not know them.
+    ``listed`` are its inputs as they were listed; Spark's file stream does not know them. ``note``
+    takes the batch's failed images; if there is none they are appended to the ledger.
     """
 
     def staged_articles(session: SparkSession, batch_id: int) -> DataFrame:
@@ -230,7 +352,10 @@ def _batch_process(
             if unwritten:
                 raise OSError(f"batch {batch_id} is not fully published: {unwritten[0]}")
         publish_dataset(done.quarantine, f"{target}/quarantine", batch_id)
-        append_to_ledger(done.ledger, f"{target}/failed_images", batch_id)
+        if note:
+            note(done.ledger, batch_id)
+        else:
+            append_to_ledger(done.ledger, f"{target}/failed_images", batch_id)
         unread = F.col("reject_reason").eqNullSafe("unreadable")
         seen = staged_articles(session, batch_id)
         inputs = seen.where(~unread).select("source_path").distinct()
