@@ -289,7 +289,8 @@ FROM (SELECT p_partkey // 50 AS n FROM part) GROUP BY n""",
         _ARTICLES,
         """
 picture AS (
-  SELECT DISTINCT url, split_part(url, '/', 4) AS owner, url LIKE '%3/back.jpg' AS junk FROM image),
+  SELECT DISTINCT url, split_part(url, '/', 4) AS owner, url LIKE '%3/back.jpg'
+  OR url LIKE '%4/main.jpg' OR url LIKE '%5/main.jpg' OR url LIKE '%6/main.jpg' AS junk FROM image),
 s AS (
   SELECT *, CAST(97 * length(owner) + coalesce(TRY_CAST(owner AS BIGINT) % 900, 0) AS DOUBLE) AS w,
     CAST(7 * length(url) AS DOUBLE) AS h FROM picture),

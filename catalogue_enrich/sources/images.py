@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.geometry import thumbnail_size
-from .media import image_header
+from .whole_image import whole_image
 
 Fetch = Callable[[str], bytes]
 
@@ -80,7 +80,7 @@ def fetch_images(
     ``make_fetch`` runs once per task and may open a client. A transport error
     (``retry_on``) is tried ``attempts`` times, ``pause`` seconds apart. Any other error,
     and any error of ``prepare`` (convert, shrink), fails the URL at once; so does, unless
-    ``validate`` is off, content that does not begin as an image does (``sources.media``).
+    ``validate`` is off, content that is not a whole image (``sources.whole_image``).
     A failed URL is a row with ``ok`` false, never an exception. ``parallelism`` sets the
     number of fetch tasks and ``concurrency`` the fetches under way in each. Stage the
     result (``session.stage``) before it is used more than once.
@@ -100,7 +100,7 @@ def fetch_images(
                 return False, None, f"{type(failure).__name__}: {failure}"
             try:
                 if validate:
-                    image_header(content)
+                    whole_image(content)
                 return True, prepare(content) if prepare else content, None
             except Exception as failure:
                 return False, None, f"{type(failure).__name__}: {failure}"

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import json
 import struct
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -180,16 +181,29 @@ def make_fetch() -> Callable[[str], bytes]:
 
 
 def make_image_fetch() -> Callable[[str], bytes]:
-    """Headers of PNG images whose size the URL tells, or a page that is no image for the back
-    images of a brand whose name ends in 3."""
+    """PNG images whose size the URL tells, or a page that is no image for the back images of a
+    brand whose name ends in 3. Main images of products whose number ends in 4 are cut off, of
+    those that end in 5 a bit is turned, and of those that end in 6 half the lines are missing."""
+
+    def chunk(kind: bytes, data: bytes) -> bytes:
+        checksum = zlib.crc32(data, zlib.crc32(kind))
+        return struct.pack(">I", len(data)) + kind + data + struct.pack(">I", checksum)
 
     def fetch(url: str) -> bytes:
         owner, name = url.split("/")[3:5]
         if name == "back.jpg" and owner[-1] == "3":
             return b"<html>not found</html>"
+        fault = owner[-1] if name == "main.jpg" else ""
         width = 97 * len(owner) + (int(owner) % 900 if owner.isdigit() else 0)
-        sizes = struct.pack(">IIBB", width, 7 * len(url), 8, 6 if name == "model.jpg" else 2)
-        return b"\x89PNG\r\n\x1a\n\0\0\0\x0dIHDR" + sizes + bytes(3)
+        height, samples = 7 * len(url), 4 if name == "model.jpg" else 3
+        sizes = struct.pack(">IIBBBBB", width, height, 8, 6 if samples == 4 else 2, 0, 0, 0)
+        lines = zlib.compress(bytes((1 + samples * width) * (height // 2 if fault == "6" else height)), 1)
+        image = b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", sizes) + chunk(b"IDAT", lines) + chunk(b"IEND", b"")
+        if fault == "4":
+            return image[:-20]
+        if fault == "5":
+            return image[:60] + bytes([image[60] ^ 4]) + image[61:]
+        return image
 
     return fetch
 

@@ -10,6 +10,7 @@ from catalogue_enrich.operators.normalize import from_documents
 from catalogue_enrich.operators.skew import join_counted, spread
 from catalogue_enrich.sources.images import fetch_images, http_get, probe_images, url_registry
 from catalogue_enrich.sources.media import NotAnImage, image_header, probe
+from catalogue_enrich.sources.whole_image import whole_image
 from tests.articles import MISSING, article, attribute, raw
 
 
@@ -126,7 +127,7 @@ def test_junk_is_no_image(junk):
 
 def test_junk_counts_as_a_failed_image(spark):
     def make():
-        return lambda url: b"<html>" if "junk" in url else png_header(1000, 400)
+        return lambda url: b"<html>" if "junk" in url else png(1000, 400)
 
     rows = spark.createDataFrame([(["http://h/junk", "http://h/ok"],)], "image_urls array<string>")
     fetched = fetch_images(url_registry(rows), make)
@@ -138,6 +139,94 @@ def test_junk_counts_as_a_failed_image(spark):
     }
 
 
+def segment(marker, data):
+    return bytes([0xFF, marker]) + struct.pack(">H", len(data) + 2) + data
+
+
+def webp(*chunks):
+    body = b"WEBP" + b"".join(k + struct.pack("<I", len(d)) + d + bytes(len(d) % 2) for k, d in chunks)
+    return b"RIFF" + struct.pack("<I", len(body)) + body
+
+
+def interlaced(width, height):
+    """A grey PNG in seven passes, of one bit a pixel."""
+    whole = png(1, 1)
+    lines = b"".join(
+        bytes(1 + (-(-(width - a) // c) + 7) // 8) * -(-(height - b) // d)
+        for a, b, c, d in ((0, 0, 8, 8), (4, 0, 8, 8), (0, 4, 4, 8), (2, 0, 4, 4), (0, 2, 2, 4), (1, 0, 2, 2), (0, 1, 1, 2))
+        if a < width and b < height
+    )
+
+    def chunk(kind, data):
+        return struct.pack(">I", len(data)) + kind + data + struct.pack(">I", zlib.crc32(kind + data))
+
+    header = struct.pack(">IIBBBBB", width, height, 1, 0, 0, 0, 1)
+    packed = zlib.compress(lines)
+    # The data may be cut into chunks anywhere.
+    parts = b"".join(chunk(b"IDAT", packed[i : i + 5]) for i in range(0, len(packed), 5))
+    return whole[:8] + chunk(b"IHDR", header) + parts + chunk(b"IEND", b"")
+
+
+FRAME = segment(0xC0, b"\x08\x00\x20\x00\x40\x03" + bytes(9))
+SCAN = segment(0xDA, b"\x03" + bytes(9)) + b"\x12\xff\x00\x34\xff\xd0\x56"
+GIF = b"GIF89a" + struct.pack("<HHBBB", 7, 9, 0x80, 0, 0) + bytes(6)
+GIF += b"!\xf9\x04\x00\x00\x00\x00\x00," + struct.pack("<HHHHB", 0, 0, 7, 9, 0) + b"\x02\x03\x84\x8f\x05\x00;"
+KEY_FRAME = struct.pack("<I", 4 << 5)[:3] + b"\x9d\x01\x2a" + struct.pack("<HH", 7, 9) + b"abcdef"
+WHOLE = {
+    "png": png(40, 30),
+    "alpha": png(300, 200, 4),
+    "interlaced": interlaced(13, 11),
+    "small interlaced": interlaced(1, 1),
+    "jpeg": b"\xff\xd8" + segment(0xE0, b"JFIF") + FRAME + SCAN + b"\xff\xd9",
+    "progressive": b"\xff\xd8\xff" + FRAME + SCAN + segment(0xC4, b"x") + SCAN + b"\xff\xff\xd9",
+    "gif": GIF,
+    "bmp": b"BM" + struct.pack("<IHHIIiiHHII", 94, 0, 0, 54, 40, 5, -2, 1, 32, 0, 40) + bytes(56),
+    "webp": webp((b"VP8 ", KEY_FRAME)),
+    "lossless": webp((b"VP8L", b"\x2f\x06\x00\x02\x00abc")),
+    "animated": webp(
+        (b"VP8X", b"\x12" + bytes(9)), (b"ANIM", bytes(6)), (b"ANMF", bytes(16) + webp((b"VP8 ", KEY_FRAME))[12:])
+    ),
+}
+
+
+@pytest.mark.parametrize("kind", WHOLE)
+def test_an_image_is_whole_or_none(kind):
+    content = WHOLE[kind]
+    assert whole_image(content) == image_header(content) == whole_image(content + b"more")
+    for end in range(0, len(content) - (16 if kind == "bmp" else 0)):
+        with pytest.raises(NotAnImage):
+            whole_image(content[:end])
+
+
+@pytest.mark.parametrize("kind", ["png", "interlaced"])
+def test_a_turned_bit_is_found(kind):
+    content = WHOLE[kind]
+    for at in range(8, len(content)):
+        with pytest.raises(NotAnImage):
+            whole_image(content[:at] + bytes([content[at] ^ 16]) + content[at + 1 :])
+
+
+def test_missing_lines_are_found():
+    short, tall = png(40, 29), png(40, 30)
+    with pytest.raises(NotAnImage, match="lines"):
+        whole_image(tall[:33] + short[33:])
+    assert whole_image(short[:33] + tall[33:]).height == 29  # more lines than are needed
+    # Images that inflate to far more than they hold are not inflated to their end.
+    bomb = zlib.compress(bytes(200_000_000))
+    data = struct.pack(">I", len(bomb)) + b"IDAT" + bomb + struct.pack(">I", zlib.crc32(b"IDAT" + bomb))
+    assert whole_image(tall[:33] + data + tall[-12:]).width == 40
+
+
+def test_truncated_images_count_as_failed(spark):
+    def make():
+        return lambda url: WHOLE[url[9:]][: -1 if "gif" in url else None]
+
+    rows = spark.createDataFrame([(["http://h/gif", "http://h/jpeg"],)], "image_urls array<string>")
+    got = {r["url"]: r for r in fetch_images(url_registry(rows), make).collect()}
+    assert got["http://h/jpeg"]["ok"] and not got["http://h/gif"]["ok"]
+    assert "cut off" in got["http://h/gif"]["error"]
+
+
 def article_rows(spark, *documents):
     return from_documents(raw(spark, [(f"{i}.json", d) for i, d in enumerate(documents)]))
 
