@@ -42,6 +42,48 @@ def publish_files(documents: DataFrame, folder: str, document: str = "enriched")
     return write_files(files, folder, _indented)
 
 
+def stage_files(
+    documents: DataFrame, folder: str, batch_id: int, document: str = "enriched"
+) -> DataFrame:
+    """The files of ``publish_files``, written into a hidden folder of the batch in ``folder``.
+
+    The report, once it is committed as a table, is the batch's manifest: nothing has its name
+    yet, and all is there for ``place_files`` to give it.
+    """
+    return publish_files(documents, staging(folder, batch_id), document)
+
+
+def staging(folder: str, batch_id: int) -> str:
+    return f"{folder}/.batch-{batch_id}"
+
+
+def place_files(manifest: DataFrame, folder: str, batch_id: int) -> DataFrame:
+    """Give the staged files of ``manifest`` their names in ``folder``, replacing what is there.
+
+    May be stopped and run again: a staged file goes only by getting its name, so one that is gone
+    has been placed (and may have been taken since). Returns ``path, done, error`` per file;
+    consume it once.
+    """
+
+    def place(path: str, listed: tuple | None) -> str:
+        files, root = open_files(folder)
+        _, hidden = open_files(staging(folder, batch_id))
+        target = f"{root}{path.removeprefix(hidden)}"
+        if is_file(files, path):
+            files.create_dir(target.rpartition("/")[0], recursive=True)
+            replace_file(files, path, target)
+        return target
+
+    return _on_files(manifest.select(F.col("path").alias("source_path")), place)
+
+
+def clear_staging(folder: str, batch_id: int) -> None:
+    """Remove the hidden folder of a batch whose files have their names."""
+    files, path = open_files(staging(folder, batch_id))
+    if files.get_file_info(path).type == arrow_fs.FileType.Directory:
+        files.delete_dir(path)
+
+
 def _indented(text: str) -> str:
     return json.dumps(json.loads(text), indent=2, ensure_ascii=False)
 
@@ -151,15 +193,42 @@ def is_file(files: arrow_fs.FileSystem, path: str) -> bool:
     return files.get_file_info(path).type == arrow_fs.FileType.File
 
 
+_REPLACED = ".replaced"
+
+
 def replace_file(files: arrow_fs.FileSystem, source: str, target: str) -> None:
-    """Move ``source`` to ``target``, deleting a ``target`` that is in the way."""
+    """Move ``source`` to ``target``, whatever is there.
+
+    Where a store does not move over a file, the old one is put aside under a hidden name until
+    the new one has its place, and ``restore_replaced`` brings it back if that never happened.
+    """
     try:
         files.move(source, target)
     except OSError:
         if not (is_file(files, source) and is_file(files, target)):
             raise
-        files.delete_file(target)
+        folder, _, name = target.rpartition("/")
+        aside = f"{folder}/.{name}{_REPLACED}"
+        if is_file(files, aside):
+            files.delete_file(aside)
+        files.move(target, aside)
         files.move(source, target)
+        files.delete_file(aside)
+
+
+def restore_replaced(files: arrow_fs.FileSystem, folder: str) -> None:
+    """Finish what ``replace_file`` was stopped at in ``folder``: every name has its old or its new
+    file."""
+    if files.get_file_info(folder).type != arrow_fs.FileType.Directory:
+        return
+    for entry in files.get_file_info(arrow_fs.FileSelector(folder)):
+        name = entry.base_name
+        if entry.is_file and name.startswith(".") and name.endswith(_REPLACED):
+            target = f"{folder}/{name[1:].removesuffix(_REPLACED)}"
+            if is_file(files, target):
+                files.delete_file(entry.path)
+            else:
+                files.move(entry.path, target)
 
 
 def _each(paths: Iterable[str], act: Callable[[int], str]) -> pd.DataFrame:

@@ -18,7 +18,17 @@ from ..operators.report import file_counts
 from ..plans.enrichment import enrich_documents
 from ..schema import LEDGER_KEY
 from ..session import configure
-from ..sinks import archive_files, delete_files, publish_dataset, publish_files
+from ..sinks import (
+    DONE,
+    archive_files,
+    clear_staging,
+    delete_files,
+    open_files,
+    place_files,
+    publish_dataset,
+    restore_replaced,
+    stage_files,
+)
 from ..sources.folder_stream import stream_folder
 from ..sources.images import Fetch
 from ..sources.landing import FILE, File, hadoop, list_files, read_files, stream_landing
@@ -48,6 +58,32 @@ def append_to_ledger(lines: DataFrame, path: str, batch_id: int) -> None:
     publish_dataset(fresh, path, batch_id)
 
 
+def publish_batch(documents: DataFrame, outbound: str, target: str, batch_id: int) -> DataFrame:
+    """Publish the files of a batch, all or none: ``path, done, error`` of each.
+
+    Files are written aside; their manifest (``staged_files`` below ``target``) is committed by
+    Spark, and only then do they get their names. A batch that runs again goes on from what was
+    committed: it writes all files anew, or gives those of the manifest their names, or has
+    nothing to do.
+    """
+
+    def step(name: str, report: Callable[[], DataFrame]) -> DataFrame:
+        path = f"{target}/{name}"
+        if _is_complete(documents.sparkSession, path, batch_id):
+            done = documents.sparkSession.read.schema(DONE).parquet(f"{path}/batch_id={batch_id}")
+            if not done.where(~F.col("done")).head(1):
+                return done
+        done = write_batch(report(), path, batch_id)
+        if faults := done.where(~F.col("done")).head(1):
+            raise OSError(f"batch {batch_id} is not fully published: {faults[0]}")
+        return done
+
+    manifest = step("staged_files", lambda: stage_files(documents, outbound, batch_id))
+    placed = step("published_files", lambda: place_files(manifest, outbound, batch_id))
+    clear_staging(outbound, batch_id)
+    return placed
+
+
 def _is_complete(spark: SparkSession, path: str, batch_id: int) -> bool:
     fs, marker = hadoop(spark, f"{path}/batch_id={batch_id}/_SUCCESS")
     return fs.exists(marker)
@@ -329,6 +365,10 @@ def _batch_process(
     takes the batch's failed images; if there is none they are appended to the ledger.
     """
 
+    for folder in (outbound, archive):
+        if folder:
+            restore_replaced(*open_files(folder))
+
     def staged_articles(session: SparkSession, batch_id: int) -> DataFrame:
         return session.read.parquet(f"{target}/articles/batch_id={batch_id}")
 
@@ -345,12 +385,7 @@ def _batch_process(
         done = enrich_documents(raw, make_fetch, answerer, stage=staged, **options)
         documents = write_batch(done.documents, f"{target}/published", batch_id)
         if outbound:
-            reports["published"] = write_batch(
-                publish_files(documents, outbound), f"{target}/published_files", batch_id
-            )
-            unwritten = reports["published"].where(~F.col("done")).head(1)
-            if unwritten:
-                raise OSError(f"batch {batch_id} is not fully published: {unwritten[0]}")
+            reports["published"] = publish_batch(documents, outbound, target, batch_id)
         publish_dataset(done.quarantine, f"{target}/quarantine", batch_id)
         if note:
             note(done.ledger, batch_id)

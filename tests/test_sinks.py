@@ -1,9 +1,22 @@
 import json
 import os
 
+import pytest
+from pyarrow import fs as arrow_fs
 from pyspark.sql import functions as F
 
-from catalogue_enrich.sinks import archive_files, delete_files, last_writes, publish_dataset, publish_files
+from catalogue_enrich.sinks import (
+    archive_files,
+    delete_files,
+    last_writes,
+    place_files,
+    publish_dataset,
+    publish_files,
+    replace_file,
+    restore_replaced,
+    stage_files,
+    staging,
+)
 from catalogue_enrich.sources.batches import assign_batches, batch_report
 from catalogue_enrich.sources.landing import read_landing
 from tests.articles import article
@@ -42,6 +55,72 @@ def test_a_file_that_cannot_be_written_is_reported(spark, folder):
     assert not report["done"] and report["error"]
 
 
+class Stopped(Exception):
+    pass
+
+
+class StrictStore:
+    """A store that does not move over a file, and that stops before its n-th change."""
+
+    def __init__(self, changes):
+        self.files, self.left = arrow_fs.LocalFileSystem(), changes
+
+    def get_file_info(self, what):
+        return self.files.get_file_info(what)
+
+    def change(self):
+        if not self.left:
+            raise Stopped
+        self.left -= 1
+
+    def move(self, source, target):
+        if os.path.exists(target):
+            raise OSError("there is a file")
+        self.change()
+        self.files.move(source, target)
+
+    def delete_file(self, path):
+        self.change()
+        self.files.delete_file(path)
+
+
+@pytest.mark.parametrize("stop", range(4))
+def test_a_name_is_never_lost(folder, stop):
+    write(f"{folder}/a.json", "old")
+    write(f"{folder}/.new", "new")
+    try:
+        replace_file(StrictStore(stop), f"{folder}/.new", f"{folder}/a.json")
+    except Stopped:
+        assert stop < 3
+    files = arrow_fs.LocalFileSystem()
+    restore_replaced(files, folder)
+    assert read(f"{folder}/a.json") == ("new" if stop >= 2 else "old")
+    if stop < 2:
+        replace_file(StrictStore(9), f"{folder}/.new", f"{folder}/a.json")
+    assert read(f"{folder}/a.json") == "new" and os.listdir(folder) == ["a.json"]
+
+
+@pytest.mark.parametrize("placed", range(4))
+def test_a_batch_gets_its_names_after_its_manifest(spark, folder, placed):
+    rows = [(f"{i}.json", None, json.dumps({"n": i})) for i in range(2)] + [("l.json", 0, "{}")]
+    frame = spark.createDataFrame(rows, "source_file string, doc_pos int, enriched string")
+    write(f"{folder}/in/0.json", "old")
+    stage_files(frame, f"{folder}/in", 5).write.parquet(f"{folder}/manifest")
+    assert sorted(os.listdir(f"{folder}/in")) == [".batch-5", "0.json"] and read(f"{folder}/in/0.json") == "old"
+    manifest = spark.read.parquet(f"{folder}/manifest")
+    # Stopped after some moves; a file that got its name may have been taken.
+    for name in ["0.json", "1.json", "l.json.d/0.json"][:placed]:
+        os.makedirs(os.path.dirname(f"{folder}/in/{name}"), exist_ok=True)
+        os.replace(f"{staging(f'{folder}/in', 5)}/{name}", f"{folder}/in/{name}")
+    if placed == 3:
+        os.remove(f"{folder}/in/1.json")
+    report = place_files(manifest, f"{folder}/in", 5).collect()
+    assert len(report) == 3 and all(r["done"] for r in report)
+    assert json.loads(read(f"{folder}/in/0.json")) == {"n": 0}
+    assert os.path.exists(f"{folder}/in/1.json") == (placed < 3)
+    assert os.path.exists(f"{folder}/in/l.json.d/0.json")
+
+
 def test_archive(spark, folder):
     for name in ("a ü+%.json", "b.json", "c.json"):
         write(f"{folder}/out/{name}", f"new {name}")
