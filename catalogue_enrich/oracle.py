@@ -49,6 +49,9 @@ options AS (
          CAST(row_number() OVER (PARTITION BY product_id, pos ORDER BY first_n) - 1 AS INTEGER) AS option_pos
   FROM (SELECT product_id, pos, id, min(n) AS first_n, arg_max(label, n) AS label FROM listed GROUP BY 1, 2, 3))"""
 
+# Name of the n-th file of several articles, by its ending.
+_NAME = "n || CASE n % 3 WHEN 0 THEN '.json' WHEN 1 THEN '.txt' ELSE '' END"
+
 _QUOTED = r"""CASE WHEN contains({0}, '''') AND NOT contains({0}, '"')
     THEN '"' || replace(replace({0}, '\', '\\'), chr(10), '\n') || '"'
     ELSE '''' || replace(replace(replace({0}, '\', '\\'), chr(10), '\n'), '''', '\''') || '''' END"""
@@ -327,6 +330,29 @@ FROM prompts WHERE branch = 'inferred'""",
   CASE WHEN n % 4 = 3 THEN 0 ELSE count(*) END AS n_articles,
   CASE n % 4 WHEN 0 THEN 'invalid_json' WHEN 3 THEN 'invalid_utf8' END AS reason
 FROM (SELECT p_partkey // 50 AS n FROM part) GROUP BY n""",
+    "q39_any_extension": f"""SELECT {_NAME} AS source_file, count(*) AS n_articles
+FROM (SELECT p_partkey // 50 AS n FROM part) GROUP BY n""",
+    "q40_delete_inputs": f"""WITH f AS (SELECT DISTINCT p_partkey // 50 AS n FROM part)
+SELECT {_NAME} AS source_file, CASE WHEN n % 2 = 0 THEN true END AS deleted, n % 2 <> 0 AS is_there FROM f
+UNION ALL SELECT {_NAME} || '.absent', false, false FROM f WHERE n % 2 = 0""",
+    "q41_hard_failure": _with(
+        _ARTICLES,
+        _OPTIONS,
+        _PROMPTS,
+        select="""SELECT product_id || '.json' AS source_file,
+  CASE WHEN bool_or(branch = 'inferred' AND length(prompt) % 7 = 0) THEN 'KeyError: ''no answer''' END AS reason
+FROM prompts GROUP BY product_id""",
+    ),
+    "q42_url_retries": _with(
+        _ARTICLES,
+        select="""SELECT DISTINCT url, url NOT LIKE '%/model.jpg' AND length(url) % 4 < 3 AS ok,
+  CASE WHEN url LIKE '%/model.jpg' THEN 'ValueError: no URL'
+    WHEN length(url) % 4 = 3 THEN 'OSError: failure 3' END AS error FROM image""",
+    ),
+    "q43_idle_exit": """WITH f AS (SELECT count(DISTINCT p_partkey // 50) AS n FROM part)
+SELECT 0 AS call, CAST(ceil(n / 25) AS INTEGER) AS batches, CAST(n AS INTEGER) AS files, 0 AS "left" FROM f
+UNION ALL SELECT 1, 0, 0, 0""",
+    "q44_replayed_batch": """SELECT p_partkey || '.json' AS source_file, CAST(p_partkey AS VARCHAR) AS product_id FROM part""",
     "q38_ledger_stream": """SELECT DISTINCT CAST(user_id AS VARCHAR) AS product_id,
   CASE WHEN event_type <> 'error' THEN event_type END AS supplier_colour, event_type AS url FROM events""",
     "q36_ledger_text": _with(

@@ -19,12 +19,21 @@ from .operators.normalize import explode_attributes, explode_images, from_docume
 from .operators.prompt import Prompts, messages_json, with_requests
 from .operators.report import flat_results, run_metrics, unresolved, without_images
 from .operators.writeback import join_results, write_back
-from .plans.enrichment import asked, enrich, prepare
+from .plans.enrichment import asked, enrich, enrich_documents, prepare
 from .session import configure, shared_folder, stage
-from .sinks import last_writes, only_processed, publish_dataset, publish_files, write_files
+from .sinks import (
+    delete_files,
+    last_writes,
+    only_processed,
+    place_files,
+    publish_dataset,
+    publish_files,
+    stage_files,
+    write_files,
+)
 from .sources.batches import assign_batches, batch_report
 from .sources.images import fetch_images, url_registry
-from .sources.landing import read_landing
+from .sources.landing import listed_files, read_landing
 from .sources.media import probe
 from .streaming.run import (
     append_to_ledger,
@@ -32,9 +41,11 @@ from .streaming.run import (
     ledger_stream,
     lines_stream,
     poll,
+    publish_batch,
     read_batches,
     run,
     start,
+    write_batch,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -512,6 +523,99 @@ def ledger_stream_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_batches(spark, f"{folder}/ledger").drop("batch_id")
 
 
+def _land(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
+    """Files of several articles in ``folder``; the names end in several ways."""
+    kind = F.col("n") % 3
+    end = F.when(kind == 0, ".json").when(kind == 1, ".txt").otherwise("")
+    files = V.array_documents(spark, sf_dir).withColumn("source_file", F.concat("n", end))
+    write_files(files, folder).write.format("noop").mode("overwrite").save()
+    return files
+
+
+def any_extension(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of any name are read if no pattern is asked for."""
+    folder = shared_folder(spark, "names")
+    _land(spark, sf_dir, folder)
+    rows = from_documents(read_landing(spark, folder, glob=None))
+    return rows.groupBy("source_file").agg(F.count("*").alias("n_articles"))
+
+
+def delete_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Inputs deleted by name: what was asked for, whether it went, and what is still there."""
+    folder = shared_folder(spark, "inputs")
+    files = _land(spark, sf_dir, folder)
+    here, absent = F.col("source_file"), F.concat("source_file", F.lit(".absent"))
+    asked = files.where("n % 2 = 0").select(F.explode(F.array(here, absent)).alias("name"))
+    paths = asked.select(F.concat(F.lit(f"{folder}/"), "name").alias("source_path"))
+    report = stage(delete_files(paths), "deleted")
+    name = F.element_at(F.split("path", "/"), -1).alias("source_file")
+    left = listed_files(spark, folder, None).select(
+        F.element_at(F.split("source_path", "/"), -1).alias("source_file"), F.lit(True).alias("is_there")
+    )
+    told = report.select(name, F.col("done").alias("deleted"))
+    both = told.join(left, "source_file", "full")
+    return both.select("source_file", "deleted", F.coalesce("is_there", F.lit(False)).alias("is_there"))
+
+
+def hard_failure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of which a call failed are set apart with the failure; others are published."""
+    raw = V.documents(spark, sf_dir)
+    answerer = call_model(V.make_limited_client, sleep=lambda seconds: None)
+    done = enrich_documents(raw, V.make_fetch, answerer, validate=False)
+    published = done.documents.select("source_file", F.lit(None).cast("string").alias("reason"))
+    return published.union(done.quarantine.select("source_file", "reason"))
+
+
+def url_retries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transport errors are tried three times, other errors once."""
+    registry = url_registry(V.article_rows(spark, sf_dir))
+    fetched = fetch_images(registry, V.make_flaky_fetch, attempts=3, pause=0, validate=False)
+    return fetched.select("url", "ok", "error")
+
+
+def idle_exit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The service ends once it has looked in vain; a later call finds nothing to do."""
+    folder = shared_folder(spark, "idle")
+    files = V.array_documents(spark, sf_dir)
+    write_files(files, f"{folder}/out").write.format("noop").mode("overwrite").save()
+
+    def look() -> tuple[int, int, int]:
+        done = poll(
+            spark,
+            f"{folder}/out",
+            f"{folder}/tables",
+            V.make_fetch,
+            call_model(V.make_client),
+            batch_size=25,
+            idle_checks=2,
+            poll_seconds=0,
+            delete_inputs=True,
+            validate=False,
+        )
+        return done.batches, done.files, done.left
+
+    calls = [(i, *look()) for i in range(2)]
+    return spark.createDataFrame(calls, "call int, batches int, files int, left int")
+
+
+def replayed_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch that stopped after its manifest and some of its names is published again: every
+    name has the new document, old ones are replaced."""
+    folder = shared_folder(spark, "replay")
+    outbound, target = f"{folder}/in", f"{folder}/tables"
+    documents = V.documents(spark, sf_dir).withColumn("doc_pos", F.lit(None).cast("int"))
+    documents = documents.withColumnRenamed("document", "enriched")
+    old = documents.where("hash(source_file) % 3 = 0").withColumn("document", F.lit('{"old": true}'))
+    publish_files(old, outbound, "document").write.format("noop").mode("overwrite").save()
+    manifest = write_batch(stage_files(documents, outbound, 0), f"{target}/staged_files", 0)
+    some = manifest.where("hash(path) % 2 = 0")
+    place_files(some, outbound, 0).write.format("noop").mode("overwrite").save()
+    publish_batch(documents, outbound, target, 0)
+    root = F.from_json("document", "map<string,string>")
+    published = read_landing(spark, outbound, glob=None)
+    return published.select("source_file", root[S.PRODUCT_ID].alias("product_id"))
+
+
 def image_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     registry = url_registry(V.article_rows(spark, sf_dir))
     fetched = fetch_images(registry, V.make_image_fetch)
@@ -586,6 +690,12 @@ QUERIES: dict[str, Query] = {
     "q36_ledger_text": ledger_text,
     "q37_folder_stream": folder_stream,
     "q38_ledger_stream": ledger_stream_batches,
+    "q39_any_extension": any_extension,
+    "q40_delete_inputs": delete_inputs,
+    "q41_hard_failure": hard_failure,
+    "q42_url_retries": url_retries,
+    "q43_idle_exit": idle_exit,
+    "q44_replayed_batch": replayed_batch,
 }
 
 

@@ -180,6 +180,22 @@ def make_fetch() -> Callable[[str], bytes]:
     return fetch
 
 
+def make_flaky_fetch() -> Callable[[str], bytes]:
+    """A fetch that fails as often as the length of the URL tells (mod 4) before it succeeds, and at
+    once for all model images."""
+    failures: dict[str, int] = {}
+
+    def fetch(url: str) -> bytes:
+        if url.endswith("/model.jpg"):
+            raise ValueError("no URL")
+        failures[url] = failures.get(url, 0) + 1
+        if failures[url] <= len(url) % 4:
+            raise OSError(f"failure {failures[url]}")
+        return url.encode()
+
+    return fetch
+
+
 def make_image_fetch() -> Callable[[str], bytes]:
     """PNG images whose size the URL tells, or a page that is no image for the back images of a
     brand whose name ends in 3. Main images of products whose number ends in 4 are cut off, of
