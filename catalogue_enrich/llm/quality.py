@@ -7,9 +7,11 @@ For the classes the reference is the median share of each class, which a tenth o
 move; for the words it is the sum of all counts.
 
 A word is common if it makes up at least ``1 / COMMON`` of a language's words, so a language has
-at most ``COMMON`` of them; a language has a reference if it holds at least ``1 / LANGUAGES`` of
-all words, so there are at most ``LANGUAGES`` references. These two bounds hold for any data, and
-the references (the one thing that goes to every task) stay small.
+at most ``COMMON`` of them. Every language with ``reference_words`` words of its own has a
+reference, whatever else the corpus holds. References are a table. Those of the ``LANGUAGES``
+languages with most words go to every task, which bounds their size for any data; documents of
+further languages, of which none holds more than ``1 / LANGUAGES`` of all words, are joined to
+theirs.
 
 Defined results: a null text counts as empty; no words means ``base_failed``. A null language is
 a language of its own. A document of a language without reference, or shorter than
@@ -20,11 +22,11 @@ input are kept as they are; the verdict is one struct column, under a name not y
 from __future__ import annotations
 
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import free_name, once, staged
@@ -182,35 +184,32 @@ def _count(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[pa.Rec
 
 
 def references(
-    documents: DataFrame, text: str, lang: str, min_words: int
-) -> dict[str | None, Reference]:
-    """The reference of each language that holds enough words, from all documents."""
-    spark = documents.sparkSession
+    documents: DataFrame, text: str, lang: str, min_words: int, reference_words: int
+) -> DataFrame:
+    """The reference of each language that holds enough words, from all documents: ``l`` (the
+    language), ``total``, ``classes`` and ``words``."""
     counts = documents.select(F.col(lang).cast("string"), F.col(text).cast("string")).mapInArrow(
         lambda batches: _count(batches, min_words), "lang string, kind string, key string, n long"
     )
     counts = staged(counts.groupBy("lang", "kind", "key").agg(F.sum("n").alias("n")), "words")
-    totals = counts.where("kind = 'n'")
-    least = (totals.agg(F.sum("n")).first()[0] or 0) / LANGUAGES
-    large = {r["lang"]: r["n"] for r in totals.where(F.col("n") >= max(least, 1)).collect()}
-    if not large:
-        return {}
-    # At most LANGUAGES rows.
-    bounds = spark.createDataFrame(list(large.items()), "l string, total long")
-    near = counts.where("kind <> 'n'").join(
-        F.broadcast(bounds), F.col("lang").eqNullSafe(F.col("l")), "inner"
-    )
+    totals = counts.where(F.col("kind") == "n").select(F.col("lang").alias("l"), F.col("n").alias("total"))
+    totals = totals.where(F.col("total") >= reference_words)
+    near = counts.where("kind <> 'n'").join(totals, F.col("lang").eqNullSafe(F.col("l")), "inner")
     common = near.where("kind = 'w'").where(F.col("n") * COMMON >= F.col("total"))
-    words: dict[str | None, dict[str, int]] = {key: {} for key in large}
-    for r in common.collect():
-        words[r["lang"]][r["key"]] = r["n"]
+    words = common.groupBy("l").agg(F.map_from_entries(F.collect_list(F.struct("key", "n"))).alias("words"))
     part = [F.split_part("key", F.lit(":"), F.lit(i)).cast("int") for i in (1, 2)]
-    shares = near.where("kind = 'c'").select("lang", "n", part[0].alias("c"), part[1].alias("share"))
-    medians = shares.groupBy("lang", "c").agg(F.expr("percentile(share, 0.5, n)").alias("share"))
-    classes = {key: [0.0] * _CLASSES for key in large}
-    for r in medians.collect():
-        classes[r["lang"]][r["c"]] = r["share"]
-    return {key: Reference(classes[key], words[key], n) for key, n in large.items() if any(classes[key])}
+    shares = near.where("kind = 'c'").select("l", "n", part[0].alias("c"), part[1].alias("share"))
+    medians = shares.groupBy("l", "c").agg(F.expr("percentile(share, 0.5, n)").alias("share"))
+    classes = medians.groupBy("l").agg(
+        F.map_from_entries(F.collect_list(F.struct("c", "share"))).alias("medians")
+    )
+    shares_of = [F.coalesce(F.element_at("medians", F.lit(c)), F.lit(0.0)) for c in range(_CLASSES)]
+    key = F.struct("l").alias("key")
+    found = totals.select(key, "l", "total").join(classes.select(key, F.array(*shares_of).alias("classes")), "key")
+    found = found.join(words.select(key, "words"), "key", "left")
+    no_words = F.create_map().cast("map<string,bigint>")
+    found = found.select("l", "total", "classes", F.coalesce("words", no_words).alias("words"))
+    return staged(found.where(F.exists("classes", lambda x: x > 0)), "references")
 
 
 def divergence_quality(
@@ -221,6 +220,7 @@ def divergence_quality(
     max_class_distance: float = 0.15,
     max_word_distance: float = 0.65,
     slack: float = 0.6,
+    reference_words: int = 1000,
     result: str = "quality",
 ) -> tuple[DataFrame, str]:
     """``documents`` with a struct of measures and verdict, and the name of that column.
@@ -230,16 +230,21 @@ def divergence_quality(
     each widened by ``slack / sqrt(n)``, as short texts stray further by chance; any document if it fails a base rule (fewer than 20 words, or over 30 % of its words in
     windows of eight that repeat).
     """
-    known = references(documents, text, lang, min_words)
-
-    def judge(data: bytes, language: str | None) -> dict:
+    found = references(documents, text, lang, min_words, reference_words)
+    most = found.orderBy(F.desc("total"), F.asc_nulls_first("l")).limit(LANGUAGES)
+    known = {r["l"]: Reference(r["classes"], r["words"], r["total"]) for r in most.collect()}
+
+    def judge(data: bytes, language: str | None, own: dict | None) -> dict:
+        reference = known.get(language)
+        if own is not None:
+            reference = Reference(own["classes"], dict(own["words"]), own["total"])
         words = data.split()
         n, kinds = len(words), class_counts(data)
         repeat = repeated_words(words)
         failed = n < 20 or 100 * repeat > 30 * n
         of_classes = of_words = None
-        if n >= min_words and language in known:
-            of_classes, of_words = known[language].distances(kinds, histogram_words(data))
+        if n >= min_words and reference is not None:
+            of_classes, of_words = reference.distances(kinds, histogram_words(data))
         return {
             "n_words": n,
             "word_chars": int(kinds[:_CLASSES].sum() - kinds[SPACE]),
@@ -255,15 +260,47 @@ def divergence_quality(
         }
 
     @F.arrow_udf(VERDICT_DDL)
-    def verdict(texts: pa.Array, langs: pa.Array) -> pa.Array:
+    def verdict(texts: pa.Array, langs: pa.Array, own: pa.Array) -> pa.Array:
+        rows = zip(texts, langs.to_pylist(), own.to_pylist(), strict=True)
         return pa.array(
             [
-                judge(memoryview(t.as_buffer()).tobytes() if t.is_valid else b"", language)
-                for t, language in zip(texts, langs.to_pylist(), strict=True)
+                judge(memoryview(t.as_buffer()).tobytes() if t.is_valid else b"", language, reference)
+                for t, language, reference in rows
             ],
             VERDICT,
         )
 
     name = free_name(documents, result)
     columns = (F.col(text).cast("string"), F.col(lang).cast("string"))
-    return documents.withColumn(name, once(verdict)(*columns)), name
+    none = F.lit(None).cast("struct<total: bigint, classes: array<double>, words: map<string,bigint>>")
+    if len(known) < LANGUAGES:
+        return documents.withColumn(name, once(verdict)(*columns, none)), name
+    return _judged_by_join(documents, found, known, columns, once(verdict), name), name
+
+
+def _judged_by_join(
+    documents: DataFrame,
+    found: DataFrame,
+    known: dict[str | None, Reference],
+    columns: tuple[Column, Column],
+    verdict: Callable[..., Column],
+    name: str,
+) -> DataFrame:
+    """Verdicts where some references are not ``known`` to every task.
+
+    Documents of known languages are spread over the tasks of the join by their rows, so that no
+    large language meets in one.
+    """
+    spark = documents.sparkSession
+    key, own, is_known = (free_name(documents, c) for c in ("_key", "_own", "_known"))
+    # At most LANGUAGES rows.
+    names = spark.createDataFrame([(k,) for k in known], "l string")
+    far = found.join(F.broadcast(names), found["l"].eqNullSafe(names["l"]), "left_anti")
+    reference = F.struct("total", "classes", "words").alias(own)
+    far = far.select(F.struct("l", F.lit(0).cast("bigint").alias("r")).alias(key), reference)
+    marked = F.broadcast(names.select("l", F.lit(True).alias(is_known)))
+    rows = documents.join(marked, columns[1].eqNullSafe(marked["l"]), "left").drop(marked["l"])
+    spread = F.when(F.col(is_known), 1 + F.monotonically_increasing_id()).otherwise(0)
+    rows = rows.withColumn(key, F.struct(columns[1].alias("l"), spread.cast("bigint").alias("r")))
+    judged = rows.join(far, key, "left").withColumn(name, verdict(*columns, F.col(own)))
+    return judged.select(*documents.columns, name)

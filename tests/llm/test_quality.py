@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import math
 import random
 import re
+import statistics
+from collections import Counter
 
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
 
+from catalogue_enrich.llm import quality
 from catalogue_enrich.llm.quality import (
     class_counts,
     divergence_quality,
@@ -111,3 +115,97 @@ def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string, lang string")
     result, name = divergence_quality(df)
     assert result.select(f"{name}.*").collect() == []
+
+
+KINDS = [
+    ("lower", "a-z"), ("upper", "A-Z"), ("digit", "0-9"), ("space", r" \t\n\v\f\r"),
+    ("point", r".,;:!?'\"()\-"), ("marked", r"#*$%&|<>"), ("control", r"\x00-\x08\x0e-\x1f\x7f"),
+]
+
+
+def classes_of(text):
+    found = {name: len(re.findall(f"[{members}]", text)) for name, members in KINDS}
+    found["wide"] = len(re.findall(r"[^\x00-\x7f]", text))
+    found["symbol"] = len(text) - sum(found.values())
+    return found
+
+
+def letters(text):
+    return re.findall(r"[a-z\u0080-\U0010ffff]+", re.sub("[A-Z]", lambda m: m[0].lower(), text))
+
+
+def distance(p, q):
+    """Jensen-Shannon by its definition."""
+    a, b = sum(p.values()), sum(q.values())
+    total = 0.0
+    for key in {*p, *q}:
+        x, y = p.get(key, 0) / a, q.get(key, 0) / b
+        for one in (x, y):
+            if one:
+                total += one * math.log2(2 * one / (x + y)) / 2
+    return math.sqrt(max(0.0, total))
+
+
+def plain(rows):
+    """Distances of each ``(id, text, language)`` by the rules, a language at a time."""
+    out = {}
+    for lang in {r[2] for r in rows}:
+        texts = {i: t for i, t, own in rows if own == lang and t}
+        words = Counter(w for t in texts.values() for w in letters(t))
+        n = sum(words.values())
+        long = [classes_of(t) for t in texts.values() if len(letters(t)) >= 30]
+        common = {w: c for w, c in words.items() if 256 * c >= n}
+        reference = {
+            k: statistics.median(c[k] * 2000 // sum(c.values()) for c in long) for k in classes_of("")
+        }
+        for i, text in texts.items():
+            if len(text.split()) >= 30:
+                own = Counter(w if w in common else "" for w in letters(text))
+                all_words = {**common, "": n - sum(common.values())}
+                out[i] = (distance(classes_of(text), reference), distance(own, all_words) if own else None)
+    return out
+
+
+def corpus(seed=4, n_large=400, n_small=40):
+    rng = random.Random(seed)
+    rows = [(i, prose(rng, rng.randrange(35, 150)), "en") for i in range(n_large)]
+    own = [f"{a}{b}" for a in ("čas", "žen", "šol", "dan") for b in ("a", "ih", "om", "Ek")]
+    rows += [(5000 + i, " ".join(rng.choices(own, k=rng.randrange(35, 80))), "sl") for i in range(n_small)]
+    rows += [(5990, " ".join("#$%" + str(rng.random()) for _ in range(80)), "sl")]
+    rows += [(5991, prose(rng, 80), "sl"), (5992, rows[0][1], None)]
+    return rows
+
+
+def verdicts(spark, rows):
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    result, name = divergence_quality(df.repartition(3))
+    return {r.doc_id: r for r in result.select("doc_id", f"{name}.*").collect()}
+
+
+def test_distances(spark):
+    rows = corpus()
+    got = verdicts(spark, rows)
+    assert len(got) == len(rows)
+    for i, (of_classes, of_words) in plain(rows).items():
+        if i == 5992:  # a language of too few words
+            assert got[i].class_distance is None
+        else:
+            assert got[i].class_distance == pytest.approx(of_classes, abs=1e-9)
+            assert got[i].word_distance == pytest.approx(of_words, abs=1e-9)
+
+
+def test_a_small_language_is_judged_as_if_alone(spark):
+    """How much text of other languages there is does not matter."""
+    rows = corpus(n_large=4000)
+    alone = verdicts(spark, [r for r in rows if r[2] == "sl"])
+    beside = verdicts(spark, rows)
+    assert {i: beside[i] for i in alone} == alone
+    assert not beside[5990].kept and not beside[5991].kept
+    assert all(beside[5000 + i].kept for i in range(40))
+
+
+def test_more_languages_than_go_to_every_task(spark, monkeypatch):
+    rows = corpus()
+    want = verdicts(spark, rows)
+    monkeypatch.setattr(quality, "LANGUAGES", 1)
+    assert verdicts(spark, rows) == want
