@@ -8,22 +8,34 @@ last word: a line after the run that begins the block is the end of a run that d
 
 For each run the first document that holds it is the one to align with. So a passage that very
 many documents share makes as many pairs as there are documents, and none is missed: the first
-holder of any run has it whole. A pair's matching runs are aligned as in a patience diff: those
-that occur once in both are put in order by a longest increasing sequence, what it left is aligned
-again (blocks that were moved or repeated) until nothing matches. Only hashes and line numbers
-travel to meet; texts go once to their own document's result.
+holder of any run has it whole. The n-th time that a document has a run it meets the n-th time
+that the holder has it, or the first, if the holder has it less often. Only hashes and line
+numbers travel to meet; texts go once to their own document's result.
+
+Two rules decide what goes:
+
+* *Aligned.* A pair's matching runs are put together to common blocks, and these are aligned as
+  in a patience diff: of the blocks that share no line with another, on either side, a longest
+  increasing sequence is taken; between two that are taken, a longest increasing sequence of the
+  others, without the lines that are taken already. A block that crosses these was moved or
+  repeated, and stays.
+* *Moved.* A stretch of lines that earlier documents have, of ``moved_words`` words or more, goes
+  wherever it stands, aligned or not. None turns this rule off.
 
 Documents are ordered by key, then by a hash of their text. Defined results: lines are compared
-without white space at their ends; a null or empty text has no lines and stays as it is; rows
-equal in key and text are one document and are treated alike; null keys come last; lines without a
-word go only inside a block, not at its ends; a document whose lines all go has an empty text. Columns of the input are kept; the result is one struct
-column (``text, n_lines, n_deleted, deleted_words, spans``) under a name not yet taken.
+without white space at their ends; a null or empty text has no lines and stays as it is; a text of
+any length is read whole, in time of its lines times their logarithm; an empty table gives no
+rows; rows equal in key and text are one document and are treated alike; null keys come last;
+lines without a word go only inside a block, not at its ends; a document whose lines all go has an
+empty text. Columns of the input are kept; the result is one struct column (``text, n_lines,
+n_deleted, deleted_words, spans``) under a name not yet taken.
 """
 
 from __future__ import annotations
 
 from bisect import bisect_left
 from collections import Counter, defaultdict
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -33,8 +45,10 @@ from pyspark.sql import functions as F
 
 from .common import free_name, once, staged
 
-RUN = pa.struct([("run", pa.int64()), ("start", pa.int32()), ("stop", pa.int32())])
-RUN_DDL = "run long, start int, stop int"
+RUN = pa.struct(
+    [("run", pa.int64()), ("nth", pa.int32()), ("start", pa.int32()), ("stop", pa.int32())]
+)
+RUN_DDL = "run long, nth int, start int, stop int"
 RESULT = pa.struct(
     [("text", pa.string()), ("n_lines", pa.int64()), ("n_deleted", pa.int64())]
     + [("deleted_words", pa.int64()), ("spans", pa.string())]
@@ -46,10 +60,14 @@ def lines_of(data: bytes) -> list[bytes]:
     return data.split(b"\n") if data else []
 
 
+def words_of(lines: list[bytes]) -> np.ndarray:
+    return np.array([len(line.split()) for line in lines], np.int64)
+
+
 def runs(lines: list[bytes], min_words: int) -> list[tuple[int, int, int]]:
     """Hash, first line and line after the last of the shortest runs of ``min_words`` words that
     begin and that end at each line with a word."""
-    words = np.array([len(line.split()) for line in lines], np.int64)
+    words = words_of(lines)
     ends = np.concatenate([[0], np.cumsum(words)])
     if ends[-1] < min_words:
         return []
@@ -86,23 +104,90 @@ def longest_increasing(values: list[int]) -> list[int]:
     return chain[::-1]
 
 
-def align(matches: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+# The earlier document's first line, the later one's, and the later one's line after the last.
+Block = tuple[int, int, int]
+
+
+def common_blocks(matches: list[Block]) -> list[Block]:
+    """Matching runs as blocks: those of one offset that overlap or touch are one."""
+    out: list[list[int]] = []
+    for there, here, stop in sorted(matches, key=lambda m: (m[0] - m[1], m[1])):
+        last = out[-1] if out else None
+        if last and last[0] - last[1] == there - here and here <= last[2]:
+            last[2] = max(last[2], stop)
+        else:
+            out.append([there, here, stop])
+    return [tuple(block) for block in out]
+
+
+def alone(spans: list[tuple[int, int]]) -> list[bool]:
+    """Whether a span overlaps no other."""
+    order = sorted(range(len(spans)), key=spans.__getitem__)
+    out = [True] * len(spans)
+    furthest, holder = -1, -1
+    for i in order:
+        start, stop = spans[i]
+        if start < furthest:
+            out[i] = out[holder] = False
+        if stop > furthest:
+            furthest, holder = stop, i
+    return out
+
+
+def increasing(blocks: list[Block]) -> list[Block]:
+    """A longest sequence of blocks whose first lines increase on both sides."""
+    # Of blocks that begin at one line here, at most one is taken: the others do not increase.
+    blocks = sorted(blocks, key=lambda b: (b[1], -b[0]))
+    return [blocks[i] for i in longest_increasing([there for there, _, _ in blocks])]
+
+
+def align(matches: list[Block]) -> list[tuple[int, int]]:
     """Blocks ``(first line, line after the last)`` of the later document that a patience diff
-    with the earlier one aligns, from matching runs ``(line there, line here, stop here)``.
-
-    The first pass aligns runs that occur once in both; further ones what is left of all.
-    """
-    blocks: list[tuple[int, int]] = []
-    left = sorted(matches, key=lambda m: m[1])
-    unique = True
-    while left:
-        there, here = Counter(m[0] for m in left), Counter(m[1] for m in left)
-        once = [m for m in left if there[m[0]] == 1 and here[m[1]] == 1] if unique else left
-        unique = False
-        taken = [once[i] for i in longest_increasing([m[0] for m in once])]
-        blocks += [(start, stop) for _, start, stop in taken]
-        gone = set(taken)
-        left = [m for m in left if m not in gone]
+    with the earlier one aligns, from matching runs."""
+    blocks = common_blocks(matches)
+    here = alone([(start, stop) for _, start, stop in blocks])
+    there = alone([(first, first + stop - start) for first, start, stop in blocks])
+    anchors = increasing(
+        [block for block, a, b in zip(blocks, here, there, strict=True) if a and b]
+    )
+    others = sorted(set(blocks) - set(anchors), key=lambda block: block[1])
+    out = [(start, stop) for _, start, stop in anchors]
+    end = 1 << 40
+    at = 0
+    bounds = [(0, 0, 0), *anchors, (end, end, end)]
+    for (first, start, stop), (next_there, next_here, _) in pairwise(bounds):
+        # What is open lies, on both sides, between two anchors. Anchors overlap no other block
+        # here, so each of these is in one gap as a whole.
+        open_there, open_here = first + stop - start, stop
+        inside = []
+        while at < len(others) and others[at][1] < next_here:
+            if cut := clipped(others[at], open_there, open_here, next_there, next_here):
+                inside.append(cut)
+            at += 1
+        for block in increasing(inside):
+            if cut := clipped(block, open_there, open_here, next_there, next_here):
+                out.append((cut[1], cut[2]))
+                open_there, open_here = cut[0] + cut[2] - cut[1], cut[2]
+    return merged(out)
+
+
+def clipped(block: Block, there: int, here: int, there_end: int, here_end: int) -> Block | None:
+    """The part of a block within these lines."""
+    offset = block[0] - block[1]
+    start = max(block[1], here, there - offset)
+    stop = min(block[2], here_end, there_end - offset)
+    return (start + offset, start, stop) if start < stop else None
+
+
+def decided(
+    pairs: list[list[Block]], words: np.ndarray, moved_words: int | None
+) -> list[tuple[int, int]]:
+    """Lines that go from a document, given its matches with each earlier one."""
+    blocks = [block for matches in pairs for block in align(matches)]
+    if moved_words is not None:
+        ends = np.concatenate([[0], np.cumsum(words)])
+        stretches = merged([(here, stop) for matches in pairs for _, here, stop in matches])
+        blocks += [(a, b) for a, b in stretches if ends[b] - ends[a] >= moved_words]
     return merged(blocks)
 
 
@@ -133,6 +218,7 @@ def dedup_lines(
     key: str = "doc_id",
     text: str = "text",
     min_words: int = 30,
+    moved_words: int | None = 50,
     result: str = "deduped",
 ) -> tuple[DataFrame, str]:
     """``documents`` with a struct of the text that is left and what was deleted, and the name of
@@ -142,7 +228,10 @@ def dedup_lines(
         rows, ends = [], [0]
         for t in texts:
             data = memoryview(t.as_buffer()).tobytes() if t.is_valid else b""
-            rows += runs(lines_of(data), min_words)
+            times: Counter[int] = Counter()
+            for run, start, stop in runs(lines_of(data), min_words):
+                times[run] += 1
+                rows.append((run, times[run], start, stop))
             ends.append(len(rows))
         columns = list(zip(*rows, strict=True)) or [[], [], []]
         arrays = [pa.array(c, f.type) for c, f in zip(columns, RUN, strict=True)]
@@ -157,7 +246,8 @@ def dedup_lines(
             pairs = defaultdict(list)
             for m in found or ():
                 pairs[m["first_key"], m["first_print"]].append((m["there"], m["start"], m["stop"]))
-            blocks = merged([block for pair in pairs.values() for block in align(pair)])
+            words = words_of(lines_of(data)) if pairs else None
+            blocks = decided(list(pairs.values()), words, moved_words) if pairs else []
             rest, n, words = delete_lines(data, blocks) if blocks else (data, 0, 0)
             spans = ",".join(f"{start}:{stop}" for start, stop in blocks)
             rest = rest.decode("utf-8", "replace") if t.is_valid else None
@@ -190,6 +280,26 @@ def dedup_lines(
     )
     same = F.col("key").eqNullSafe(F.col("first_key")) & (F.col("print") == F.col("first_print"))
     matches = found.join(holders, "run").where(~same)
+    # Where the holder has the run again; rows alike are one document.
+    again = (
+        found.where("nth > 1")
+        .select(
+            F.col("run").alias("again_run"),
+            F.col("nth").alias("again_nth"),
+            F.col("key").alias("again_key"),
+            F.col("print").alias("again_print"),
+            F.col("start").alias("again"),
+        )
+        .distinct()
+    )
+    matches = matches.join(
+        again,
+        (F.col("run") == F.col("again_run"))
+        & (F.col("nth") == F.col("again_nth"))
+        & F.col("first_key").eqNullSafe(F.col("again_key"))
+        & (F.col("first_print") == F.col("again_print")),
+        "left",
+    ).withColumn("there", F.coalesce("again", "there"))
     # Runs of one document, so no more than it has lines.
     names = [free_name(documents, n) for n in (result, "match_key", "match_print", "matches")]
     name, match_key, match_print, listed = names
