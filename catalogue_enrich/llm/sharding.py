@@ -11,41 +11,72 @@ parameters, are all that the driver sees; it returns intervals of ranks within a
 their rank from counts per part of an arc, where a part is a share of the input's rows, so not
 even rows that are all alike meet in one task.
 
+Places are numbers of 63 bits, so any number of shards has places of its own. Rows find their arc
+by the cell that the first bits of their place name, and by its bounds in that cell.
+
 Defined results: a null key is a key; equal rows are placed each by itself; an empty table gives
 no rows. Rows are written once before they are ranked, so a task that runs again ranks alike.
 """
 
 from __future__ import annotations
 
-from itertools import chain
+from array import array
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import staged
 
-CELLS = 1 << 16
+# Equal parts of the ring, which rows look their arc up by.
+CELLS = 1 << 14
+CELL_BITS = 63 - 14
 # Shares that the rows of an arc are ranked in.
 PARTS = 256
 
 
+def position(seed: int, *what: Column | str) -> Column:
+    return F.shiftrightunsigned(F.xxhash64(F.lit(seed), *what), 1)
+
+
 def ring(spark: SparkSession, shards: int, replicas: int, seed: int) -> list[tuple[int, int]]:
-    """Places in clockwise order, as cell and shard; where a shard stands does not depend on how
-    many there are."""
+    """Places in clockwise order, as position and shard; where a shard stands does not depend on
+    how many there are."""
     nodes = spark.range(shards * replicas).select(
         (F.col("id") % shards).cast("int").alias("shard"),
         F.floor(F.col("id") / shards).alias("replica"),
     )
-    cell = F.pmod(F.xxhash64(F.lit(seed), F.lit("place"), "shard", "replica"), F.lit(CELLS))
-    rows = nodes.select(cell.alias("cell"), "shard").distinct().collect()
-    # Of places in one cell the smaller shard comes first.
-    return sorted((r["cell"], r["shard"]) for r in rows)
+    rows = nodes.select(position(seed, F.lit("place"), "shard", "replica"), "shard").collect()
+    return sorted((at, shard) for at, shard in rows)
+
+
+def arcs_of(places: list[tuple[int, int]]) -> list[tuple[int, int, int, int]]:
+    """Cell, least and greatest position there, and arc; every position lies in one.
+
+    An arc ends at its place, and past the last place the first arc begins.
+    """
+    out, start = [], 0
+    stops = [at for at, _ in places] + [(1 << 63) - 1]
+    for arc, stop in enumerate(stops):
+        for cell in range(start >> CELL_BITS, (stop >> CELL_BITS) + 1 if start <= stop else 0):
+            first = max(start, cell << CELL_BITS)
+            last = min(stop, ((cell + 1) << CELL_BITS) - 1)
+            out.append((cell, first, last, arc % len(places)))
+        start = stop + 1
+    return out
 
 
-def clockwise(places: list[tuple[int, int]], at: int) -> list[int]:
-    """Shards in the order in which they are met from place ``at``."""
-    order = [places[(at + i) % len(places)][1] for i in range(len(places))]
-    return list(dict.fromkeys(order))
+def orders(places: list[tuple[int, int]]) -> list[array]:
+    """For each place the shards in the order in which they are met from there.
+
+    Going back by one place brings its shard to the front.
+    """
+    order = list(dict.fromkeys(shard for _, shard in places))
+    out = []
+    for _, shard in reversed(places):
+        order.remove(shard)
+        order.insert(0, shard)
+        out.append(array("i", order))
+    return out[::-1]
 
 
 def settle(
@@ -58,15 +89,17 @@ def settle(
     """
     waiting = [0] * len(counts)  # rank of the first row of an arc that has no shard
     room, filled, out = list(bounds), [0] * len(bounds), []
-    orders = [clockwise(places, arc) for arc in range(len(places))]
+    met = orders(places)
+    left = [arc for arc, n in enumerate(counts) if n]
     for step in range(len(bounds)):
-        for arc, order in enumerate(orders):
-            if step < len(order) and (n := min(counts[arc] - waiting[arc], room[order[step]])):
-                shard = order[step]
+        for arc in left:
+            shard = met[arc][step]
+            if n := min(counts[arc] - waiting[arc], room[shard]):
                 out.append((arc, waiting[arc], waiting[arc] + n, shard, filled[shard]))
                 waiting[arc] += n
                 room[shard] -= n
                 filled[shard] += n
+        left = [arc for arc in left if waiting[arc] < counts[arc]]
     return out
 
 
@@ -85,27 +118,21 @@ def place(
     spark = rows.sparkSession
     own = [c for c in rows.columns if c.lower() not in ("shard", "slot")]
     places = ring(spark, shards, replicas, seed)
-    # The arc of a cell ends at the first place at or after it; past the last it is the first.
-    ends = [cell for cell, _ in places]
-    firsts = [0, *(end + 1 for end in ends)]
-    arc_of = list(
-        chain.from_iterable(
-            [arc % len(places)] * (stop - start)
-            for arc, (start, stop) in enumerate(zip(firsts, [*firsts[1:], CELLS], strict=True))
-        )
+    # At most CELLS + shards x replicas rows.
+    arcs = F.broadcast(
+        spark.createDataFrame(arcs_of(places), "cell int, first long, last long, arc int")
     )
-    # CELLS rows.
-    arcs = F.broadcast(spark.createDataFrame(list(enumerate(arc_of)), "cell int, arc int"))
-    hashed = F.pmod(F.xxhash64(F.lit(seed), F.lit("key"), F.struct(key)), F.lit(CELLS))
     # Every share has rows of every input partition, whatever they hold.
     number = F.pmod(F.monotonically_increasing_id(), F.lit(PARTS))
     keyed = rows.select(
         F.struct(*own).alias("row"),
         F.struct(F.xxhash64(F.struct(key)).alias("hash"), key).alias("order"),
-        hashed.cast("int").alias("cell"),
+        position(seed, F.lit("key"), F.struct(key)).alias("at"),
         number.cast("int").alias("part"),
     )
-    keyed = staged(keyed.join(arcs, "cell").drop("cell"), "ring")
+    keyed = keyed.withColumn("cell", F.shiftright("at", CELL_BITS).cast("int")).join(arcs, "cell")
+    keyed = keyed.where("at between first and last").drop("cell", "at", "first", "last")
+    keyed = staged(keyed, "ring")
 
     counts = keyed.groupBy("arc", "part").agg(F.count("*").alias("n"))
     totals = [0] * len(places)

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import random
+import time
 from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
-from catalogue_enrich.llm.sharding import clockwise, place, ring, settle
+from catalogue_enrich.llm.sharding import arcs_of, orders, place, ring, settle
 
 TABLES = {
     "plain": [(i, f"t{i}") for i in range(1000)],
@@ -19,6 +20,42 @@ TABLES = {
 }
 
 
+def clockwise(places, at):
+    """Shards in the order in which they are met from place ``at``."""
+    order = [places[(at + i) % len(places)][1] for i in range(len(places))]
+    return list(dict.fromkeys(order))
+
+
+def test_ring(spark):
+    places = ring(spark, 30, 8, 7)
+    assert len({at for at, _ in places}) == 240
+    assert [list(order) for order in orders(places)] == [clockwise(places, i) for i in range(240)]
+    arcs = sorted(arcs_of(places), key=lambda a: a[1])
+    assert arcs[0][1] == 0 and arcs[-1][2] == (1 << 63) - 1
+    assert all(a[2] + 1 == b[1] for a, b in zip(arcs, arcs[1:]))
+    assert all(first >> 49 == last >> 49 == cell for cell, first, last, _ in arcs)
+    ends = [at for at, _ in places]
+    for _, first, last, arc in arcs:
+        want = next((i for i, end in enumerate(ends) if first <= end), 0)
+        assert arc == want and (last <= ends[arc] or first > ends[-1])
+
+
+def test_many_shards_are_settled_soon(spark):
+    places = ring(spark, 192, 64, 7)
+    rng = random.Random(5)
+    counts = [rng.randrange(2000) for _ in places]
+    counts[17] = sum(counts) // 2  # a key that holds a third of all rows
+    n = sum(counts)
+    bounds = [n // 192 + (s < n % 192) for s in range(192)]
+    before = time.process_time()
+    taken = settle(places, counts, bounds)
+    assert time.process_time() - before < 10
+    filled = Counter()
+    for _, first, stop, shard, _ in taken:
+        filled[shard] += stop - first
+    assert [filled[s] for s in range(192)] == bounds
+
+
 @pytest.mark.parametrize("name", TABLES)
 def test_counts_are_at_most_one_apart(spark, name):
     rows = TABLES[name]
