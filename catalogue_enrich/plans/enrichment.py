@@ -17,6 +17,7 @@ from ..operators.report import run_metrics
 from ..operators.writeback import write_back
 from ..schema import ANSWERS
 from ..session import stage
+from ..sources.image_store import ImageStore
 from ..sources.images import Fetch, fetch_images, url_registry
 
 Stage = Callable[[DataFrame, str], DataFrame]
@@ -70,12 +71,14 @@ def enrich_documents(
     on_error: str = "quarantine",
     parallelism: int | None = None,
     stage: Stage = stage,
+    kept: ImageStore | None = None,
     **fetch_options,
 ) -> Enriched:
     """Enrich raw documents (``sources.landing``) with fetched images and a model.
 
     What must not be done twice is staged: the article rows (read once), the images
-    (fetched once per distinct URL) and the answers (asked once).
+    (fetched once per distinct URL) and the answers (asked once). With ``kept`` images are
+    fetched once for all calls that share this store.
 
     A document that is rejected or an answer that is none goes to ``quarantine``; with
     ``on_error='fail'`` the first one fails the job, before anything is staged from it.
@@ -88,10 +91,12 @@ def enrich_documents(
 
     parsed = stage(checked(from_documents(raw, strict), "reject_reason"), "articles")
     accepted = parsed.where(F.col("reject_reason").isNull()).drop("reject_reason")
-    images = stage(
-        fetch_images(url_registry(accepted), make_fetch, parallelism=parallelism, **fetch_options),
-        "images",
-    )
+    registry = url_registry(accepted)
+    fetch_options["parallelism"] = parallelism
+    if kept is None:
+        images = stage(fetch_images(registry, make_fetch, **fetch_options), "images")
+    else:
+        images = kept.fetch(registry, make_fetch, stage=stage, **fetch_options)
     enriched = checked(with_results(asked(accepted, images, answerer, prompts, parallelism)), "error")
     return results_of(parsed, stage(_outcome(enriched), "enriched"))
 

@@ -1,0 +1,102 @@
+"""Images kept across batches: each URL is fetched once, as long as it is fresh."""
+
+import json
+import os
+import uuid
+
+import pytest
+from pyspark.sql import functions as F
+
+from catalogue_enrich.operators.infer import call_model
+from catalogue_enrich.operators.prompt import Prompts
+from catalogue_enrich.plans.enrichment import enrich_documents
+from catalogue_enrich.sources.image_store import ImageStore
+from catalogue_enrich.sources.images import FETCHED
+from tests.articles import article, raw
+
+
+def logged(folder):
+    """A fetch that leaves a file per call."""
+
+    def make():
+        def fetch(url):
+            with open(f"{folder}/{uuid.uuid4().hex}", "w") as out:
+                out.write(url)
+            if "fail" in url:
+                raise OSError("no")
+            return url.encode()
+
+        return fetch
+
+    os.makedirs(folder)
+    return make
+
+
+def fetches(folder):
+    return sorted(open(f"{folder}/{name}").read() for name in os.listdir(folder))
+
+
+def registry(spark, urls):
+    return spark.createDataFrame([(u, n + 1) for n, u in enumerate(urls)], "url string, n_uses bigint")
+
+
+@pytest.mark.parametrize("slots", [1, 64])
+def test_batches_that_share_urls(spark, folder, slots):
+    store = ImageStore(f"{folder}/store", slots=slots)
+    batches = [["a", "b", "fail"], ["b", "c", "fail", "a"], [], ["a", "b", "c"]]
+    want_fetched = [["a", "b", "fail"], ["c", "fail"], [], []]
+    for i, (urls, fetched) in enumerate(zip(batches, want_fetched)):
+        images = store.fetch(registry(spark, urls), logged(f"{folder}/{i}"), validate=False)
+        assert fetches(f"{folder}/{i}") == fetched
+        assert [(f.name, f.dataType) for f in images.schema] == [
+            (f.name, f.dataType) for f in spark.createDataFrame([], FETCHED).schema
+        ]
+        got = {r.url: (r.n_uses, r.ok, bytes(r.content) if r.content else None) for r in images.collect()}
+        assert got == {
+            u: (n + 1, u != "fail", None if u == "fail" else u.encode()) for n, u in enumerate(urls)
+        }
+
+
+def test_old_images_are_fetched_again(spark, folder):
+    ImageStore(f"{folder}/store").fetch(registry(spark, ["a"]), logged(f"{folder}/0"), validate=False)
+    aged = ImageStore(f"{folder}/store", max_age=0.0)
+    aged.fetch(registry(spark, ["a"]), logged(f"{folder}/1"), validate=False)
+    assert fetches(f"{folder}/1") == ["a"]
+    # Two rows of one URL, as a batch that was run again leaves them, are one image.
+    images = ImageStore(f"{folder}/store", max_age=3600).fetch(
+        registry(spark, ["a"]), logged(f"{folder}/2"), validate=False
+    )
+    assert images.count() == 1 and fetches(f"{folder}/2") == []
+
+
+def test_a_batch_opens_its_own_folders_and_moves_no_kept_image(spark, folder):
+    store = ImageStore(f"{folder}/store", slots=64)
+    urls = [f"http://img/{i}" for i in range(200)]
+    store.fetch(registry(spark, urls), logged(f"{folder}/0"), validate=False)
+    asked = registry(spark, urls[:3]).withColumn("slot", store.slot(F.col("url")))
+    slots = [r.slot for r in asked.select("slot").distinct().collect()]
+    kept = store.read(spark, slots)
+    opened = {f.rpartition("/slot=")[2].split("/")[0] for f in (r[0] for r in kept.select(F.input_file_name()).distinct().collect())}
+    assert opened == {str(s) for s in slots}
+    plan = asked.join(kept, ["slot", "url"])._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+    assert "PartitionFilters: [isnotnull(slot" in plan or "PartitionFilters: [slot" in plan
+
+
+def test_the_chain_keeps_images(spark, folder):
+    def client():
+        return lambda messages, **_: json.dumps({"response": str(len(messages[1]["content"]) - 1)})
+
+    prompts = Prompts(attribute="{attribute_id}", colour="c", system_attribute="S", system_colour="C")
+    store = ImageStore(f"{folder}/store")
+    results, fetched = [], []
+    for i, options in enumerate(({}, {"kept": store}, {"kept": store})):
+        make = logged(f"{folder}/{i}")
+        done = enrich_documents(
+            raw(spark, [("0.json", article(0)), ("1.json", article(1))]), make,
+            call_model(client), prompts=prompts, validate=False, **options,
+        )
+        results.append(sorted((r.source_file, r.enriched) for r in done.documents.collect()))
+        fetched.append(fetches(f"{folder}/{i}"))
+    assert results[0] == results[1] == results[2]
+    assert fetched[0] == fetched[1] != [] and fetched[2] == []
