@@ -348,6 +348,12 @@ FROM prompts GROUP BY product_id""",
         select="""SELECT DISTINCT url, url NOT LIKE '%/model.jpg' AND length(url) % 4 < 3 AS ok,
   CASE WHEN url LIKE '%/model.jpg' THEN 'ValueError: no URL'
     WHEN length(url) % 4 = 3 THEN 'OSError: failure 3' END AS error FROM image""",
+    ),
+    "q45_kept_images": _with(
+        _ARTICLES,
+        select="""SELECT url, count(*) AS n_uses, bool_and(ok) AS ok,
+  CASE WHEN bool_and(ok) THEN CASE WHEN bool_or(CAST(product_id AS BIGINT) % 2 = 0) THEN 0 ELSE 1 END END AS fetched_in
+FROM image GROUP BY url""",
     ),
     "q43_idle_exit": """WITH f AS (SELECT count(DISTINCT p_partkey // 50) AS n FROM part)
 SELECT 0 AS call, CAST(ceil(n / 25) AS INTEGER) AS batches, CAST(n AS INTEGER) AS files, 0 AS "left" FROM f

@@ -32,6 +32,7 @@ from .sinks import (
     write_files,
 )
 from .sources.batches import assign_batches, batch_report
+from .sources.image_store import ImageStore
 from .sources.images import fetch_images, url_registry
 from .sources.landing import listed_files, read_landing
 from .sources.media import probe
@@ -573,6 +574,18 @@ def url_retries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fetched.select("url", "ok", "error")
 
 
+def kept_images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three batches that share images: even articles, all, and all again, which fetches none but
+    those that failed."""
+    rows = V.article_rows(spark, sf_dir)
+    store = ImageStore(shared_folder(spark, "image-store"), slots=64)
+    even = rows.where(F.col("product_id").cast("long") % 2 == 0)
+    for batch, articles in enumerate((even, rows, rows)):
+        images = store.fetch(url_registry(articles), V.make_batch_fetch(batch), validate=False)
+    fetched_in = F.substring_index(F.decode("content", "UTF-8"), ":", 1).cast("int")
+    return images.select("url", "n_uses", "ok", fetched_in.alias("fetched_in"))
+
+
 def idle_exit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The service ends once it has looked in vain; a later call finds nothing to do."""
     folder = shared_folder(spark, "idle")
@@ -696,6 +709,7 @@ QUERIES: dict[str, Query] = {
     "q42_url_retries": url_retries,
     "q43_idle_exit": idle_exit,
     "q44_replayed_batch": replayed_batch,
+    "q45_kept_images": kept_images,
 }
 
 

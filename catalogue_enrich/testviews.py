@@ -180,6 +180,16 @@ def make_fetch() -> Callable[[str], bytes]:
     return fetch
 
 
+def make_batch_fetch(batch: int) -> Callable[[], Callable[[str], bytes]]:
+    """``make_fetch`` whose images begin with the number of the batch that fetched them."""
+
+    def make() -> Callable[[str], bytes]:
+        fetch = make_fetch()
+        return lambda url: b"%d:%s" % (batch, fetch(url))
+
+    return make
+
+
 def make_flaky_fetch() -> Callable[[str], bytes]:
     """A fetch that fails as often as the length of the URL tells (mod 4) before it succeeds, and at
     once for all model images."""
