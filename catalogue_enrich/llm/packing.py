@@ -3,11 +3,14 @@
 A document of n tokens becomes as many pieces of the full sequence length as fit, and one piece
 for each binary digit of the rest. Every piece is a sequence of its own: no sequence holds tokens
 of two documents, none is padded, and sequences of one length (``bucket``) fill a batch evenly.
-Cutting needs no other document, so there is no shuffle at any size; ``write_buckets`` puts each
-length into a folder of its own.
+Cutting needs no other document: texts and ids are never shuffled. ``pack`` counts the sequences
+of each length within a task, and ``numbered`` adds what the tasks before it have of that length,
+so a bucket's sequences have the places 0, 1, 2 and so on. ``write_buckets`` puts each length into
+a folder of its own.
 
 Defined results: a null text is empty, and an empty document is its end token alone; repeated
-rows are packed each by itself.
+rows are packed each by itself, in any order; a very long text is cut by one task; an empty table
+has no sequences; columns of the input that are named like a result are dropped.
 """
 
 from __future__ import annotations
@@ -15,18 +18,22 @@ from __future__ import annotations
 import os
 import zlib
 from array import array
-from collections.abc import Callable
+from collections import Counter
+from collections.abc import Callable, Iterator
 from itertools import chain
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import staged
+
 PIECE = pa.struct(
     [("start", pa.int64()), ("length", pa.int64()), ("doc_tokens", pa.int64())]
     + [("ids_crc32", pa.int64()), ("ids", pa.binary())]
 )
 PIECE_DDL = "start long, length long, doc_tokens long, ids_crc32 long, ids binary"
+RESULT = {"piece", "bucket", "task", "nth", "place", "sequence_id", "offset"}
 # Words and their ids that a task keeps.
 CACHED_WORDS = 900_000
 TOGETHER = 1 << 20
@@ -156,49 +163,76 @@ def pack(
     end_id: int = 1,
 ) -> DataFrame:
     """``documents`` without ``text``, a row per piece: ``piece`` (``start, length, doc_tokens,
-    ids_crc32, ids``), ``sequence_id`` and ``offset``.
+    ids_crc32, ids``), ``bucket`` (its length), ``task`` and ``nth`` (of the bucket in the task).
 
     ``make_encoder`` makes, once per task, the function from UTF-8 texts to their ids as
-    little-endian 32-bit numbers. ``most`` is a power of two. Columns of the input that are named
-    like a result are dropped.
+    little-endian 32-bit numbers. ``most`` is a power of two.
     """
     if most & (most - 1):
         raise ValueError("the longest piece must be a power of two")
     end = end_id.to_bytes(4, "little")
-    made: list[Callable] = []
-
-    @F.arrow_udf(f"array<struct<{PIECE_DDL}>>")
-    def pieces(texts: pa.Array) -> pa.Array:
-        if not made:
-            made.append(make_encoder())
-        encoded = made[0](
-            [memoryview(t.as_buffer()).tobytes() if t.is_valid else b"" for t in texts]
-        )
-        rows, ends = [], [0]
-        for ids in encoded:
-            ids += end
-            n, start = len(ids) // 4, 0
-            for length in piece_lengths(n, most):
-                own = ids[4 * start : 4 * (start + length)]
-                rows.append((start, length, n, zlib.crc32(own), own))
-                start += length
-            ends.append(len(rows))
-        columns = list(zip(*rows, strict=True)) or [[] for _ in PIECE]
-        arrays = [pa.array(c, f.type) for c, f in zip(columns, PIECE, strict=True)]
-        return pa.ListArray.from_arrays(
-            pa.array(ends, pa.int32()), pa.StructArray.from_arrays(arrays, PIECE.names)
-        )
-
-    result = {"piece", "sequence_id", "offset"}
-    kept = [c for c in documents.columns if c != text and c.lower() not in result]
-    cut = documents.select(*kept, F.explode(pieces(F.col(text).cast("string"))).alias("piece"))
-    return cut.select(
+    kept = [c for c in documents.columns if c != text and c.lower() not in RESULT]
+
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode, counts = make_encoder(), Counter()
+        for batch in batches:
+            encoded = encode(
+                [memoryview(t.as_buffer()).tobytes() if t.is_valid else b"" for t in batch.column(0)]
+            )
+            rows, nths, origin = [], [], []
+            for i, ids in enumerate(encoded):
+                ids += end
+                n, start = len(ids) // 4, 0
+                for length in piece_lengths(n, most):
+                    own = ids[4 * start : 4 * (start + length)]
+                    rows.append((start, length, n, zlib.crc32(own), own))
+                    nths.append(counts[length])
+                    counts[length] += 1
+                    start += length
+                    origin.append(i)
+            columns = list(zip(*rows, strict=True)) or [[] for _ in PIECE]
+            arrays = [pa.array(c, f.type) for c, f in zip(columns, PIECE, strict=True)]
+            own = pa.array(origin, pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [*(c.take(own) for c in batch.columns[1:])]
+                + [pa.StructArray.from_arrays(arrays, PIECE.names), pa.array(nths, pa.int64())],
+                [*kept, "piece", "nth"],
+            )
+
+    rows = documents.select(F.col(text).cast("string"), *kept)
+    schema = rows.select(
+        *kept,
+        F.lit(None).cast(f"struct<{PIECE_DDL}>").alias("piece"),
+        F.lit(None).cast("long").alias("nth"),
+    ).schema
+    cut = rows.mapInArrow(pieces, schema)
+    # Told by the task that counted: what follows reads other partitions.
+    return cut.withColumns({"bucket": F.col("piece.length"), "task": F.spark_partition_id()})
+
+
+def numbered(sequences: DataFrame) -> DataFrame:
+    """``pack``'s sequences with ``place`` (gapless in the ``bucket``), ``sequence_id`` (unique)
+    and ``offset`` (0, as a piece is a sequence), for ``task`` and ``nth``.
+
+    Sequences are written before they are numbered, as another run of a task may cut other rows.
+    What is added up is a count per task and length.
+    """
+    rows = staged(sequences, "sequences")
+    counts = rows.groupBy("bucket", "task").agg((F.max("nth") + 1).alias("n"))
+    before = Window.partitionBy("bucket").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("bucket", "task", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
+    place = (F.col("first") + F.col("nth")).alias("place")
+    kept = [c for c in rows.columns if c not in ("task", "nth")]
+    placed = rows.join(starts, ["bucket", "task"]).select(*kept, place)
+    # A bucket is a power of two: its exponent takes the last six bits.
+    exponent = F.log2("bucket").cast("long")
+    return placed.select(
         "*",
-        F.monotonically_increasing_id().alias("sequence_id"),
+        F.shiftleft("place", 6).bitwiseOR(exponent).alias("sequence_id"),
         F.lit(0).cast("long").alias("offset"),
     )
 
 
 def write_buckets(sequences: DataFrame, path: str) -> None:
     """Write sequences with a folder for each length."""
-    sequences.withColumn("bucket", F.col("piece.length")).write.partitionBy("bucket").parquet(path)
+    sequences.write.partitionBy("bucket").parquet(path)

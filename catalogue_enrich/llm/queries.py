@@ -18,7 +18,7 @@ from .metric_trees import compress
 from .mixing import mix, word_count
 from .neardup import forest_components
 from .oracle import CHAT_SQL, SEARCH_SQL, TREES_SQL, WARC_SQL, mix_sql
-from .packing import pack, word_ids
+from .packing import numbered, pack, word_ids
 from .quality import divergence_quality
 from .secrets import NOVEL, scan_secrets
 from .sharding import place
@@ -137,7 +137,10 @@ def op8_power_of_two_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     sequences = pack(documents, make_encoder)
     columns = ["piece.start", "piece.length", "piece.ids_crc32", "piece.doc_tokens"]
-    return sequences.select("doc_id", *columns, "sequence_id", "offset")
+    pieces = numbered(sequences.select("doc_id", *columns, "bucket", "task", "nth"))
+    return pieces.select(
+        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "bucket", "place"
+    )
 
 
 def op9_bounded_ring(spark: SparkSession, sf_dir: str) -> DataFrame:

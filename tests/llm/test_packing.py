@@ -11,10 +11,12 @@ from hypothesis import given
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from catalogue_enrich.llm.packing import pack, piece_lengths, word_ids, write_buckets
+from catalogue_enrich.llm.packing import numbered, pack, piece_lengths, word_ids, write_buckets
 from catalogue_enrich.llm.queries import make_encoder
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
+TOKENIZER = Tokenizer.from_file(PATH)
+word_ids(PATH)  # loaded once, so that no example's time holds it
 ODD = [
     "", "   ", "Hello, World! don't DON'T 's", "ÉCOLÉ! Straße ﬁne é é.", "Σίσυφος ΟΔΥΣΣΕΥΣ.",
     "a\x1cb c\x85d e", "x²³5٣ ½", "​.", "İstanbul K", "日本語。", "ab.cd,,!", "a\x00b", "µª º",
@@ -33,9 +35,8 @@ def test_lengths(n, most):
 
 @given(st.lists(st.text(), max_size=4))
 def test_words_give_the_ids_of_the_text(texts):
-    tokenizer = Tokenizer.from_file(PATH)
     got = word_ids(PATH)([t.encode("utf-8", "replace") for t in [*texts, *ODD]])
-    want = tokenizer.encode_batch(
+    want = TOKENIZER.encode_batch(
         [t.encode("utf-8", "replace").decode() for t in [*texts, *ODD]], add_special_tokens=False
     )
     assert [np.frombuffer(g, "<u4").tolist() for g in got] == [w.ids for w in want]
@@ -45,12 +46,16 @@ def test_pieces(spark, folder):
     texts = [*ODD, None, "word " * 5000, "ab cd. " * 3000]
     docs = spark.createDataFrame([(i, t, "clash") for i, t in enumerate(texts)] * 2,
                                  "doc_id long, text string, offset string")
-    sequences = pack(docs, make_encoder)
+    sequences = numbered(pack(docs.repartition(5, "doc_id"), make_encoder))
     rows = sequences.collect()
     assert len({r.sequence_id for r in rows}) == len(rows)
-    tokenizer = Tokenizer.from_file(PATH)
+    places = {}
+    for r in rows:
+        places.setdefault(r.bucket, []).append(r.place)
+    assert {b: sorted(p) for b, p in places.items()} == {b: [*range(len(p))] for b, p in places.items()}
+    assert len(places[2048]) > 2 and len(places[1]) > 2
     for i, text in enumerate(texts):
-        ids = [*tokenizer.encode(text or "", add_special_tokens=False).ids, 1]
+        ids = [*TOKENIZER.encode(text or "", add_special_tokens=False).ids, 1]
         own = sorted((r for r in rows if r.doc_id == i), key=lambda r: (r.piece.start, r.sequence_id))
         for copy in (own[::2], own[1::2]):
             found = []
@@ -63,6 +68,6 @@ def test_pieces(spark, folder):
     write_buckets(sequences, f"{folder}/buckets")
     buckets = spark.read.parquet(f"{folder}/buckets")
     assert buckets.where("bucket <> piece.length").count() == 0 and buckets.count() == len(rows)
-    assert pack(docs.limit(0), make_encoder).collect() == []
+    assert numbered(pack(docs.limit(0), make_encoder)).collect() == []
     with pytest.raises(ValueError):
         pack(docs, make_encoder, most=1000)
