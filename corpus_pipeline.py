@@ -13,7 +13,7 @@ from catalogue_enrich.llm.common import staged, table
 from catalogue_enrich.llm.linedup import dedup_lines
 from catalogue_enrich.llm.mixing import mix, word_count
 from catalogue_enrich.llm.neardup import without_near_duplicates
-from catalogue_enrich.llm.packing import pack
+from catalogue_enrich.llm.packing import numbered, pack
 from catalogue_enrich.llm.quality import divergence_quality
 from catalogue_enrich.llm.queries import MIX_LEVELS, MIX_SEED, MIX_WEIGHTS, domain, make_encoder
 
@@ -57,9 +57,10 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of 2048 tokens or a smaller power of two."""
+    """Sequences of 2048 tokens or a smaller power of two, numbered within each length."""
     sequences = pack(docs.select("doc_id", "lang", "source", "text"), make_encoder)
-    return sequences.select("doc_id", "lang", "source", "piece.*", "sequence_id", "offset")
+    columns = ["doc_id", "lang", "source", "piece.*", "bucket", "task", "nth"]
+    return numbered(sequences.select(columns))
 
 
 STAGES: list[tuple[str, Stage]] = [
