@@ -141,12 +141,15 @@ def split_documents(raw: DataFrame) -> DataFrame:
     is_empty, read_error``.
 
     A file holds one article or an array of articles. ``document`` is the article's own
-    text and ``article`` the fields enrichment reads; ``article`` is null if the file is not
+    text and ``article`` the fields enrichment reads; a reader that has taken the array apart gives
+    ``doc_pos`` itself. ``article`` is null if the file is not
     valid JSON or holds anything but objects, or, with ``is_empty``, an array of none. ``source_path`` must tell the files apart.
     """
     document, objects = F.col("document"), F.col("_objects")
     if "read_error" not in raw.columns:
         raw = raw.withColumn("read_error", F.lit(None).cast("string"))
+    if "doc_pos" not in raw.columns:
+        raw = raw.withColumn("doc_pos", F.lit(None).cast("int"))
     listed = raw.withColumn("_objects", _objects(document))
     is_list = objects.isNotNull() & starts_with(document, "[")
 
@@ -166,16 +169,18 @@ def split_documents(raw: DataFrame) -> DataFrame:
         "source_path",
         "source_file",
         "read_error",
+        "doc_pos",
         (is_list & (F.size(objects) > 0)).alias("_in_list"),
         (is_list & (F.size(objects) == 0)).alias("is_empty"),
         F.posexplode(items).alias("_pos", "_item"),
     )
     known = F.col("_item.article").isNotNull()
+    place = F.coalesce("doc_pos", F.when(F.col("_in_list"), F.col("_pos")))
     return rows.select(
-        F.concat_ws("#", "source_path", F.when(known, F.col("_pos"))).alias("article_key"),
+        F.concat_ws("#", "source_path", F.coalesce(place, F.when(known, F.col("_pos")))).alias("article_key"),
         "source_path",
         "source_file",
-        F.when(F.col("_in_list"), F.col("_pos")).alias("doc_pos"),
+        place.alias("doc_pos"),
         "_item.document",
         "_item.article",
         "is_empty",
@@ -210,9 +215,10 @@ def from_documents(raw: DataFrame, strict: bool = True) -> DataFrame:
     )
     reason = (
         F.when(F.col("read_error").startswith(S.INVALID_UTF8), F.lit("invalid_utf8"))
+        .when(F.col("read_error").startswith(S.INVALID_JSON), F.lit(S.INVALID_JSON))
         .when(F.col("read_error").isNotNull(), F.lit("unreadable"))
         .when(F.col("is_empty"), F.lit("no_articles"))
-        .when(article.isNull(), F.lit("invalid_json"))
+        .when(article.isNull(), F.lit(S.INVALID_JSON))
     )
     if strict:
         reason = (

@@ -284,6 +284,11 @@ FROM answered JOIN attribute USING (product_id, pos, attribute_id)""",
   row_number() OVER (PARTITION BY p_partkey // 50 ORDER BY p_partkey) - 1 AS doc_pos,
   CAST(p_partkey AS VARCHAR) AS product_id, CAST(4 AS BIGINT) AS n_attributes,
   CAST(NULL AS VARCHAR) AS reject_reason FROM part""",
+    "q46_large_array_files": _with(
+        _ARTICLES,
+        select="""SELECT product_id, colour_id, CAST(4 AS BIGINT) AS n_attributes, true AS in_array,
+  CAST(NULL AS VARCHAR) AS reject_reason FROM article""",
+    ),
     "q32_folder_state": """SELECT CASE n % 4 WHEN 1 THEN '_' WHEN 2 THEN '.' ELSE '' END || n || '.json' AS source_file,
   CASE WHEN n % 4 = 3 THEN 0 ELSE count(*) END AS n_articles,
   CASE WHEN n % 4 = 3 THEN 'invalid_json' END AS reason

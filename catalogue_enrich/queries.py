@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -415,6 +416,30 @@ def array_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def large_array_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All articles as a few files of very many each, read back article by article."""
+    folder = shared_folder(spark, "arrays")
+
+    def lines(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sign = "["
+        for frame in frames:
+            if len(frame):
+                after = [sign + frame["document"].iloc[0], *("," + d for d in frame["document"].iloc[1:])]
+                yield pd.DataFrame({"value": after})
+                sign = ","
+        yield pd.DataFrame({"value": ["[]" if sign == "[" else "]"]})
+
+    V.documents(spark, sf_dir).select("document").mapInPandas(lines, "value string").write.text(folder)
+    rows = from_documents(read_landing(spark, folder, glob="*.txt", articles=True))
+    return rows.where("reject_reason is distinct from 'no_articles'").select(
+        "product_id",
+        "colour_id",
+        F.size("attributes").cast("bigint").alias("n_attributes"),
+        F.col("doc_pos").isNotNull().alias("in_array"),
+        "reject_reason",
+    )
+
+
 def folder_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The folder as the only state: files of any name, some broken, until none is left.
 
@@ -710,6 +735,7 @@ QUERIES: dict[str, Query] = {
     "q43_idle_exit": idle_exit,
     "q44_replayed_batch": replayed_batch,
     "q45_kept_images": kept_images,
+    "q46_large_array_files": large_array_files,
 }
 
 

@@ -75,3 +75,4 @@ LEDGER_KEY = ["product_id", "supplier_colour", "url"]
 
 # How the read error of a file that is not UTF-8 begins.
 INVALID_UTF8 = "invalid UTF-8"
+INVALID_JSON = "invalid_json"
