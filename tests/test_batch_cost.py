@@ -1,0 +1,70 @@
+"""What a batch costs beside its rows: tasks, steps that wait for each other, files that are opened."""
+
+from __future__ import annotations
+
+import threading
+from pathlib import Path
+
+import pytest
+
+from catalogue_enrich import testviews as V
+from catalogue_enrich.operators.infer import call_model
+from catalogue_enrich.plans.enrichment import enrich_documents
+from catalogue_enrich.session import few_tasks, stage
+from catalogue_enrich.sinks import archive_files, delete_files, place_files
+from catalogue_enrich.streaming.run import at_once, read_batches
+from tests.articles import article, raw
+
+
+def test_a_small_batch_has_few_tasks(spark, folder):
+    assert few_tasks(spark, 3) == 3 and few_tasks(spark, 0) == 1
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        assert few_tasks(spark) == spark.sparkContext.defaultParallelism
+        files = spark.createDataFrame([("a",), ("b",)], "source_path string")
+        placed = place_files(files.withColumnRenamed("source_path", "path"), folder, 0, 2)
+        for report in (archive_files(files, folder, 2), delete_files(files, 2), placed):
+            assert report.rdd.getNumPartitions() == 2
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_steps_run_side_by_side(spark):
+    both = threading.Barrier(2, timeout=30)
+
+    def step() -> int:
+        both.wait()
+        return spark.range(3).count()
+
+    assert at_once(spark, step, step) == [3, 3]
+    ended = []
+
+    def fails() -> None:
+        raise OSError("a step")
+
+    with pytest.raises(OSError, match="a step"):
+        at_once(spark, fails, lambda: ended.append(1))
+    assert ended == [1]
+
+
+def test_batches_with_a_schema_are_not_opened(spark, folder):
+    path = Path(folder) / "table" / "batch_id=0"
+    path.mkdir(parents=True)
+    (path / "part-0.parquet").write_bytes(b"no footer")
+    table = read_batches(spark, str(path.parent), None, "a string")
+    assert table.dtypes == [("a", "string"), ("batch_id", "int")]
+    assert read_batches(spark, f"{folder}/absent", 3, "a string") is None
+
+
+def test_flags_of_images_are_settled_once(spark):
+    staged = []
+
+    def noted(df, name):
+        staged.append(name)
+        return stage(df, name)
+
+    rows = raw(spark, [(f"{n}.json", article(n)) for n in range(3)])
+    done = enrich_documents(rows, V.make_fetch, call_model(V.make_client), stage=noted, validate=False)
+    assert staged == ["articles", "images", "image_flags", "enriched"]
+    assert done.articles.count() > 0
