@@ -13,11 +13,10 @@ stands between it and the sensitive word, which may have any ending (``auth_toke
 ``private_key_production_value``). Then its bytes alone decide. After mere white space, as in a
 sentence, a string is a candidate only if it has two of small letters, capitals and digits.
 
-The dictionary is a fixed text and the identifiers of the corpus: of the ``sample`` different texts
-with the least hashes, the words of 6 to 64 characters that occur in at least ``SEEN_IN`` of them,
-the ``KNOWN`` most frequent. Only what is outside of sensitive context is counted, so a value
-that has leaked into many documents does not become known by that. The sample bounds the
-dictionary; every document is scanned, as a whole.
+The dictionary is a fixed text and the identifiers of the corpus: the words of 6 to 64 characters
+that occur in at least ``SEEN_IN`` different texts, the ``KNOWN`` most frequent. All texts are
+counted, each different one once. Only what is outside of sensitive context is counted, so a value
+that has leaked into many documents does not become known by that.
 
 Defined results: a null or empty text has no spans, and an empty table no rows; a text of any
 length is scanned whole; equal rows have equal results; positions are code points, end exclusive.
@@ -62,7 +61,7 @@ SENSITIVE_WORDS = (
 
 # An identifier or word, which begins with a letter.
 WORD = re.compile(r"[A-Za-z][A-Za-z0-9_.-]{5,63}")
-# Texts of the sample that must have a word, and words of the corpus in the dictionary.
+# Different texts that must have a word, and words of the corpus in the dictionary.
 SEEN_IN, KNOWN = 3, 4096
 
 # What the compressor has seen before: code, configuration and identifiers without any value.
@@ -170,25 +169,25 @@ def plain_words(text: str) -> set[str]:
     return {word for piece in pieces for word in WORD.findall(piece)}
 
 
-def known_words(documents: DataFrame, text: str, sample: int) -> list[str]:
-    """Identifiers of the corpus, the most frequent last, where the compressor finds them best."""
+def known_words(documents: DataFrame, text: str, known: int = KNOWN) -> list[str]:
+    """Identifiers of the corpus, at most ``known``, the most frequent last, where the compressor
+    finds them best."""
 
     @F.arrow_udf("array<string>")
     def words(texts: pa.Array) -> pa.Array:
         rows = [sorted(plain_words(t.as_py())) for t in texts]
         return pa.array(rows, pa.list_(pa.string()))
 
-    hashed = documents.select(F.col(text).cast("string").alias("text")).where("text is not null")
-    hashed = hashed.withColumn("hash", F.xxhash64("text"))
-    # At most ``sample`` numbers.
-    least = hashed.select("hash").distinct().orderBy("hash").limit(sample)
-    last = least.agg(F.max("hash")).first()[0]
-    if last is None:
-        return []
-    found = hashed.where(F.col("hash") <= last).select("hash", F.explode(words("text")).alias("word"))
-    counts = found.groupBy("word").agg(F.count_distinct("hash").alias("n")).where(F.col("n") >= SEEN_IN)
-    # At most KNOWN words of at most 64 characters.
-    return [r["word"] for r in counts.orderBy(F.desc("n"), "word").limit(KNOWN).collect()][::-1]
+    texts = documents.select(F.col(text).cast("string").alias("text")).where("text is not null")
+    # Copies count once: texts are shuffled by their hash, and the words of each are counted where it is.
+    texts = texts.groupBy(F.xxhash64("text").alias("hash")).agg(F.first("text").alias("text"))
+    found = texts.select(F.explode(words("text")).alias("word"))
+    counts = found.groupBy("word").agg(F.count("*").alias("n")).where(F.col("n") >= SEEN_IN)
+    # At most ``known`` words of at most 64 characters; an aggregate, so that those of each task meet
+    # in a task and not in the driver.
+    most = counts.orderBy(F.desc("n"), "word").limit(known)
+    rows = most.agg(F.collect_list(F.struct("n", "word")).alias("rows")).first()["rows"]
+    return [r["word"] for r in sorted(rows, key=lambda r: (-r["n"], r["word"]))][::-1]
 
 
 def scan_secrets(
@@ -196,7 +195,7 @@ def scan_secrets(
     text: str = "text",
     context: int = 256,
     min_ratio: float = 0.6,
-    sample: int = 2000,
+    known: int = KNOWN,
     result: str = "secrets",
 ) -> tuple[DataFrame, str]:
     """``documents`` with a struct of counts and spans, and the name of that column."""
@@ -214,7 +213,7 @@ def scan_secrets(
             ]
         }
 
-    words = known_words(documents, text, sample)
+    words = known_words(documents, text, known)
     made: list[Novelty] = []
 
     @F.arrow_udf(RESULT_DDL)

@@ -123,3 +123,12 @@ def test_identifiers_of_the_corpus_are_known(spark):
     # The name is known from elsewhere; the value that six documents hold is not.
     assert got == {**{i: 1 for i in range(6)}, 10: 0, 11: 1, 12: 0}
     assert known_words(df.limit(0), "text", 5) == []
+
+
+def test_identifiers_are_counted_over_all_texts(spark):
+    rows = [(i, f"call reconcileLedgerEntries of {i}") for i in range(6)]
+    rows += [(i, "a copiedIdentifier here") for i in range(6, 16)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    # The bound is one of words, not of texts; a text that comes ten times is one text.
+    assert known_words(df, "text", 1) == ["reconcileLedgerEntries"]
+    assert known_words(df, "text") == ["reconcileLedgerEntries"]
