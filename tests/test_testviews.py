@@ -1,0 +1,45 @@
+"""Test views and landing folders made from large tables."""
+
+from __future__ import annotations
+
+from pathlib import Path
+
+from pyspark.sql import functions as F
+
+from catalogue_enrich import queries
+from catalogue_enrich import testviews as V
+
+
+def test_articles_of_one_file_are_made_by_many_tasks(spark, folder):
+    n = 3 * V.PER_TASK
+    names = ["p_name", "p_brand", "p_type"]
+    part = spark.range(n).select(
+        F.col("id").alias("p_partkey"),
+        *(F.concat(F.lit("red "), "id").alias(c) for c in names),
+        (F.col("id") % 50).cast("int").alias("p_size"),
+    )
+    part.coalesce(1).write.parquet(f"{folder}/part.parquet")
+    rows = V.documents(spark, folder)
+    assert rows.rdd.getNumPartitions() >= 3
+    assert rows.select("source_file").distinct().count() == n == rows.count()
+
+
+def test_events_are_landed_in_a_bounded_number_of_files(spark, folder):
+    n = 300 * queries._PER_FILE
+    events = spark.range(n).select(
+        F.col("id").alias("event_id"),
+        (F.col("id") % 7).alias("user_id"),
+        F.lit("view").alias("event_type"),
+        F.lit(1.5).alias("value"),
+    )
+    events.coalesce(2).write.parquet(f"{folder}/events.parquet")
+    queries._event_stream(spark, folder, folder)
+    # The last file of each task is not full.
+    assert len(list(Path(folder, "out").glob("*.json"))) <= queries._MOST_FILES + 2 * 4
+    assert spark.read.json(f"{folder}/out").count() == n
+
+
+def test_images_are_the_same_when_made_again():
+    first, again = V.make_image_fetch(), V.make_image_fetch()
+    urls = [f"http://img/{n}/main.jpg" for n in (1, 14, 25, 36, 1)] + ["http://img/b1/model.jpg"]
+    assert [first(u) for u in urls] == [first(u) for u in urls] == [again(u) for u in urls]
