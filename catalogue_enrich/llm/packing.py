@@ -20,7 +20,6 @@ import zlib
 from array import array
 from collections import Counter
 from collections.abc import Callable, Iterator
-from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -35,9 +34,8 @@ PIECE = pa.struct(
 PIECE_DDL = "start long, length long, doc_tokens long, ids_crc32 long, ids binary"
 RESULT = {"piece", "bucket", "task", "nth", "place", "sequence_id", "offset"}
 # Words and their ids that a task keeps.
-CACHED_WORDS = 900_000
-TOGETHER = 1 << 20
-_MARKS = b".,;:!?"
+CACHED_WORDS = 400_000
+_MARKS = b".,;:!?#*$%&|<>()\"-"
 # Byte-level vocabularies write a byte that prints as its character, the others, in order, as
 # those from U+0100 on.
 _PRINTS = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
@@ -52,6 +50,28 @@ def piece_lengths(n: int, most: int) -> list[int]:
     ]
 
 
+class _Known(dict):
+    """Ids of words; those of a word that is not there are made by ``learn`` when it is looked up.
+
+    Once it holds half of ``CACHED_WORDS`` it is begun anew, and takes from the words it held before
+    those that come again: what is rare goes and what is frequent stays.
+    """
+
+    def __init__(self, learn: Callable[[bytes], bytes]):
+        self.learn = learn
+        self.before: dict[bytes, bytes] = {}
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self.before.get(word)
+        if ids is None:
+            ids = self.learn(word)
+        if len(self) >= CACHED_WORDS // 2:
+            self.before = dict(self)
+            self.clear()
+        self[word] = ids
+        return ids
+
+
 class WordIds:
     """Token ids (little-endian, 32 bits each) of texts, put together from those of their words.
 
@@ -65,80 +85,35 @@ class WordIds:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenize = self.tokenizer.model.tokenize
-        self.known: dict[bytes, bytes] = {}
-
-    def learn(self, words: set[bytes]) -> None:
-        rest = []
-        for word in words:
-            # Few stems have many endings: each is asked for once.
-            stem = word.rstrip(_MARKS)
-            ids = self.letters(stem)
-            if ids is None:
-                rest.append(word)
-            elif len(stem) == len(word):
-                self.known[word] = ids
-            else:
-                tail = word[len(stem) :]
-                if tail not in self.known:
-                    self.ask([tail])
-                self.known[word] = ids + self.known[tail]
-        self.ask(rest)
-
-    def letters(self, stem: bytes) -> bytes | None:
-        """Ids of a word of letters up to U+00FF, which have one lower case and no other form;
-        they reach the vocabulary as the characters that stand for their bytes."""
+        self.known = _Known(self.learn)
+
+    def learn(self, word: bytes) -> bytes:
+        """Few stems have many endings and forms: each is asked for once."""
+        stem = word.rstrip(_MARKS)
         if stem.isalpha():
-            low = stem.lower()
-            if (ids := self.known.get(low)) is not None:
-                return ids
-            symbols = low.decode()
+            low = symbols = stem.lower()
         else:
+            # Letters up to U+00FF have one lower case and no other form.
             text = stem.decode("utf-8", "replace")
             if not text.isalpha() or max(text) > "\xff":
-                return None
+                return self.ask(word)
             low = text.lower().encode()
-            if (ids := self.known.get(low)) is not None:
-                return ids
-            symbols = low.decode("latin-1").translate(_SYMBOLS)
-        ids = array("I", [token.id for token in self.tokenize(symbols)]).tobytes()
-        self.known[low] = ids
-        return ids
-
-    def ask(self, words: list[bytes]) -> None:
-        texts = [word.decode("utf-8", "replace") for word in words]
-        encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        for word, one in zip(words, encoded, strict=True):
-            self.known[word] = array("I", one.ids).tobytes()
+            # They reach the vocabulary as the characters that stand for their bytes.
+            symbols = low.decode("latin-1").translate(_SYMBOLS).encode()
+        if len(stem) < len(word):
+            return self.known[low] + self.known[word[len(stem) :]]
+        if low != word:
+            return self.known[low]
+        return array("I", [token.id for token in self.tokenize(symbols.decode())]).tobytes()
+
+    def ask(self, word: bytes) -> bytes:
+        text = word.decode("utf-8", "replace")
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def __call__(self, texts: list[bytes]) -> list[bytes]:
-        """Ids of each text; texts are taken together until they hold about ``TOGETHER`` bytes."""
-        out, start = [], 0
-        while start < len(texts):
-            stop, size = start, 0
-            while stop < len(texts) and (stop == start or size + len(texts[stop]) <= TOGETHER):
-                size += len(texts[stop])
-                stop += 1
-            split = [text.split() for text in texts[start:stop]]
-            got = [list(map(self.known.get, words)) for words in split]
-            missing = {
-                word
-                for words, ids in zip(split, got, strict=True)
-                if None in ids
-                for word, known in zip(words, ids, strict=True)
-                if known is None
-            }
-            if missing:
-                if len(self.known) + len(missing) > CACHED_WORDS:
-                    self.known.clear()
-                    missing = set(chain.from_iterable(split))
-                self.learn(missing)
-                got = [
-                    list(map(self.known.__getitem__, words)) if None in ids else ids
-                    for words, ids in zip(split, got, strict=True)
-                ]
-            out += map(b"".join, got)
-            start = stop
-        return out
+        """Ids of each text."""
+        ids = self.known.__getitem__
+        return [b"".join(map(ids, text.split())) for text in texts]
 
 
 def word_ids(path: str) -> WordIds:

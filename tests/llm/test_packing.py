@@ -11,6 +11,7 @@ from hypothesis import given
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
+from catalogue_enrich.llm import packing
 from catalogue_enrich.llm.packing import numbered, pack, piece_lengths, word_ids, write_buckets
 from catalogue_enrich.llm.queries import make_encoder
 
@@ -42,6 +43,30 @@ def test_words_give_the_ids_of_the_text(texts):
     assert [np.frombuffer(g, "<u4").tolist() for g in got] == [w.ids for w in want]
 
 
+def test_what_is_rare_is_not_kept(monkeypatch):
+    monkeypatch.setattr(packing, "CACHED_WORDS", 100)
+    encode = packing.WordIds(PATH)
+    words = [f"w{a}{b}" for a in "abcdefghijklmnopqrst" for b in "abcdefghijklmnopqrst"]
+    texts = [" ".join(f"often {w} Often, {w.upper()}!" for w in words)] * 2
+    got = encode([t.encode() for t in texts])
+    want = TOKENIZER.encode_batch(texts, add_special_tokens=False)
+    assert [np.frombuffer(g, "<u4").tolist() for g in got] == [w.ids for w in want]
+    assert len(encode.known) + len(encode.known.before) <= 100
+    assert b"often" in encode.known
+
+
+def test_symbols_behind_letters_are_no_new_words(monkeypatch):
+    encode = packing.WordIds(PATH)
+    asked = []
+    ask = encode.ask
+    monkeypatch.setattr(encode, "ask", lambda words: asked.append(words) or ask(words))
+    texts = [f"{w}{s}" for w in ("plain", "Höhe", "EIN") for s in ("%%%", "***", "&&&", "<|>", "#$-")]
+    got = encode([t.encode() for t in texts])
+    want = TOKENIZER.encode_batch(texts, add_special_tokens=False)
+    assert [np.frombuffer(g, "<u4").tolist() for g in got] == [w.ids for w in want]
+    assert len(asked) == 5
+
+
 def test_pieces(spark, folder):
     texts = [*ODD, None, "word " * 5000, "ab cd. " * 3000]
     docs = spark.createDataFrame([(i, t, "clash") for i, t in enumerate(texts)] * 2,
