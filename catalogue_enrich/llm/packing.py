@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import staged
+from .common import small_batches, staged
 
 PIECE = pa.struct(
     [("start", pa.int64()), ("length", pa.int64()), ("doc_tokens", pa.int64())]
@@ -35,6 +35,8 @@ PIECE_DDL = "start long, length long, doc_tokens long, ids_crc32 long, ids binar
 RESULT = {"piece", "bucket", "task", "nth", "place", "sequence_id", "offset"}
 # Words and their ids that a task keeps.
 CACHED_WORDS = 400_000
+# Rows of a batch of texts or pieces.
+BATCH = 1000
 _MARKS = b".,;:!?#*$%&|<>()\"-"
 # Byte-level vocabularies write a byte that prints as its character, the others, in order, as
 # those from U+0100 on.
@@ -192,7 +194,9 @@ def numbered(sequences: DataFrame) -> DataFrame:
     Sequences are written before they are numbered, as another run of a task may cut other rows.
     What is added up is a count per task and length.
     """
-    rows = staged(sequences, "sequences")
+    # Batches hold whole texts and their ids.
+    with small_batches(sequences.sparkSession, BATCH):
+        rows = staged(sequences, "sequences")
     counts = rows.groupBy("bucket", "task").agg((F.max("nth") + 1).alias("n"))
     before = Window.partitionBy("bucket").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select("bucket", "task", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))

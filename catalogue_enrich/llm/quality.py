@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_name, once, staged
+from .common import free_name, once, small_batches, staged
 
 COMMON = 256
 LANGUAGES = 256
@@ -37,6 +37,8 @@ LANGUAGES = 256
 SHARES = 2000
 # Distinct words a task holds before it hands its counts on.
 HELD_WORDS = 100_000
+# Rows of a batch of texts.
+BATCH = 1000
 
 LOWER, UPPER, DIGIT, SPACE, POINT, SYMBOL, MARKED, CONTROL, WIDE = range(9)
 _CLASSES = 9
@@ -191,7 +193,9 @@ def references(
     counts = documents.select(F.col(lang).cast("string"), F.col(text).cast("string")).mapInArrow(
         lambda batches: _count(batches, min_words), "lang string, kind string, key string, n long"
     )
-    counts = staged(counts.groupBy("lang", "kind", "key").agg(F.sum("n").alias("n")), "words")
+    # Batches hold whole texts.
+    with small_batches(documents.sparkSession, BATCH):
+        counts = staged(counts.groupBy("lang", "kind", "key").agg(F.sum("n").alias("n")), "words")
     totals = counts.where(F.col("kind") == "n").select(F.col("lang").alias("l"), F.col("n").alias("total"))
     totals = totals.where(F.col("total") >= reference_words)
     near = counts.where("kind <> 'n'").join(totals, F.col("lang").eqNullSafe(F.col("l")), "inner")

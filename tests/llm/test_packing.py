@@ -67,6 +67,22 @@ def test_symbols_behind_letters_are_no_new_words(monkeypatch):
     assert len(asked) == 5
 
 
+def test_batches_of_texts_are_small(spark, monkeypatch):
+    monkeypatch.setattr(packing, "BATCH", 7)
+    seen = spark.sparkContext.accumulator(0)
+
+    def make():
+        def encode(texts):
+            seen.add(len(texts) > 7)
+            return [b"" for _ in texts]
+
+        return encode
+
+    docs = spark.range(50).coalesce(1).selectExpr("id AS doc_id", "'some text' AS text")
+    assert numbered(pack(docs, make)).count() == 50
+    assert seen.value == 0
+
+
 def test_pieces(spark, folder):
     texts = [*ODD, None, "word " * 5000, "ab cd. " * 3000]
     docs = spark.createDataFrame([(i, t, "clash") for i, t in enumerate(texts)] * 2,
