@@ -2,11 +2,13 @@
 
 import json
 import os
+import re
 
 import pytest
 from pyspark.sql.utils import StreamingQueryException
 
 from catalogue_enrich.operators.infer import call_model
+from catalogue_enrich.queries import ledger_stream_batches
 from catalogue_enrich.sources.folder_stream import FolderReader, stream_folder
 from catalogue_enrich.sources.landing import read_landing
 from catalogue_enrich.streaming.run import follow, ledger_stream, lines_stream, read_batches
@@ -122,3 +124,24 @@ def test_the_ledger_reads_its_own_rows_only(spark, folder):
         assert sum(p["numInputRows"] for p in query.recentProgress) == 10
     held = read_batches(spark, f"{folder}/ledger").drop("batch_id")
     assert held.count() == held.distinct().count() == 25
+
+
+def test_ledger_batches_do_not_grow_with_shuffles_or_files(spark, folder):
+    """The state has few parts, whatever shuffles have, and each of 21 batches is one file."""
+    for part in range(5):
+        rows = [(i if i % 11 else None, i % 7, "error" if i % 3 else None) for i in range(part, 400, 5)]
+        events = spark.createDataFrame(rows, "event_id long, user_id long, event_type string")
+        events.coalesce(1).write.mode("append").parquet(f"{folder}/events.parquet")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 9)
+    try:
+        held = ledger_stream_batches(spark, folder)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "9"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    found = sorted(map(repr, held.collect()))
+    assert len(found) == len(set(found)) == 14
+    names = [re.search(r"batch_id=([0-9]+)/part-([0-9]+)", f).groups() for f in held.inputFiles()]
+    # The batch of null ids is one more.
+    assert {int(batch) for batch, _ in names} == set(range(22))
+    assert max(int(part) for _, part in names) < spark.sparkContext.defaultParallelism
