@@ -33,7 +33,7 @@ PIECE = pa.struct(
 )
 PIECE_DDL = "start long, length long, doc_tokens long, ids_crc32 long, ids binary"
 RESULT = {"piece", "bucket", "task", "nth", "place", "sequence_id", "offset"}
-# Words and their ids that a task keeps.
+# Words and their ids that a task keeps, at about 150 bytes each.
 CACHED_WORDS = 400_000
 # Rows of a batch of texts or pieces.
 BATCH = 1000
@@ -41,7 +41,9 @@ _MARKS = b".,;:!?#*$%&|<>()\"-"
 # Byte-level vocabularies write a byte that prints as its character, the others, in order, as
 # those from U+0100 on.
 _PRINTS = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
-_SYMBOLS = {b: 0x100 + i for i, b in enumerate(b for b in range(0x100) if b not in _PRINTS)}
+_OTHERS = {b: chr(0x100 + i) for i, b in enumerate(b for b in range(0x100) if b not in _PRINTS)}
+# Of the letters up to U+00FF.
+_SYMBOLS = {i: "".join(_OTHERS.get(b, chr(b)) for b in chr(i).encode()) for i in range(0x100)}
 
 
 def piece_lengths(n: int, most: int) -> list[int]:
@@ -55,19 +57,19 @@ def piece_lengths(n: int, most: int) -> list[int]:
 class _Known(dict):
     """Ids of words; those of a word that is not there are made by ``learn`` when it is looked up.
 
-    Once it holds half of ``CACHED_WORDS`` it is begun anew, and takes from the words it held before
-    those that come again: what is rare goes and what is frequent stays.
+    Once it holds half of ``most`` it is begun anew, and takes from the words it held before those
+    that come again: what is rare goes and what is frequent stays.
     """
 
-    def __init__(self, learn: Callable[[bytes], bytes]):
-        self.learn = learn
+    def __init__(self, learn: Callable[[bytes], bytes], most: int):
+        self.learn, self.half = learn, most // 2
         self.before: dict[bytes, bytes] = {}
 
     def __missing__(self, word: bytes) -> bytes:
         ids = self.before.get(word)
         if ids is None:
             ids = self.learn(word)
-        if len(self) >= CACHED_WORDS // 2:
+        if len(self) >= self.half:
             self.before = dict(self)
             self.clear()
         self[word] = ids
@@ -79,34 +81,33 @@ class WordIds:
 
     For tokenizers that never join what white space parts, drop the white space and the case, and
     part letters from punctuation: a word's ids are then the same in any text, and words repeat.
+    ``most`` words and their ids are kept (``CACHED_WORDS`` without it).
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, most: int | None = None):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenize = self.tokenizer.model.tokenize
-        self.known = _Known(self.learn)
+        self.known = _Known(self.learn, most or CACHED_WORDS)
 
     def learn(self, word: bytes) -> bytes:
         """Few stems have many endings and forms: each is asked for once."""
-        stem = word.rstrip(_MARKS)
-        if stem.isalpha():
-            low = symbols = stem.lower()
-        else:
-            # Letters up to U+00FF have one lower case and no other form.
-            text = stem.decode("utf-8", "replace")
-            if not text.isalpha() or max(text) > "\xff":
-                return self.ask(word)
-            low = text.lower().encode()
+        if word.isalpha() and word.islower():
+            return self.ask_symbols(word.decode())
+        text = word.decode("utf-8", "replace")
+        if _is_plain(text):
+            low = text.lower()
             # They reach the vocabulary as the characters that stand for their bytes.
-            symbols = low.decode("latin-1").translate(_SYMBOLS).encode()
-        if len(stem) < len(word):
-            return self.known[low] + self.known[word[len(stem) :]]
-        if low != word:
-            return self.known[low]
-        return array("I", [token.id for token in self.tokenize(symbols.decode())]).tobytes()
+            return self.ask_symbols(low.translate(_SYMBOLS)) if low == text else self.known[low.encode()]
+        stem = word.rstrip(_MARKS)
+        if len(stem) < len(word) and _is_plain(stem.decode("utf-8", "replace")):
+            return self.known[stem.lower()] + self.known[word[len(stem) :]]
+        return self.ask(word)
+
+    def ask_symbols(self, symbols: str) -> bytes:
+        return array("I", [token.id for token in self.tokenize(symbols)]).tobytes()
 
     def ask(self, word: bytes) -> bytes:
         text = word.decode("utf-8", "replace")
@@ -115,11 +116,25 @@ class WordIds:
     def __call__(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each text."""
         ids = self.known.__getitem__
-        return [b"".join(map(ids, text.split())) for text in texts]
+        return [b"".join(map(ids, _lower(text).split())) for text in texts]
+
+
+def _is_plain(text: str) -> bool:
+    """Letters up to U+00FF have one lower case and no other form."""
+    return text.isalpha() and max(text) <= "\xff"
+
+
+def _lower(text: bytes) -> bytes:
+    """A text of the same ids whose words repeat more: with A to Z in lower case."""
+    # Accents that stand alone (U+0300 to U+037F) join some letters in one case only, and special
+    # tokens have a case.
+    if b"\xcc" in text or b"\xcd" in text or b"<|" in text:
+        return text
+    return text.lower()
 
 
-def word_ids(path: str) -> WordIds:
-    """The encoder of ``path`` that this Python worker has, with the words it knows.
+def word_ids(path: str, most: int | None = None) -> WordIds:
+    """The encoder of ``path`` that this Python worker has, with the words it knows; ``most`` are kept.
 
     It is kept with the tokenizers' module: globals of this one, which is shipped with the task,
     are made anew for every task.
@@ -127,9 +142,9 @@ def word_ids(path: str) -> WordIds:
     import tokenizers
 
     kept = tokenizers.__dict__.setdefault("_word_ids", {})
-    if path not in kept:
-        kept[path] = WordIds(path)
-    return kept[path]
+    if (path, most) not in kept:
+        kept[path, most] = WordIds(path, most)
+    return kept[path, most]
 
 
 def pack(

@@ -67,6 +67,20 @@ def test_symbols_behind_letters_are_no_new_words(monkeypatch):
     assert len(asked) == 5
 
 
+def test_a_word_in_other_letters_is_no_new_word(monkeypatch):
+    encode = packing.WordIds(PATH, most=60)
+    learned = []
+    learn = encode.known.learn
+    monkeypatch.setattr(encode.known, "learn", lambda word: learned.append(word) or learn(word))
+    texts = ["plain PLAIN Plain pLAin höhe", "H\u0331 h\u0331 PLAIN", "<|ENDOFTEXT|> Plain <|endoftext|>"]
+    texts += [f"T\u0308 t\u0308 {a}{b} {a.upper()}{b}" for a in "abcdefgh" for b in "ijklmnop"]
+    got = encode([t.encode() for t in texts])
+    want = TOKENIZER.encode_batch(texts, add_special_tokens=False)
+    assert [np.frombuffer(g, "<u4").tolist() for g in got] == [w.ids for w in want]
+    assert learned[:2] == [b"plain", "höhe".encode()]
+    assert len(encode.known) + len(encode.known.before) <= 60
+
+
 def test_batches_of_texts_are_small(spark, monkeypatch):
     monkeypatch.setattr(packing, "BATCH", 7)
     seen = spark.sparkContext.accumulator(0)
