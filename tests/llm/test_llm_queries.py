@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
+from catalogue_enrich.llm import linedup
 from catalogue_enrich.llm.queries import ORACLE, QUERIES
 from tests.oracle_check import compare
 
@@ -86,3 +87,39 @@ def test_empty_documents(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = corpus_pipeline.staged(stage(spark, docs, SF), "empty")
         assert docs.count() == 0
+
+
+def test_texts_are_judged_and_cut_in_small_batches(spark, monkeypatch):
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    seen, staged = [], linedup.staged
+    before = spark.conf.get(rows)
+    monkeypatch.setattr(linedup, "staged", lambda df, purpose: seen.append(spark.conf.get(rows)) or staged(df, purpose))
+    monkeypatch.setattr(corpus_pipeline, "BATCH", 7)
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(20)
+    try:
+        for stage in (corpus_pipeline.quality_rules, corpus_pipeline.line_dedup):
+            spark.conf.set(rows, "10000")
+            result = stage(spark, docs, SF)
+            # What is run later, by the caller.
+            assert spark.conf.get(rows) == "7"
+            assert result.count() <= 20
+        spark.conf.set(rows, "10000")
+        linedup.dedup_lines(docs)
+        assert seen == ["1000", "1000"]
+    finally:
+        spark.conf.set(rows, before)
+
+
+def test_a_worker_of_the_pipeline_keeps_few_words(spark, monkeypatch):
+    monkeypatch.setattr(corpus_pipeline, "KEPT_WORDS", 10)
+    monkeypatch.setattr(corpus_pipeline, "numbered", lambda sequences: sequences)
+    made = []
+    monkeypatch.setattr(corpus_pipeline, "pack", lambda docs, make: made.append(make) or docs.select(
+        *[F.lit(0).alias(c) for c in ("doc_id", "lang", "source", "bucket", "task", "nth")],
+        F.struct(F.lit(0).alias("start")).alias("piece"),
+    ))
+    docs = spark.createDataFrame([(1, "en", "src0", "x")], "doc_id long, lang string, source string, text string")
+    corpus_pipeline.packing(spark, docs, SF)
+    encode = made[0]()
+    assert encode([b" ".join(b"word%d" % i for i in range(100))])[0]
+    assert len(encode.known) + len(encode.known.before) <= 10
